@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urlsift.runtime import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,7 +44,7 @@ FRAGMENTS = (
 
 
 def pages_rich(spark, sf_dir) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     fragment = F.element_at(
         F.array(*[F.lit(x) for x in FRAGMENTS]), (F.col("page_id") % 8 + 1).cast("int")
     )

@@ -1,12 +1,14 @@
 """Hosts, registrable domains and site identity as Column expressions.
 
-The suffix rules are a list of at most some ten thousand literals; membership in
-it compiles to a hash-set test, so no host leaves its row and nothing is joined.
+The suffix rules, a list of bounded length, become one pattern literal, so no host
+leaves its row and nothing is joined.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from urlsift import constants as K
 from urlsift.functions.text import strip
 
-MAX_RULES = 50_000
+MAX_RULES = 20_000
 _IPV4 = r"^(\d{1,3}\.){3}\d{1,3}$"
 
 
@@ -27,36 +29,29 @@ def host_of_authority(authority: Column) -> Column:
     return F.nullif(F.lower(host), F.lit(""))
 
 
+@lru_cache(maxsize=16)
+def _name_pattern(rules: tuple[str, ...]) -> str:
+    """One label and the longest suffix rule at the end of a host.
+
+    The leftmost match has the longest suffix. A "*." rule covers one more label,
+    a "!" rule takes a name out of such a rule.
+    """
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"{len(rules)} suffix rules exceed the literal bound of {MAX_RULES}")
+    plain = [re.escape(r) for r in rules if r[0] not in "*!"]
+    wild = [re.escape(r[2:]) for r in rules if r.startswith("*.")]
+    exceptions = [re.escape(r[1:]) for r in rules if r.startswith("!")]
+    guard = f"(?!(?:{'|'.join(exceptions)})$)" if exceptions else ""
+    suffixes = plain + [rf"{guard}[^.]+\.{w}" for w in wild]
+    names = [rf"[^.]+\.(?:{'|'.join(suffixes)})", *exceptions]
+    return rf"(?:^|\.)({'|'.join(names)})\.?$"
+
+
 def registrable_domain(host: Column, rules: Sequence[str] = K.SUFFIX_RULES) -> Column:
     """``name.suffix`` under the longest matching suffix rule; NULL when no rule matches
     or the host is itself a suffix. A dotted quad is its own domain."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} suffix rules exceed the literal bound of {MAX_RULES}")
-    plain = [r for r in rules if r[0] not in "*!"]
-    wild = [r[2:] for r in rules if r.startswith("*.")]
-    exceptions = [r[1:] for r in rules if r.startswith("!")]
-    labels = F.split(F.rtrim(F.lower(host), F.lit(".")), r"\.")
-    n = F.size(labels)
-
-    def tail(i):
-        return F.array_join(F.slice(labels, i, n), ".")
-
-    def is_exception(i):
-        return tail(i).isin(exceptions) if exceptions else F.lit(False)
-
-    def is_rule(i):
-        hit = tail(i).isin(plain)
-        if wild:
-            hit = hit | ((i < n) & F.array_join(F.slice(labels, i + 1, n), ".").isin(wild))
-        return hit | is_exception(i)
-
-    # the start of the name part: one label before the longest suffix
-    def name_start(i):
-        return F.when(is_exception(i), i).when(is_rule(i), i - 1)
-
-    starts = F.filter(F.transform(F.sequence(F.lit(1), n), name_start), lambda s: s.isNotNull())
-    start = F.get(starts, 0)
-    return F.when(host.rlike(_IPV4), host).when(start >= 1, tail(start))
+    name = F.regexp_extract(F.lower(host), _name_pattern(tuple(rules)), 1)
+    return F.when(host.rlike(_IPV4), host).otherwise(F.nullif(name, F.lit("")))
 
 
 def site_of_host(host: Column, rules: Sequence[str] = K.SUFFIX_RULES) -> Column:

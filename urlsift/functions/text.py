@@ -20,19 +20,18 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
-def lines(text: Column) -> Column:
-    """Lines without their breaks; a break at the very end opens no new line."""
-    parts = F.split(text, LINE_BREAK)
-    n = F.size(parts) - F.when(F.element_at(parts, -1) == "", 1).otherwise(0)
-    return F.slice(parts, 1, n)
+def line_lengths(text: Column) -> Column:
+    """Length of every piece between line breaks, the piece after the last one included."""
+    return F.transform(F.split(text, LINE_BREAK), F.length)
 
 
-def line_count(text: Column) -> Column:
-    return F.size(lines(text))
+def line_count(lengths: Column) -> Column:
+    """Number of lines; a break at the very end opens no new line."""
+    return F.size(lengths) - F.when(F.element_at(lengths, -1) == 0, 1).otherwise(0)
 
 
-def longest_line(text: Column) -> Column:
-    return F.coalesce(F.array_max(F.transform(lines(text), F.length)), F.lit(0))
+def longest_line(lengths: Column) -> Column:
+    return F.array_max(lengths)
 
 
 def whole_word_pattern(terms: Sequence[str]) -> str:

@@ -322,3 +322,15 @@ def fit(df: DataFrame, spec: Spec = PAGE_SPEC, demoted: tuple[str, ...] = ()) ->
     whole = coerce_integral(clip_numeric(replay_cascade(filled, stats), clip), spec.integral)
     scale, unusable = scaler_and_unusable(whole, spec)
     return replace(stats, clip=clip, scale=scale, unusable=unusable)
+
+
+def fallback_rows(stats: FittedStats) -> list[tuple[str, float, str]]:
+    """For each feature that may have no page behind it: the value used and its source."""
+    rows = []
+    for c in stats.spec.fallback:
+        if c in stats.numeric_fill:
+            f = stats.numeric_fill[c]
+            rows.append((c, f.value, f"numeric_{f.method}"))
+        elif c in stats.global_modes:
+            rows.append((c, float(stats.global_modes[c]), "categorical_mode"))
+    return rows

@@ -99,11 +99,12 @@ def page_features(
         F.col(url).alias("_url"),
         chain.alias("_chain"),
         verdict.alias("_robots"),
-        X.line_count(page).alias("LineOfCode"),
-        X.longest_line(page).alias("LargestLineLength"),
+        X.line_lengths(page).alias("_lines"),
         F.right(page, F.lit(K.RAW_TAIL)).rlike("(?i)" + K.COPYRIGHT_PATTERN).alias("_raw_notice"),
         page.alias("_html"),
-    )
+    ).withColumns(
+        {"LineOfCode": X.line_count(F.col("_lines")), "LargestLineLength": X.longest_line(F.col("_lines"))}
+    ).drop("_lines")
     scanned = scan_pages(slim, "_html").withColumns(
         {
             "text": F.lower("text"),

@@ -57,3 +57,10 @@ def lookup_join(
     salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(SALTS)).cast("int"))
     return spread.join(salted, [*on, "_salt"], "left").drop("_salt")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a freshly read table that has fewer partitions than the session has
+    slots, as a single small file has. A table with enough partitions stays as it is."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
