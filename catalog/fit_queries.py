@@ -249,12 +249,12 @@ def _modes_sql(ctes, spec):
 
 @query("cascade_modes", _modes_sql(LINE_CTES, LINE_SPEC))
 def cascade_modes(spark, sf_dir):
-    return line_stats(spark, sf_dir).modes.select("step", "key", "mode")
+    return FT.modes_table(line_stats(spark, sf_dir), spark).select("step", "key", "mode")
 
 
 @query("cascade_modes_pages", _modes_sql(PAGE_CTES, FT.PAGE_SPEC))
 def cascade_modes_pages(spark, sf_dir):
-    return page_stats(spark, sf_dir).modes.select("step", "key", "mode")
+    return FT.modes_table(page_stats(spark, sf_dir), spark).select("step", "key", "mode")
 
 
 def _global_sql(ctes, spec):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,10 @@ from urlsift import contract as C
 from urlsift.functions import url as U
 from urlsift.functions.stats import sample_skewness
 from urlsift.operators.quantiles import exact_quantiles
-from urlsift.runtime import lookup_join, work_dir, written
+from urlsift.runtime import lookup_join, written
+
+# A cascade step with at most this many keys is replayed from literals, not a join.
+LITERAL_KEYS = 4_000
 
 
 @dataclass(frozen=True)
@@ -68,14 +73,16 @@ class FittedStats:
     category_fill: float | None
     category_skew: float | None
     numeric_fill: Mapping[str, NumericFill]
-    modes: DataFrame
-    mode_rows: Mapping[int, int]
-    global_modes: Mapping[str, float]
+    cascade: tuple[Modes, ...] = ()
     clip: Mapping[str, tuple[float, float]] = field(default_factory=dict)
     scale: Mapping[str, tuple[float, float]] = field(default_factory=dict)
     unusable: Mapping[str, str] = field(default_factory=dict)
     demoted: tuple[str, ...] = ()
 
+    @property
+    def global_modes(self) -> dict[str, float]:
+        return {c: m.overall for c, m in zip(self.spec.cascade_order, self.cascade, strict=True)}
+
 
 # --- characters and categories ---------------------------------------------------
 
@@ -101,40 +108,45 @@ def category_means(df: DataFrame, category: str, share: str) -> DataFrame:
     ).filter(F.col("category_mean").isNotNull())
 
 
-def central_fill(
-    df: DataFrame, cols, limit: float, counts_out: dict | None = None
-) -> dict[str, NumericFill]:
+def moments(df: DataFrame, cols) -> dict[str, tuple[int, float | None, float | None]]:
+    """Count, mean and sample skewness of the non-NULL values of each column.
+
+    One scan. The columns are stacked, so the plan and its generated code stay small
+    however many columns there are; the partial sums leave one row per column.
+    """
+    cols = list(cols)
+    stacked = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("i", "v"))
+    found = stacked.filter(F.col("v").isNotNull()).groupBy("i").agg(
+        F.count("v").alias("n"), F.avg("v").alias("m"), sample_skewness("v").alias("s")
+    ).collect()
+    out = {c: (0, None, None) for c in cols}
+    out.update({cols[r["i"]]: (r["n"], r["m"], r["s"]) for r in found})
+    return out
+
+
+def central_fill(df: DataFrame, cols, limit: float) -> dict[str, NumericFill]:
     """Mean per column, or the median where the skewness exceeds the limit.
 
-    One scan gathers the moments of all columns; a second one runs only if some
-    column is skewed, and only over those columns.
+    A second pass for medians runs only if some column is skewed, over those only.
     """
-    aggs = []
-    for c in cols:
-        aggs += [
-            F.count(c).alias(f"{c}_n"), F.avg(c).alias(f"{c}_m"), sample_skewness(c).alias(f"{c}_s")
-        ]
-    row = df.agg(*aggs).first()
-    skewed = [c for c in cols if row[f"{c}_s"] is not None and abs(row[f"{c}_s"]) > limit]
-    counts = {c: row[f"{c}_n"] for c in cols}
-    if counts_out is not None:
-        counts_out.update(counts)
-    medians = exact_quantiles(df, skewed, [0.5], counts=counts)
+    found = moments(df, cols)
+    skewed = [c for c in cols if found[c][2] is not None and abs(found[c][2]) > limit]
+    medians = exact_quantiles(df, skewed, [0.5], counts={c: found[c][0] for c in skewed})
     return {
-        c: NumericFill("median", medians[c][0], row[f"{c}_s"]) if c in medians
-        else NumericFill("mean", row[f"{c}_m"], row[f"{c}_s"])
+        c: NumericFill("median", medians[c][0], found[c][2]) if c in medians
+        else NumericFill("mean", found[c][1], found[c][2])
         for c in cols
     }
 
 
 # --- cascade of group modes ------------------------------------------------------
 
-def _key_text(cols) -> Column:
-    """The grouping key as one text; NULL when any part is NULL."""
-    parts = []
-    for c in cols:
-        parts += [F.col(c).cast("double").cast("string"), F.lit("|")]
-    return F.concat(*parts)
+def _start_key(spec: Spec) -> Column:
+    """The first grouping key as text. A NULL part gives a key no mode table knows."""
+    return F.concat(
+        *[F.concat(F.coalesce(F.col(c).cast("double").cast("string"), F.lit("null")), F.lit("|"))
+          for c in spec.cascade_key]
+    )
 
 
 def _most_common(counted: DataFrame, by: list[str], value: str, weight: str) -> DataFrame:
@@ -151,72 +163,157 @@ def group_modes(df: DataFrame, keys: list[str], value: str, weight: str | None =
     return _most_common(counted, keys, value, "_n")
 
 
-def _with_mode(df: DataFrame, modes: DataFrame, keyed_on, column: str, fallback: float,
-               salt_from, rows: int | None) -> DataFrame:
-    keyed = df.withColumn("_key", _key_text(keyed_on))
-    joined = lookup_join(keyed, modes.select(F.col("key").alias("_key"), "mode"), ["_key"], salt_from, rows)
-    return joined.withColumn("_missed", F.col(column).isNull() & F.col("mode").isNull()).withColumn(
-        column, F.coalesce(F.col(column), F.col("mode"), F.lit(fallback))
-    ).drop("_key", "mode")
+@dataclass(frozen=True)
+class Modes:
+    """Modes of one cascade step: the key rows, kept as values while they are few and as a
+    table beyond that, and the overall mode."""
+
+    overall: float
+    n_keys: int
+    rows: tuple[tuple[str, float], ...] | None
+    table: DataFrame | None
+
+    def exceptions(self) -> dict[float, list[str]]:
+        """Keys whose mode differs from the overall one, by mode. The others need no naming."""
+        by_value = {}
+        for key, mode in self.rows:
+            if mode != self.overall:
+                by_value.setdefault(mode, []).append(key)
+        return by_value
+
+
+def _quoted(keys) -> str:
+    return ", ".join(f"'{k}'" for k in keys)
+
+
+def _folded_key(steps: list[tuple[str, Modes]]) -> Column:
+    """The key in ``_key`` extended by the filled value of each column in turn.
+
+    A row-local fold without joins: the key reached so far decides the mode, and
+    membership in a literal list is a hash test. Keys of different steps differ in
+    their number of parts, so one list serves all steps.
+    """
+    by_value = {}
+    for _, modes in steps:
+        for mode, keys in modes.exceptions().items():
+            by_value.setdefault(mode, []).extend(keys)
+    cases = " ".join(f"WHEN k IN ({_quoted(keys)}) THEN {m!r}D" for m, keys in sorted(by_value.items()))
+    mode = f"CASE {cases} ELSE x.g END" if cases else "x.g"
+    inputs = ", ".join(f"named_struct('v', double(`{c}`), 'g', {m.overall!r}D)" for c, m in steps)
+    return F.expr(
+        f"aggregate(array({inputs}), _key, (k, x) -> concat(k, string(coalesce(x.v, {mode})), '|'))"
+    )
 
 
-def fit_cascade(df: DataFrame, spec: Spec, cut_every: int = 6):
+def _pick_modes(counted: list[tuple[str, float, int]]) -> Modes:
+    """Modes from a short list of (key, value, count): largest count, then smallest value."""
+    by_key, overall = {}, {}
+    for key, value, n in counted:
+        by_key.setdefault(key, []).append((-n, value))
+        overall[value] = overall.get(value, 0) - n
+    top = min(((n, v) for v, n in overall.items()), default=(0, 0.0))[1]
+    rows = tuple(sorted((k, min(v)[1]) for k, v in by_key.items() if "null" not in k))
+    return Modes(top, len(rows), rows, None)
+
+
+def _extend_key(df: DataFrame, steps: list[tuple[str, Modes]], salt_from) -> DataFrame:
+    """Extend ``_key`` over the steps: literal runs by one fold each, a large step by a join."""
+    run = []
+    for column, modes in steps:
+        if modes.table is None:
+            run.append((column, modes))
+            continue
+        if run:
+            df, run = df.withColumn("_key", _folded_key(run)), []
+        table = modes.table.select(F.col("key").alias("_key"), F.col("mode").alias("_mode"))
+        joined = lookup_join(df, table, ["_key"], salt_from, modes.n_keys)
+        filled = F.coalesce(F.col(column).cast("double"), "_mode", F.lit(modes.overall))
+        df = joined.withColumn("_key", F.concat("_key", filled.cast("string"), F.lit("|"))).drop("_mode")
+    return df.withColumn("_key", _folded_key(run)) if run else df
+
+
+def fit_cascade(df: DataFrame, spec: Spec, literal_keys: int = LITERAL_KEYS) -> tuple[Modes, ...]:
     """Mode tables of the ordered fill.
 
-    The fill of a row depends on its two-valued columns alone, so the rows are
-    first collapsed to counted patterns (one shuffle with map-side combining) and
-    all steps run on those. Step n has at most 2**n keys for two-valued columns.
-    Each step's table is written and read back, so no plan grows with the steps
-    and a lost executor costs one step.
+    The fill of a row depends on its two-valued columns alone, so the rows are first
+    collapsed to counted patterns (one shuffle with map-side combining), which are
+    written, and all steps run on those. Step n has at most 2**n keys for two-valued
+    columns. A step with few keys becomes literals of the next steps' expression; a
+    larger one is written and joined, with the patterns written again behind it, so
+    that no plan grows with the steps and a lost executor costs one step.
     """
-    spark = df.sparkSession
-    base = f"{work_dir(spark)}/modes-{uuid.uuid4().hex}"
-    keyed_on, order = list(spec.cascade_key), list(spec.cascade_order)
+    order = list(spec.cascade_order)
     state = written(
-        df.groupBy(*keyed_on, *order).agg(F.count("*").alias("weight")), "patterns"
+        df.groupBy(*spec.cascade_key, *order).agg(F.count("*").alias("weight"))
+        .withColumn("_key", _start_key(spec)), "patterns",
     )
-    global_modes, mode_rows = {}, {}
-    for step, column in enumerate(order, start=1):
+    steps, pending = [], []
+    for column in order:
+        keyed = _extend_key(state, pending, order)
         counted = (
-            state.filter(F.col(column).isNotNull())
-            .groupBy(_key_text(keyed_on).alias("key"), column).agg(F.sum("weight").alias("_n"))
+            keyed.filter(F.col(column).isNotNull())
+            .groupBy(F.col("_key").alias("key"), F.col(column).cast("double").alias("mode"))
+            .agg(F.sum("weight").alias("_n"))
         )
-        per_key = _most_common(counted.filter(F.col("key").isNotNull()), ["key"], column, "_n")
-        overall = _most_common(
-            counted.groupBy(column).agg(F.sum("_n").alias("_n")), [], column, "_n"
-        ).select(F.lit(None).cast("string").alias("key"), "mode")
-        per_key.unionByName(overall).select("key", F.col("mode").cast("double")).coalesce(1) \
-            .write.parquet(f"{base}/step={step}")
-        table = spark.read.schema("key string, mode double").parquet(f"{base}/step={step}")
-        facts = table.agg(
-            F.count("key").alias("rows"), F.max(F.when(F.col("key").isNull(), F.col("mode"))).alias("g")
-        ).first()
-        global_modes[column] = facts["g"] if facts["g"] is not None else 0.0
-        mode_rows[step] = facts["rows"]
-        state = _with_mode(
-            state, table.filter("key IS NOT NULL"), keyed_on, column, global_modes[column],
-            [*spec.cascade_key, *order], facts["rows"],
-        ).drop("_missed")
-        keyed_on.append(column)
-        if step % cut_every == 0 and step < len(order):
-            collapsed = state.groupBy(*spec.cascade_key, *order).agg(F.sum("weight").alias("weight"))
-            state = written(collapsed, "patterns")
-    modes = spark.read.schema("key string, mode double, step int").parquet(base).filter("key IS NOT NULL")
-    return modes, mode_rows, global_modes
+        # a probe of the size, not a cut: beyond it the modes are picked on the cluster
+        probe = counted.limit(2 * literal_keys + 1).collect()
+        if len(probe) <= 2 * literal_keys:
+            modes = _pick_modes([(r["key"], r["mode"], r["_n"]) for r in probe])
+            pending.append((column, modes))
+        else:
+            per_key = _most_common(counted.filter("key NOT LIKE '%null%'"), ["key"], "mode", "_n")
+            top = _most_common(counted.groupBy("mode").agg(F.sum("_n").alias("_n")), [], "mode", "_n")
+            table = written(per_key, "modes")
+            modes = Modes(top.first()["mode"], table.count(), None, table)
+            state = written(_extend_key(keyed, [(column, modes)], order), "patterns")
+            pending = []
+        steps.append(modes)
+    return tuple(steps)
+
+
+def modes_table(stats: FittedStats, spark) -> DataFrame:
+    """All steps as one table: step, column, key, mode."""
+    local = [
+        (i, c, k, m)
+        for i, (c, modes) in enumerate(zip(stats.spec.cascade_order, stats.cascade, strict=True), start=1)
+        if modes.rows is not None for k, m in modes.rows
+    ]
+    out = spark.createDataFrame(local, "step int, column string, key string, mode double")
+    for i, (c, modes) in enumerate(zip(stats.spec.cascade_order, stats.cascade, strict=True), start=1):
+        if modes.table is not None:
+            out = out.unionByName(
+                modes.table.select(F.lit(i).alias("step"), F.lit(c).alias("column"), "key", "mode")
+            )
+    return out
 
 
 def replay_cascade(df: DataFrame, stats: FittedStats, count_missed: bool = False) -> DataFrame:
-    """Fill NULL two-valued columns from the recorded modes, in the recorded order."""
+    """Fill NULL two-valued columns from the recorded modes, in the recorded order.
+
+    With ``count_missed`` a flag per column tells that the overall mode was used.
+    """
     spec = stats.spec
-    keyed_on = list(spec.cascade_key)
-    for step, column in enumerate(spec.cascade_order, start=1):
-        table = stats.modes.filter(F.col("step") == step).select("key", "mode")
-        df = _with_mode(
-            df, table, keyed_on, column, stats.global_modes[column], spec.keys, stats.mode_rows[step]
-        )
-        df = df.withColumnRenamed("_missed", f"_missed_{column}") if count_missed else df.drop("_missed")
-        keyed_on.append(column)
-    return df
+    steps = list(zip(spec.cascade_order, stats.cascade, strict=True))
+    first = len(spec.cascade_key)
+    keyed = _extend_key(df.withColumn("_key", _start_key(spec)), steps, spec.keys)
+    if count_missed:
+        for i, (column, modes) in enumerate(steps):
+            prefix = F.concat(F.substring_index("_key", "|", first + i), F.lit("|"))
+            if modes.table is None:
+                keys = _quoted(k for k, _ in modes.rows)
+                known = F.expr(f"_prefix IN ({keys})") if keys else F.lit(False)
+                keyed = keyed.withColumn("_prefix", prefix)
+            else:
+                table = modes.table.select(F.col("key").alias("_prefix"), F.lit(True).alias("_hit"))
+                keyed = lookup_join(
+                    keyed.withColumn("_prefix", prefix), table, ["_prefix"], spec.keys, modes.n_keys
+                )
+                known = F.col("_hit").isNotNull()
+            keyed = keyed.withColumn(f"_missed_{column}", F.col(column).isNull() & ~known).drop("_prefix", "_hit")
+    parts = keyed.withColumn("_parts", F.split("_key", r"\|"))
+    return parts.withColumns(
+        {c: F.get("_parts", F.lit(first + i)).cast("double") for i, (c, _) in enumerate(steps)}
+    ).drop("_key", "_parts")
 
 
 # --- the fill stages shared by fit and transform ------------------------------------
@@ -259,29 +356,68 @@ def coerce_integral(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("bigint") for c in cols})
 
 
+def vector_moments(df: DataFrame, cols, by: str | None = None, extra=()) -> dict:
+    """Count, mean, sum of squared deviations, minimum and maximum per column and group.
+
+    The columns travel as one vector through one aggregator, so a wide table needs no
+    wide generated code. ``extra`` are 0/1 columns of which only the maximum is kept.
+    """
+    whole = array_to_vector(F.array(*[F.col(c).cast("double") if isinstance(c, str) else c for c in cols]))
+    parts = Summarizer.metrics("mean", "variance", "min", "max", "count").summary(whole).alias("m")
+    aggs = [parts]
+    if extra:
+        aggs.append(Summarizer.max(array_to_vector(F.array(*extra))).alias("e"))
+    grouped = df.groupBy(by) if by else df.groupBy()
+    out = {}
+    for r in grouped.agg(*aggs).collect():
+        m = r["m"]
+        n = m["count"]
+        out[r[by] if by else None] = {
+            "n": n, "mean": m["mean"].toArray().tolist(),
+            "ss": (m["variance"].toArray() * (n - 1)).tolist(),
+            "min": m["min"].toArray().tolist(), "max": m["max"].toArray().tolist(),
+            "extra": r["e"].toArray().tolist() if extra else [],
+        }
+    return out
+
+
+def pooled(groups: dict) -> dict:
+    """Moments of all groups together, from the moments of each."""
+    parts = [g for g in groups.values() if g["n"]]
+    n = sum(g["n"] for g in parts)
+    width = range(len(parts[0]["mean"]))
+    mean = [sum(g["n"] * g["mean"][i] for g in parts) / n for i in width]
+    return {
+        "n": n, "mean": mean,
+        "ss": [sum(g["ss"][i] + g["n"] * (g["mean"][i] - mean[i]) ** 2 for g in parts) for i in width],
+        "min": [min(g["min"][i] for g in parts) for i in width],
+        "max": [max(g["max"][i] for g in parts) for i in width],
+    }
+
+
 def scaler_and_unusable(df: DataFrame, spec: Spec):
     """Scaler values and the columns naive Bayes cannot use, from one scan.
 
     A two-valued column fails when a (value, label) cell is empty, any column when
     it is constant; the first reason stands.
     """
-    aggs = []
-    for c in spec.numeric:
-        aggs += [F.avg(c).alias(f"{c}_m"), F.stddev_pop(c).alias(f"{c}_s")]
-    for c in spec.features:
-        aggs.append((F.min(c) == F.max(c)).alias(f"{c}_k"))
-    for c in spec.binary:
-        for v in (0, 1):
-            for y in (0, 1):
-                aggs.append(F.count_if((F.col(c) == v) & (F.col(spec.label) == y)).alias(f"{c}_{v}{y}"))
-    row = df.agg(*aggs).first()
-    scale = {c: (row[f"{c}_m"], row[f"{c}_s"] or 1.0) for c in spec.numeric}
-    unusable = {
-        c: "empty_contingency_cell" for c in spec.binary
-        if any(row[f"{c}_{v}{y}"] == 0 for v in (0, 1) for y in (0, 1))
+    cells = [(F.col(c) == v).cast("double") for c in spec.binary for v in (0, 1)]
+    groups = vector_moments(df, spec.features, spec.label, cells)
+    total = pooled(groups)
+    at = {c: i for i, c in enumerate(spec.features)}
+    constant = {c for c, i in at.items() if total["min"][i] == total["max"][i]}
+    scale = {
+        c: (total["min"][at[c]] if c in constant else total["mean"][at[c]],
+            1.0 if c in constant else math.sqrt(total["ss"][at[c]] / total["n"]))
+        for c in spec.numeric
     }
+    unusable = {}
+    for j, c in enumerate(spec.binary):
+        seen = [groups[y]["extra"][2 * j + v] if y in groups else 0.0 for y in (0, 1) for v in (0, 1)]
+        if not all(seen):
+            unusable[c] = "empty_contingency_cell"
     for c in spec.features:
-        if row[f"{c}_k"] and c not in unusable:
+        if c in constant and c not in unusable:
             unusable[c] = "zero_std"
     return scale, unusable
 
@@ -301,19 +437,15 @@ def fit(df: DataFrame, spec: Spec = PAGE_SPEC, demoted: tuple[str, ...] = ()) ->
     share_fill = central_fill(df, [spec.category_share], K.TLD_SKEW_LIMIT)[spec.category_share]
     stats = FittedStats(
         spec=spec, n_rows=0, char_shares=shares, category_means=means, category_rows=means.count(),
-        category_fill=share_fill.value, category_skew=share_fill.skew, numeric_fill={}, modes=means,
-        mode_rows={}, global_modes={}, demoted=tuple(sorted(demoted)),
+        category_fill=share_fill.value, category_skew=share_fill.skew, numeric_fill={},
+        demoted=tuple(sorted(demoted)),
     )
     staged = written(
         stage_records(df, stats).select(*spec.keys, *spec.features, spec.label), "staged"
     )
     fills = central_fill(staged, spec.numeric, K.NUMERIC_SKEW_LIMIT)
-    modes, mode_rows, global_modes = fit_cascade(staged, spec)
     n_rows = staged.count()
-    stats = replace(
-        stats, n_rows=n_rows, numeric_fill=fills, modes=modes, mode_rows=mode_rows,
-        global_modes=global_modes,
-    )
+    stats = replace(stats, n_rows=n_rows, numeric_fill=fills, cascade=fit_cascade(staged, spec))
     filled = fill_numeric(staged, fills)
     ends = exact_quantiles(
         filled, spec.numeric, [0.01, 0.99], counts={c: n_rows for c in spec.numeric}

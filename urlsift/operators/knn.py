@@ -148,11 +148,11 @@ def _blocked(queries, refs, keys, vector, ref_id, label, k, power, block_rows, n
     q = queries.select(
         *keys, F.col(vector).alias("_v"),
         F.pmod(F.xxhash64(*keys), F.lit(n_query_blocks)).alias("_qb"),
-    ).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("long"))
+    ).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
     r = refs.select(
         F.col(ref_id).cast("long").alias("_id"), F.col(label).cast("int").alias("_label"),
         F.col(vector).alias("_v"), F.pmod(F.xxhash64(ref_id), F.lit(n_blocks)).alias("_rb"),
-    ).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))).cast("long"))
+    ).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1)).cast("array<long>")))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         width = len(left.column("_v")[0]) if left.num_rows else 0

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urlsift.operators.fit import pooled, vector_moments
+
 # Floor of a zero deviation, share of the largest variance added by
 # the smoothed variant.
 MIN_STD = 1e-10
@@ -41,33 +43,30 @@ def _value(c: str) -> Column:
 def fit_naive_bayes(
     df: DataFrame, features: Sequence[str], label: str = "label", smoothed: bool = False
 ) -> NaiveBayes:
-    """Fit over all rows in one pass; two rows come back.
+    """Fit over all rows in one pass; one row per class comes back.
 
     The plain variant uses the sample deviation with a floor; the smoothed one the
     population variance plus a share of the largest variance of any feature.
     """
-    spread = F.var_pop if smoothed else F.stddev_samp
-    aggs = [F.count("*").alias("n")]
-    for i, c in enumerate(features):
-        aggs += [F.avg(_value(c)).alias(f"m{i}"), spread(_value(c)).alias(f"s{i}")]
-    rows = {r[label]: r for r in df.groupBy(label).agg(*aggs).collect() if r[label] in (0, 1)}
-    total = sum(r["n"] for r in rows.values())
-    width = range(len(features))
-    extra = 0.0
-    if smoothed:
-        for i in width:
-            grand = sum(r["n"] * r[f"m{i}"] for r in rows.values()) / total
-            spread_i = sum(r["n"] * (r[f"s{i}"] + (r[f"m{i}"] - grand) ** 2) for r in rows.values())
-            extra = max(extra, SMOOTHING * spread_i / total)
+    groups = {
+        k: g for k, g in vector_moments(df, [_value(c) for c in features], label).items() if k in (0, 1)
+    }
+    total = pooled(groups)
+    extra = SMOOTHING * max(total["ss"]) / total["n"] if smoothed else 0.0
     prior, mean, std = [], [], []
     for k in (0, 1):
-        r = rows.get(k)
-        prior.append(math.log(r["n"] / total) if r else -math.inf)
-        mean.append(tuple(r[f"m{i}"] if r else 0.0 for i in width))
+        g = groups.get(k)
+        if g is None:
+            prior.append(-math.inf)
+            mean.append(tuple(0.0 for _ in features))
+            std.append(tuple(MIN_STD for _ in features))
+            continue
+        prior.append(math.log(g["n"] / total["n"]))
+        mean.append(tuple(g["mean"]))
         if smoothed:
-            std.append(tuple(math.sqrt(r[f"s{i}"] + extra) if r else MIN_STD for i in width))
+            std.append(tuple(math.sqrt(ss / g["n"] + extra) for ss in g["ss"]))
         else:
-            std.append(tuple((r[f"s{i}"] or MIN_STD) if r else MIN_STD for i in width))
+            std.append(tuple(math.sqrt(ss / (g["n"] - 1)) if ss > 0 else MIN_STD for ss in g["ss"]))
     return NaiveBayes(tuple(features), tuple(prior), tuple(mean), tuple(std))
 
 
