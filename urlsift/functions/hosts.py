@@ -96,3 +96,16 @@ def site_of_ref(ref: Column, page_url: Column, page_site: Column,
         .when((scheme != "") & (scheme != page_scheme), F.lit(None).cast("string"))
         .otherwise(page_site)
     )
+
+
+def resolve(base: Column, ref: Column) -> Column:
+    """A location relative to the URL it came from, as an absolute URL."""
+    ref = _clean(ref)
+    origin = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*", 0)
+    folder = F.regexp_replace(F.regexp_replace(base, "[?#].*$", ""), r"^([^/]*//[^/]*)$", "$1/")
+    return (
+        F.when(ref.rlike(_SCHEME), ref)
+        .when(F.startswith(ref, F.lit("//")), F.concat(F.regexp_extract(base, _SCHEME, 0), ref))
+        .when(F.startswith(ref, F.lit("/")), F.concat(origin, ref))
+        .otherwise(F.concat(F.regexp_replace(folder, "[^/]*$", ""), ref))
+    )

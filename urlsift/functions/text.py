@@ -16,6 +16,11 @@ BLANKS = (
 LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C\x1D\x1E\x85\u2028\u2029]"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
