@@ -570,10 +570,10 @@ def _hops(spark, sf_dir):
 @query("redirects", """
   WITH RECURSIVE nx AS (SELECT p.url, CASE WHEN p.page_id % 13 = 4 THEN 'ftp://files.test/x' ELSE q.url END AS location
     FROM pages p JOIN pages q ON q.page_id = p.page_id + 3 WHERE p.page_id % 7 <> 2),
-  walk AS (SELECT page_id, 0 AS step, url AS at, CAST([] AS VARCHAR[]) AS chain, CAST(NULL AS VARCHAR) AS reason FROM pages
-    UNION ALL SELECT page_id, step + 1, location, list_append(chain, at), CASE WHEN step = 3 THEN 'too_many_redirects' WHEN location LIKE 'ftp%' THEN 'scheme_not_allowed' END
-    FROM walk JOIN nx ON walk.at = nx.url WHERE reason IS NULL AND step < 4)
-  SELECT page_id, at AS final_url, len(chain)::INTEGER AS n_hops, array_to_string(chain, ' ') AS hops, reason
+  walk AS (SELECT page_id, 0 AS step, url AS cur, CAST([] AS VARCHAR[]) AS chain, CAST(NULL AS VARCHAR) AS reason FROM pages
+    UNION ALL SELECT page_id, step + 1, location, list_append(chain, cur), CASE WHEN step = 3 THEN 'too_many_redirects' WHEN location LIKE 'ftp%' THEN 'scheme_not_allowed' END
+    FROM walk JOIN nx ON walk.cur = nx.url WHERE reason IS NULL AND step < 4)
+  SELECT page_id, cur AS final_url, len(chain)::INTEGER AS n_hops, array_to_string(chain, ' ') AS hops, reason
   FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY step DESC) AS rn FROM walk) WHERE rn = 1
 """)
 def redirects(spark, sf_dir):
@@ -596,12 +596,12 @@ def robots(spark, sf_dir):
 # --- rate limit ----------------------------------------------------------------------------------
 
 _LIMIT_SQL = """
-  WITH RECURSIVE r AS (SELECT user_id % 40 AS s, event_id, epoch_us(ts) AS at,
+  WITH RECURSIVE r AS (SELECT user_id % 40 AS s, event_id, epoch_us(ts) AS t_us,
       row_number() OVER (PARTITION BY user_id % 40 ORDER BY epoch_us(ts), event_id) AS rn FROM events),
-  w AS (SELECT s, event_id, at, rn, at AS start, 3 - 1 AS left_, true AS granted FROM r WHERE rn = 1
-    UNION ALL SELECT r.s, r.event_id, r.at, r.rn, CASE WHEN r.at - start > 7200000000 THEN r.at ELSE start END,
-      CASE WHEN r.at - start > 7200000000 THEN 3 - 1 WHEN left_ > 0 THEN left_ - 1 ELSE 0 END,
-      r.at - start > 7200000000 OR left_ > 0 FROM w JOIN r ON r.s = w.s AND r.rn = w.rn + 1)
+  w AS (SELECT s, event_id, t_us, rn, t_us AS opened, 3 - 1 AS left_, true AS granted FROM r WHERE rn = 1
+    UNION ALL SELECT r.s, r.event_id, r.t_us, r.rn, CASE WHEN r.t_us - opened > 7200000000 THEN r.t_us ELSE opened END,
+      CASE WHEN r.t_us - opened > 7200000000 THEN 3 - 1 WHEN left_ > 0 THEN left_ - 1 ELSE 0 END,
+      r.t_us - opened > 7200000000 OR left_ > 0 FROM w JOIN r ON r.s = w.s AND r.rn = w.rn + 1)
   SELECT s AS session, event_id AS request, granted, CAST(left_ AS INTEGER) AS remaining FROM w
 """
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from urlsift import constants as K
 from urlsift.functions.addresses import address_reason, is_address
-from urlsift.functions.text import strip
+from urlsift.functions.text import let, strip
 from urlsift.runtime import lookup_join
 
 DENY_LITERALS = 10_000
@@ -66,23 +66,25 @@ def denied_rows(rows: DataFrame, deny: DataFrame, key: str, host: str = "host")
 
 def admission_reason(url: Column, deny: Sequence[str] = ()) -> Column:
     """The first rule the URL breaks, or NULL when it may be fetched."""
-    trimmed = strip(url)
-    p = url_parts(url)
-    port = p["port"].try_cast("int")
-    bad_port = (p["port"] != "") & (~p["port"].rlike(r"^\d+$") | port.isNull() | (port > 65535))
-    actual = F.when(p["port"] != "", port).when(p["scheme"] == "https", 443).otherwise(80)
-    unclosed = F.contains(p["authority"], F.lit("[")) != F.contains(p["authority"], F.lit("]"))
-    return (
-        F.when(url.isNull() | (trimmed == ""), "empty_url")
-        .when(F.length(trimmed) > K.MAX_URL_LENGTH, "url_too_long")
-        .when(unclosed, "unparseable_url")
-        .when(~p["scheme"].isin(list(K.ALLOWED_SCHEMES)), "scheme_not_allowed")
-        .when(F.contains(p["authority"], F.lit("@")), "credentials_in_url")
-        .when(p["host"] == "", "missing_host")
-        .when(bad_port, "invalid_port")
-        .when(~actual.isin(list(K.ALLOWED_PORTS)), "port_not_allowed")
-        .when(is_denied(p["host"], deny), "host_denied")
-    )
+    def judge(p):
+        port = p["port"].try_cast("int")
+        bad_port = (p["port"] != "") & (~p["port"].rlike(r"^\d+$") | port.isNull() | (port > 65535))
+        actual = F.when(p["port"] != "", port).when(p["scheme"] == "https", 443).otherwise(80)
+        unclosed = F.contains(p["authority"], F.lit("[")) != F.contains(p["authority"], F.lit("]"))
+        return (
+            F.when(p["text"].isNull() | (p["text"] == ""), "empty_url")
+            .when(F.length(p["text"]) > K.MAX_URL_LENGTH, "url_too_long")
+            .when(unclosed, "unparseable_url")
+            .when(~p["scheme"].isin(list(K.ALLOWED_SCHEMES)), "scheme_not_allowed")
+            .when(F.contains(p["authority"], F.lit("@")), "credentials_in_url")
+            .when(p["host"] == "", "missing_host")
+            .when(bad_port, "invalid_port")
+            .when(~actual.isin(list(K.ALLOWED_PORTS)), "port_not_allowed")
+            .when(is_denied(p["host"], deny), "host_denied")
+        )
+
+    parts = {"text": strip(url), **url_parts(url)}
+    return let(F.struct(*[e.alias(n) for n, e in parts.items()]), judge)
 
 
 def vet_resolved(
