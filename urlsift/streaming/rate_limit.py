@@ -25,12 +25,13 @@ def _decide(start, tokens, at_us: int, limit: int, window_us: int):
 
 def grant_stream(
     requests: DataFrame, *, session: str, request: str, at: str, limit: int = K.RATE_PER_SESSION,
-    window_seconds: int = K.RATE_WINDOW_SECONDS,
+    window_seconds: int = K.RATE_WINDOW_SECONDS, lateness: str = "1 day",
 ) -> DataFrame:
     """Decide every request of a stream; state is two numbers per session.
 
-    Rows of one session within a micro-batch are taken in time order. A session
-    without requests for a whole window is forgotten.
+    Rows of one session within a micro-batch are taken in time order. Once the
+    watermark, which trails by ``lateness``, has passed a session's last request by a
+    whole window, its next request opens a new window anyway, so it is forgotten.
     """
     window_us = window_seconds * 1_000_000
 
@@ -47,7 +48,7 @@ def grant_stream(
             granted.append(ok)
             left.append(tokens)
         state.update((start, tokens))
-        state.setTimeoutDuration(window_seconds * 1000)
+        state.setTimeoutTimestamp((at_us + window_us) // 1000 + 1)
         yield pd.DataFrame(
             {"session": key[0], "request": rows["request"].to_numpy(), "at_us": rows["at_us"].to_numpy(),
              "granted": granted, "remaining": left}
@@ -55,16 +56,16 @@ def grant_stream(
 
     slim = requests.select(
         F.col(session).cast("long").alias("session"), F.col(request).cast("long").alias("request"),
-        F.unix_micros(F.col(at).cast("timestamp")).alias("at_us"),
-    )
+        F.unix_micros(F.col(at).cast("timestamp")).alias("at_us"), F.col(at).cast("timestamp").alias("at"),
+    ).withWatermark("at", lateness)
     return slim.groupBy("session").applyInPandasWithState(
-        decide, OUTPUT, "start long, tokens int", "append", GroupStateTimeout.ProcessingTimeTimeout
+        decide, OUTPUT, "start long, tokens int", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
 def grant_batch(
     requests: DataFrame, *, session: str, request: str, at: str, limit: int = K.RATE_PER_SESSION,
-    window_seconds: int = K.RATE_WINDOW_SECONDS, chunk_rows: int = 200_000,
+    window_seconds: int = K.RATE_WINDOW_SECONDS,
 ) -> DataFrame:
     """The same decisions over a table of requests.
 
