@@ -75,7 +75,7 @@ LINE_HOLES = (
 
 
 def raw_lineitem(spark, sf_dir) -> DataFrame:
-    t = table(spark, sf_dir, "lineitem")
+    t = spread(table(spark, sf_dir, "lineitem"))
     mix = (
         F.col("l_orderkey") * 31 + F.col("l_partkey") * 7 + F.col("l_suppkey") * 3
         + F.col("l_linenumber")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.fixtures import table
 from urlsift.functions import url as U
 from urlsift.operators import fit, page_features
+from urlsift.runtime import spread
 
 AUTH = r"^[\x00-\x20]*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)"
 PATH = r"^[\x00-\x20]*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
@@ -233,7 +234,7 @@ MADE_TITLE_SQL = (
    f'(SELECT *, {TITLE_SQL} AS title FROM ({STAGED_SQL}))', 'page_id')})
 """)
 def title_match(spark, sf_dir):
-    pages = page_features.page_titles(table(spark, sf_dir, "pages"))
+    pages = page_features.page_titles(spread(table(spark, sf_dir, "pages")))
     staged = pages.withColumn("Domain", U.domain("url"))
     words = F.replace(F.col("Domain"), F.lit("."), F.lit(" "))
     swap = F.when(F.col("page_id") % 3 == 1, "exam ple").otherwise("other")
@@ -252,7 +253,7 @@ def title_match(spark, sf_dir):
   FROM (SELECT page_id, CASE WHEN page_id % 4 <> 2 THEN {TITLE_SQL} END AS title FROM pages)
 """)
 def has_title(spark, sf_dir):
-    pages = page_features.page_titles(table(spark, sf_dir, "pages"))
+    pages = page_features.page_titles(spread(table(spark, sf_dir, "pages")))
     given = F.when(F.col("page_id") % 4 == 1, 0)
     title = F.when(F.col("page_id") % 4 != 2, F.col("Title"))
     return pages.select("page_id", F.coalesce(given, F.when(title.isNotNull(), 1)).alias("HasTitle"))
