@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.llm import language_id
+from urlsift.llm import language_id, line_dedup, simhash
 from urlsift.llm.common import read
 
 
@@ -23,6 +23,38 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-QUERIES = {"op1_language_id": op1_language_id}
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
-SQL: dict[str, str] = {}
+
+OP5_SQL = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents
+), keyed as (
+  select doc_id, pos, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+), owners as (
+  select key, min(doc_id) as owner from keyed where length(key) >= 10 group by key
+), judged as (
+  select k.*, coalesce(o.owner <> k.doc_id, false) as gone from keyed k left join owners o on k.key = o.key and length(k.key) >= 10
+)
+select doc_id, count(*)::bigint as n_lines, (count(*) filter (where gone))::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op5_line_dedup": op5_line_dedup, "op8_simhash": op8_simhash}
+
+SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL}
