@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.llm import language_id
-from urlsift.llm.common import read, written
+from urlsift.llm import decontaminate, language_id, line_dedup, mixing, simhash
+from urlsift.llm.common import read, small, text_copy, written
 
 #: A document whose best language has a smaller posterior is rejected.
 MIN_LANGUAGE_SCORE = 0.5
@@ -21,7 +21,45 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.filter(sure).select(docs.columns)
 
 
-STAGES = [("language", keep_identified)]
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: every document stays, with the lines it keeps. A null text becomes empty."""
+    found = line_dedup.dedup_lines(docs)
+    own = {"text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[own.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+
+
+def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup: of each component the document with the smallest id stays, once."""
+    best = written(simhash.representatives(simhash.near_duplicates(docs)), "representatives")
+
+    def rows(chosen: DataFrame) -> DataFrame:
+        side = small(chosen.select(F.col("id").alias("_id"), F.col("copy").alias("_copy")))
+        return docs.join(side, F.equal_null(docs["doc_id"], F.col("_id")) & (text_copy(docs["text"]) == F.col("_copy")), "left_semi")
+
+    repeated = rows(best.filter("repeats > 1")).withColumn("_copy", text_copy(F.col("text")))
+    return rows(best.filter("repeats = 1")).union(repeated.dropDuplicates(["doc_id", "_copy"]).select(docs.columns))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents of which one word in twenty lies in a benchmark phrase go."""
+    found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark")).filter(decontaminate.is_contaminated())
+    side = small(found.select(F.col("id").alias("_id"), F.col("copy").alias("_copy")).distinct())
+    return docs.join(side, F.equal_null(docs["doc_id"], F.col("_id")) & (text_copy(docs["text"]) == F.col("_copy")), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: how many words of each document the mix takes."""
+    found = mixing.mix(docs).taken()
+    return found.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+
+
+STAGES = [
+    ("language", keep_identified),
+    ("lines", drop_repeated_lines),
+    ("near_duplicates", keep_representatives),
+    ("decontamination", drop_contaminated),
+    ("mix", mix_sources),
+]
 
 ORACLE_SQL = None
 

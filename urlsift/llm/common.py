@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from urlsift.runtime import work_dir, written
 
-__all__ = ["ascii_lower", "drop_written", "packed", "read", "small", "span_sums", "work_dir", "written"]
+__all__ = ["ascii_lower", "drop_written", "packed", "read", "small", "span_sums", "text_copy", "work_dir", "written"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_BYTES = 32 << 20
@@ -26,6 +26,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def text_copy(text: Column) -> Column:
+    """Tells apart rows that share an id but not a text."""
+    return F.hash(F.coalesce(text, F.lit("")))
+
+
 def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The frame with a broadcast hint if its measured values take at most ``limit`` bytes, else as it is."""
     widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns]

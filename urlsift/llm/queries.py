@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.llm import language_id, line_dedup, simhash
+from urlsift.llm import decontaminate, language_id, line_dedup, mixing, simhash
 from urlsift.llm.common import read
 
 
@@ -23,6 +23,47 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", digest.alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"),
+    )
+
+
+OP3_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), starts as (
+  select item_id, w, least(len(w), 13) as size, unnest(range(1, greatest(len(w) - 13, 0) + 2)) as o from b where len(w) > 0
+), windows as (
+  select distinct item_id, size, array_to_string(w[o:o + size - 1], ' ') as phrase from starts
+), places as (
+  select doc_id, w, unnest(range(1, len(w) + 1)) as p from d
+), phrases as (
+  select doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') as phrase
+  from places, (select distinct size from windows) where p + size - 1 <= len(w)
+), found as (
+  select doc_id, p, size, item_id from phrases join windows using (size, phrase)
+), hit as (
+  select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + size)) as q from found) group by doc_id
+), listed as (
+  select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct doc_id, item_id from found) group by doc_id
+)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join hit using (doc_id) left join listed using (doc_id)
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -49,12 +90,48 @@ from judged group by doc_id
 """
 
 
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(read(spark, sf_dir, "documents")).taken()
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP6_SQL = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         md5(coalesce(doc_id::varchar, '')) as key
+  from documents
+), sizes as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as s from d group by source
+), weighed as (
+  select *, [5, 2, 1][(s - 1) % 3 + 1]::bigint as weight, 3 * source_size as cap from sizes
+), levels as (
+  select *, row_number() over o as rank,
+         (sum(source_size) over () - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0))::double
+         / (sum(weight) over (o rows between current row and unbounded following))::double as level
+  from weighed window o as (order by cap / weight, s)
+), targets as (
+  select source, source_size, least(cap::double, weight * coalesce(
+    (select arg_min(level, rank) from levels where weight * level <= cap), 0.0)) as target
+  from levels
+), placed as (
+  select doc_id, size, source_size, target, floor(target)::bigint as quota,
+         coalesce(sum(size) over (partition by d.source order by key, doc_id, size rows between unbounded preceding and 1 preceding),
+                  0)::bigint as start
+  from d join targets t on d.source is not distinct from t.source
+)
+select doc_id, size, source_size, target,
+       case when size = 0 then 0
+            else quota // source_size * size + greatest(0, least(start + size, quota % source_size) - start) end::bigint as taken
+from placed
+"""
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op5_line_dedup": op5_line_dedup, "op8_simhash": op8_simhash}
+QUERIES = {"op1_language_id": op1_language_id, "op3_decontaminate": op3_decontaminate, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op8_simhash": op8_simhash}
 
-SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL}
+SQL: dict[str, str] = {"op3_decontaminate": OP3_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsift.llm.common import drop_written, written
+from urlsift.llm.common import drop_written, text_copy, written
 from urlsift.llm.components import components
 
 SHINGLE = 3
@@ -108,12 +108,14 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS
 ) -> DataFrame:
-    """(id, fp, component) for each row: the smallest id reachable by links of at most ``distance`` bits.
+    """(id, copy, fp, component) for each row: the smallest id reachable by links of at most ``distance`` bits;
+    ``copy`` is ``text_copy`` of the text, which tells rows apart that share an id.
 
     Equal fingerprints are linked, the zero of wordless and null texts too. Repeated rows stay repeated.
     Null ids belong to their component but never name one that has another id. Other columns aren't read.
     """
-    prints = docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(F.col(f"`{text}`"), shingle).alias("fp"))
+    t = F.col(f"`{text}`").cast("string")
+    prints = docs.select(F.col(f"`{doc_id}`").alias("id"), text_copy(t).alias("copy"), fingerprint(t, shingle).alias("fp"))
     prints = written(prints, "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("id").alias("low")), "distinct-fingerprints")
     edges = written(links(distinct.select("fp"), distance, segments), "fingerprint-links")
@@ -122,4 +124,12 @@ def near_duplicates(
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("low").alias("component"))
     named = rooted.join(smallest, "root").select("fp", "component")
-    return prints.join(named, "fp").select("id", "fp", "component")
+    return prints.join(named, "fp").select("id", "copy", "fp", "component")
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """Of the rows of ``near_duplicates`` one (id, copy, repeats) for each component, the smallest; a row without an id only
+    where no row has one. ``repeats`` counts the equal rows behind it."""
+    rows = found.groupBy("component", "id", "copy").agg(F.count("*").alias("repeats"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copy", "repeats")).alias("first")
+    return rows.groupBy("component").agg(first).select("first.id", "first.copy", "first.repeats")
