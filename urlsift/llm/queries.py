@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.llm import decontaminate, language_id, line_dedup, mixing, simhash
+from urlsift.llm import decontaminate, language_id, line_dedup, mixing, simhash, top_k
 from urlsift.llm.common import read
 
 
@@ -23,6 +23,25 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", top_k.quantized(F.col("embedding")).alias("vector"))
+    return top_k.top_k(vectors.filter("vec_id % 20 = 0"), vectors, 20)
+
+
+OP2_SQL = r"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as w from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.w, c.w)::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from scored qualify rank <= 20
+"""
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256)
@@ -132,6 +151,6 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op3_decontaminate": op3_decontaminate, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op8_simhash": op8_simhash}
+QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op8_simhash": op8_simhash}
 
-SQL: dict[str, str] = {"op3_decontaminate": OP3_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}
+SQL: dict[str, str] = {"op2_top_k": OP2_SQL, "op3_decontaminate": OP3_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}
