@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from urlsift.runtime import work_dir, written
 
-__all__ = ["ascii_lower", "drop_written", "packed", "read", "small", "span_sums", "text_copy", "work_dir", "written"]
+__all__ = ["ascii_lower", "drop_written", "packed", "read", "small", "span_sums", "text_copy", "word_blocks", "work_dir", "written"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_BYTES = 32 << 20
@@ -88,6 +89,19 @@ def packed(
         yield pack()
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words between ASCII white space, of about ``size`` bytes at a time."""
+    at = 0
+    while at < len(data):
+        cut = _BLANK.search(data, at + size)
+        end = cut.start() if cut else len(data)
+        yield data[at:end].split()
+        at = end
+
+
 def span_sums(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Sum of ``values[b:e]`` for each pair; zero for an empty span."""
     ends = np.empty(2 * len(begin), np.int64)

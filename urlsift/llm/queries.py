@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.llm import decontaminate, language_id, line_dedup, mixing, simhash, top_k
+from urlsift.llm import decontaminate, language_id, licenses, line_dedup, mixing, quality, secrets, simhash, top_k
 from urlsift.llm.common import read
 
 
@@ -145,12 +145,46 @@ from placed
 """
 
 
+#: A document is predicted good from this probability on.
+GOOD = 0.3
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels whose remainder is not 0. A null id is held out."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_part("doc_id", 5) == 0, F.lit(True))
+    labels = read(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "quality")
+    model = quality.fit_quality(docs.filter(~held_out).select("doc_id", "text"), labels)
+    found = docs.select("doc_id", held_out.alias("held_out"), quality.quality(spark, model, F.col("text")).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op8_simhash": op8_simhash}
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read(spark, sf_dir, "documents").select("doc_id", licenses.licenses(F.col("text")).alias("f"))
+
+    def labels(*spans: str):
+        names = F.concat(*[F.transform(s, lambda x: x["label"]) for s in spans])
+        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
+
+    first = F.transform("f.phrases", lambda x: x["first"])
+    return found.select(
+        "doc_id", "f.n_words", F.size("f.phrases").cast("long").alias("n_base"), F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"), labels("f.phrases").alias("base_labels"),
+        labels("f.phrases", "f.notices").alias("labels"), "f.score",
+    )
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read(spark, sf_dir, "documents").select("doc_id", secrets.secrets(F.col("text")).alias("f"))
+    return found.select("doc_id", "f.n_assign", "f.n_access", "f.n_hex", F.sha2("f.base", 256).alias("base_sha256"), "f.spans")
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_licenses": op9_licenses, "op10_secrets": op10_secrets}
 
 SQL: dict[str, str] = {"op2_top_k": OP2_SQL, "op3_decontaminate": OP3_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}

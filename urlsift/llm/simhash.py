@@ -8,33 +8,19 @@ complete distance of what is found is verified. Links join components of fingerp
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsift.llm.common import drop_written, text_copy, written
+from urlsift.llm.common import drop_written, text_copy, word_blocks, written
 from urlsift.llm.components import components
 
 SHINGLE = 3
 DISTANCE = 3
 SEGMENTS = 2
 SEED = 42
-_BLANK = re.compile(rb"[\x20\x09-\x0d]")
-_BLOCK = 1 << 20
-
-
-def _word_blocks(data: bytes):
-    """The words of lower-cased bytes, about a megabyte at a time."""
-    at = 0
-    while at < len(data):
-        cut = _BLANK.search(data, at + _BLOCK)
-        end = cut.start() if cut else len(data)
-        yield data[at:end].split()
-        at = end
 
 
 def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -47,7 +33,7 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
         counts[:] += np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         return len(values)
 
-    for words in _word_blocks((text or "").encode().lower()):
+    for words in word_blocks((text or "").encode().lower()):
         words = carry + words
         if len(words) >= shingle:
             total += add(map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False)))
