@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.llm import decontaminate, language_id, licenses, line_dedup, mixing, quality, secrets, simhash, top_k
+from urlsift.llm import decontaminate, fixity, language_id, licenses, line_dedup, mixing, quality, secrets, simhash, top_k
 from urlsift.llm.common import read
 
 
@@ -83,6 +83,57 @@ from d left join hit using (doc_id) left join listed using (doc_id)
 """
 
 
+def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in files of a thousand, against a replica in which records whose id has crc32 remainder 5
+    (of 64) have a changed byte and those of remainder 9 are lost. Returns every record that the audit finds."""
+    pages = read(spark, sf_dir, "pages")
+    data = fixity.record_bytes(F.col("page_id"), F.col("url"), F.col("html"))
+    part = _part("page_id", 64)
+    damaged = F.when(part == 5, F.concat(F.lit("w"), F.substring(data, 2, 2**31 - 1))).otherwise(data)
+
+    def hashed(record):
+        return F.sha2(record.cast("binary"), 256)
+
+    length = F.octet_length(data).cast("long").alias("length")
+    rows = pages.select(F.col("page_id").alias("number"), length, hashed(data).alias("hash"))
+    kept = fixity.build(fixity.laid_out(rows, ["hash"]))
+    theirs = pages.select(F.col("page_id").alias("number"), length, hashed(data).alias("own"), hashed(damaged).alias("hash"), part.alias("part"))
+    placed = fixity.laid_out(theirs, ["own"]).filter("part is null or part <> 9")
+    replica = fixity.build(placed)
+    return fixity.audit(kept, replica)
+
+
+OP4_SQL = r"""
+with records as (
+  select page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+         || coalesce(page_id::varchar, '') || '>' || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+         || 'Content-Length: ' || strlen(coalesce(html, ''))::varchar || chr(13) || chr(10) || chr(13) || chr(10)
+         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) as data
+  from pages
+), hashed as (
+  select *, strlen(data)::bigint as length, sha256(data) as hash, sha256('w' || substr(data, 2)) as broken,
+         'pages-' || lpad((page_id // 1000)::varchar, 9, '0') || '.warc' as file
+  from records
+), placed as (
+  select *, coalesce(sum(length) over (partition by file order by page_id, hash rows between unbounded preceding and 1 preceding),
+                     0)::bigint as offset
+  from hashed
+), bits as (
+  -- CRC-32 of the id's digits, a byte at a time and eight steps a byte
+  select *, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(page_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 1, 2, 3, 4, 5, 6, 7, 8],
+      lambda x, step: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)) as crc
+  from placed
+), judged as (
+  select *, xor(crc, 4294967295) % 64 as part from bits
+)
+select file, "offset", length, case when part = 5 then length end as found_length, hash,
+       case when part = 5 then broken end as found_hash, case when part = 5 then 'changed' else 'missing' end as damage
+from judged where part in (5, 9)
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -185,6 +236,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "f.n_assign", "f.n_access", "f.n_hex", F.sha2("f.base", 256).alias("base_sha256"), "f.spans")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_licenses": op9_licenses, "op10_secrets": op10_secrets}
+QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op4_fixity": op4_fixity, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_licenses": op9_licenses, "op10_secrets": op10_secrets}
 
-SQL: dict[str, str] = {"op2_top_k": OP2_SQL, "op3_decontaminate": OP3_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}
+SQL: dict[str, str] = {"op2_top_k": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_fixity": OP4_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}
