@@ -22,6 +22,7 @@ WINDOW = 13
 NARROWING = 2
 
 DOC = ["id", "copy"]
+NO_ID = 1 << 40
 PLACE = ["term", *DOC, "pos"]
 
 
@@ -34,9 +35,12 @@ def count_words(text: Column) -> Column:
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id, copy, t: ``copy`` tells rows apart that share an id but not a text."""
-    t = F.col(f"`{text}`").cast("string")
-    return docs.select(F.col(f"`{doc_id}`").alias("id"), text_copy(t).alias("copy"), t.alias("t"))
+    """id, copy, t, given_id: ``copy`` tells rows apart that share an id but not a text; in it, a bit that no text sets stands
+    for a null id, so that id and copy are never null."""
+    t, given = F.col(f"`{text}`").cast("string"), F.col(f"`{doc_id}`")
+    copy = text_copy(t).cast("long") + F.when(given.isNull(), F.lit(NO_ID)).otherwise(F.lit(0))
+    filled = F.coalesce(given, F.lit(0).cast(docs.schema[doc_id].dataType))
+    return docs.select(filled.alias("id"), copy.alias("copy"), t.alias("t"), given.alias("given_id"))
 
 
 def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -134,14 +138,12 @@ def contamination(
     inside = F.explode(F.sequence(F.col("start"), (F.col("start") + F.col("length") - 1).cast("int")))
     hit = phrases.select(*DOC, inside.alias("pos")).distinct().groupBy(*DOC).agg(F.count("*").alias("n_hit"))
     listed = phrases.groupBy(*DOC).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
-    marks = hit.join(listed, [F.equal_null(hit.id, listed.id), hit.copy == listed.copy]).select(
-        hit.id.alias("hit_id"), hit.copy.alias("hit_copy"), "n_hit", "item_ids"
-    )
-    counted = documents.select(*DOC, count_words(F.col("t")).alias("n_words"))
-    same = F.equal_null(F.col("id"), F.col("hit_id")) & (F.col("copy") == F.col("hit_copy"))
+    marks = hit.join(listed, DOC)
+    counted = documents.select(*DOC, "given_id", count_words(F.col("t")).alias("n_words"))
     none = F.array().cast("array<string>")
-    return counted.join(marks, same, "left").select(
-        *DOC, "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+    copy = F.when(F.col("given_id").isNull(), F.col("copy") - NO_ID).otherwise(F.col("copy")).cast("int")
+    return counted.join(marks, DOC, "left").select(
+        F.col("given_id").alias("id"), copy.alias("copy"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("item_ids", none).alias("item_ids"),
     )
 

@@ -47,7 +47,7 @@ class LineRuns:
 
     def files(self, name: str) -> DataFrame:
         """The rows of a run, without its order."""
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(self.spark.table(name).schema).parquet(f"{self.folder}/{name}")
 
     def take(self, keys: DataFrame) -> str:
         """``keys``: one row per key with its owner. Returns the name of the run made of those no run held."""
@@ -96,7 +96,8 @@ def dedup_lines(
     docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
         "doc", F.col(f"doc.`{doc_id}`").alias("id"), F.coalesce(F.col(f"doc.`{text}`").cast("string"), F.lit("")).alias("t")
     ).withColumn("th", F.xxhash64("t"))
-    bounds = docs.select(F.col("id").cast("double").alias("id")).approxQuantile("id", [k / batches for k in range(1, batches)], 0.001)
+    shares = [k / batches for k in range(1, batches)]
+    bounds = docs.select(F.col("id").cast("double").alias("id")).approxQuantile("id", shares, 0.001) if shares else []
     late = [F.when(F.col("id") > F.lit(int(b)), 1).otherwise(0) for b in sorted({int(b) for b in bounds})]
     batch = F.when(F.col("id").isNull(), len(late)).otherwise(sum(late, F.lit(0)))
 

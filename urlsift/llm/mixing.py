@@ -109,7 +109,7 @@ def mix(
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = targets(sizes, weights, repeats).withColumn("quota", F.floor("target"))
     blocks = F.ceil(F.col("source_size") / block)
-    passes = F.coalesce(F.floor(F.col("quota") / F.col("source_size")), F.lit(0))
+    passes = F.coalesce(F.floor(F.try_divide("quota", "source_size")), F.lit(0))
     rest = F.ceil((F.col("quota") - passes * F.col("source_size")) / block)
     sources = written(sources.withColumn("blocks", blocks).withColumn("slots", passes * blocks + rest), "mix-sources")
 
@@ -141,7 +141,7 @@ def _schedule(spark, sources: DataFrame, block: int) -> DataFrame:
     short = sources.join(have, "s", "left").withColumn("have", F.coalesce("have", F.lit(0))).filter("have < slots")
     closing = short.select("s", F.explode(F.sequence(F.col("have"), F.col("slots") - 1)).alias("rank"), F.lit(None).cast("long").alias("slot"))
     placed = ranked.union(closing).join(small(sources), "s").filter("rank < slots")
-    number = F.col("rank") % F.col("blocks")
-    before = F.floor(F.col("rank") / F.col("blocks")) * F.col("source_size") + number * block
+    number = F.try_mod("rank", "blocks")
+    before = F.floor(F.try_divide("rank", "blocks")) * F.col("source_size") + number * block
     inside = F.least(F.lit(block), F.col("source_size") - number * block, F.col("quota") - before)
     return placed.select("s", "rank", "slot", number.alias("block"), inside.cast("long").alias("words"))

@@ -79,8 +79,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
     """Pairs (a, b), a < b, of the distinct values ``fp`` at no more than ``distance`` bits."""
     tables, probes = [], []
     for k, (shift, width, radius) in enumerate(_segments(distance, segments)):
-        part = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
-        masks = F.array(*[F.lit(m) for m in _ball(width, radius)])
+        part = F.shiftrightunsigned("fp", shift)
+        part = part.bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else part
+        masks = F.array(*[F.lit(m - (m >> 63 << 64)).cast("long") for m in _ball(width, radius)])
         tables.append(prints.select(F.lit(k).alias("segment"), part.alias("key"), F.col("fp").alias("b")))
         around = prints.select(F.col("fp").alias("a"), part.alias("part"), F.explode(masks).alias("mask"))
         probes.append(around.select(F.lit(k).alias("segment"), F.col("part").bitwiseXOR(F.col("mask")).alias("key"), "a"))
@@ -94,8 +95,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS
 ) -> DataFrame:
-    """(id, copy, fp, component) for each row: the smallest id reachable by links of at most ``distance`` bits;
-    ``copy`` is ``text_copy`` of the text, which tells rows apart that share an id.
+    """(id, copy, fp, root, component) for each row: ``component`` is the smallest id reachable by links of at most
+    ``distance`` bits, ``root`` the component's smallest fingerprint; ``copy`` is ``text_copy`` of the text, which tells
+    rows apart that share an id.
 
     Equal fingerprints are linked, the zero of wordless and null texts too. Repeated rows stay repeated.
     Null ids belong to their component but never name one that has another id. Other columns aren't read.
@@ -109,13 +111,13 @@ def near_duplicates(
     drop_written(edges)
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("low").alias("component"))
-    named = rooted.join(smallest, "root").select("fp", "component")
-    return prints.join(named, "fp").select("id", "copy", "fp", "component")
+    named = rooted.join(smallest, "root").select("fp", "root", "component")
+    return prints.join(named, "fp").select("id", "copy", "fp", "root", "component")
 
 
 def representatives(found: DataFrame) -> DataFrame:
     """Of the rows of ``near_duplicates`` one (id, copy, repeats) for each component, the smallest; a row without an id only
     where no row has one. ``repeats`` counts the equal rows behind it."""
-    rows = found.groupBy("component", "id", "copy").agg(F.count("*").alias("repeats"))
+    rows = found.groupBy("root", "id", "copy").agg(F.count("*").alias("repeats"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "copy", "repeats")).alias("first")
-    return rows.groupBy("component").agg(first).select("first.id", "first.copy", "first.repeats")
+    return rows.groupBy("root").agg(first).select("first.id", "first.copy", "first.repeats")
