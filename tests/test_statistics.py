@@ -66,8 +66,8 @@ def test_spearman_by_ranges(spark, sf):
 def test_salted_lookup_equals_broadcast(spark):
     big = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"))
     small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    a = lookup_join(big, small, ["k"], ["id"]).select("id", "k", "v").collect()
-    b = lookup_join(big, small, ["k"], ["id"], limit=5).select("id", "k", "v").collect()
+    a = lookup_join(big, small, ["k"]).select("id", "k", "v").collect()
+    b = lookup_join(big, small, ["k"], limit=5).select("id", "k", "v").collect()
     assert sorted(a) == sorted(b) and len(a) == 1000
 
 

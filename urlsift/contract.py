@@ -134,12 +134,17 @@ def label_problems(df: DataFrame, label: str = TARGET) -> DataFrame:
     )
 
 
+def unexpected_labels(df: DataFrame, label: str = TARGET) -> DataFrame:
+    """The distinct labels other than 0 and 1, in order."""
+    return df.select(label).filter(~F.col(label).isin(0, 1)).distinct().orderBy(label)
+
+
 def check_labels(df: DataFrame, label: str = TARGET) -> DataFrame:
     found = label_problems(df, label).first()
     if found["missing_labels"]:
         raise ContractError(f"{found['missing_labels']} row(s) have no label")
     if found["unexpected_rows"]:
-        outside = df.select(label).filter(~F.col(label).isin(0, 1)).distinct().orderBy(label).limit(20)
+        outside = unexpected_labels(df, label)
         raise ContractError(f"labels outside {{0, 1}}: {[r[0] for r in outside.collect()]}")
     return df
 

@@ -1,23 +1,21 @@
 """Hosts, registrable domains and site identity as Column expressions.
 
-The suffix rules, a list of bounded length, become one pattern literal, so no host
+The suffix rules become a literal set in which a host's parents are looked up, so no host
 leaves its row and nothing is joined.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from urlsift import constants as K
-from urlsift.functions.text import strip
+from urlsift.functions.text import let, strip
 
-MAX_RULES = 20_000
-_IPV4 = r"^(\d{1,3}\.){3}\d{1,3}$"
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_IPV4 = rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"
 
 
 def host_of_authority(authority: Column) -> Column:
@@ -29,29 +27,45 @@ def host_of_authority(authority: Column) -> Column:
     return F.nullif(F.lower(host), F.lit(""))
 
 
-@lru_cache(maxsize=16)
-def _name_pattern(rules: tuple[str, ...]) -> str:
-    """One label and the longest suffix rule at the end of a host.
+def host_suffixes(host: Column) -> Column:
+    """The host and every parent of it: a.b.c, b.c, c."""
+    labels = F.split(host, r"\.")
+    return F.transform(
+        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+    )
 
-    The leftmost match has the longest suffix. A "*." rule covers one more label,
-    a "!" rule takes a name out of such a rule.
-    """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} suffix rules exceed the literal bound of {MAX_RULES}")
-    plain = [re.escape(r) for r in rules if r[0] not in "*!"]
-    wild = [re.escape(r[2:]) for r in rules if r.startswith("*.")]
-    exceptions = [re.escape(r[1:]) for r in rules if r.startswith("!")]
-    guard = f"(?!(?:{'|'.join(exceptions)})$)" if exceptions else ""
-    suffixes = plain + [rf"{guard}[^.]+\.{w}" for w in wild]
-    names = [rf"[^.]+\.(?:{'|'.join(suffixes)})", *exceptions]
-    return rf"(?:^|\.)({'|'.join(names)})\.?$"
+
+def _member(name: Column, names: Sequence[str]) -> Column:
+    """Membership of a literal list of any length; the planner makes a hash set of it."""
+    return name.isin(list(names)) if names else F.lit(False)
 
 
 def registrable_domain(host: Column, rules: Sequence[str] = K.SUFFIX_RULES) -> Column:
     """``name.suffix`` under the longest matching suffix rule; NULL when no rule matches
-    or the host is itself a suffix. A dotted quad is its own domain."""
-    name = F.regexp_extract(F.lower(host), _name_pattern(tuple(rules)), 1)
-    return F.when(host.rlike(_IPV4), host).otherwise(F.nullif(name, F.lit("")))
+    or the host is itself a suffix. An address is its own domain.
+
+    The parents of the host are looked up from the longest on. A "*." rule covers one more
+    label, a "!" rule takes a name out of such a rule.
+    """
+    plain = tuple(r for r in rules if r[0] not in "*!")
+    wild = tuple(r[2:] for r in rules if r.startswith("*."))
+    exceptions = tuple(r[1:] for r in rules if r.startswith("!"))
+
+    def judge(parents):
+        def is_suffix(s):
+            covered = _member(F.regexp_replace(s, r"^[^.]+\.", ""), wild) & F.contains(s, F.lit("."))
+            return _member(s, plain) | (covered & ~_member(s, exceptions))
+
+        taken_out = F.filter(parents, lambda s: _member(s, exceptions))
+        at = F.array_position(F.transform(parents, is_suffix), True)
+        name = F.when(at > 1, F.get(parents, (at - 2).cast("int")))
+        named = F.coalesce(F.get(taken_out, F.lit(0)), name) if exceptions else name
+        # an empty label in front of the suffix is no name
+        return F.when(~F.startswith(named, F.lit(".")), named)
+
+    bare = F.regexp_replace(F.lower(host), r"\.$", "")
+    address = host.rlike(_IPV4) | F.contains(host, F.lit(":"))
+    return F.when(address, host).otherwise(let(host_suffixes(bare), judge))
 
 
 def site_of_host(host: Column, rules: Sequence[str] = K.SUFFIX_RULES) -> Column:

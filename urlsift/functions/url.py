@@ -9,6 +9,8 @@ row, so there is no separate row-level version to keep in step.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import lru_cache
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,8 +118,17 @@ def letters(url):
     return _kept(_col(url), r"[^\p{L}]")
 
 
+@lru_cache(maxsize=1)
+def _other_digits() -> str:
+    """Ranges of the characters that count as digits without being decimal."""
+    odd = [i for i in range(0x80, 0x110000) if chr(i).isdigit() and not chr(i).isdecimal()]
+    runs = groupby(enumerate(odd), key=lambda x: x[1] - x[0])
+    ends = [(part[0][1], part[-1][1]) for part in (list(run) for _, run in runs)]
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ends)
+
+
 def digits(url):
-    return _kept(_col(url), r"[^\p{Nd}¹²³⁰⁴-⁹₀-₉]")
+    return _kept(_col(url), rf"[^\p{{Nd}}{_other_digits()}]")
 
 
 def digit_ratio(url):

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urlsift import constants as K
 from urlsift.functions.addresses import address_reason, is_address
+from urlsift.functions.hosts import host_suffixes
 from urlsift.functions.text import let, strip
 from urlsift.runtime import lookup_join
 
-DENY_LITERALS = 10_000
 _SPLIT = r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://([^/?#]*))?"
 
 
@@ -32,35 +33,44 @@ def url_parts(url: Column) -> dict[str, Column]:
     return {"scheme": scheme, "authority": authority, "host": F.lower(host), "port": port}
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and every parent of it: a.b.c, b.c, c."""
-    labels = F.split(host, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
+def _idna(hosts: pa.Array) -> pa.Array:
+    """The form of a host name that resolvers see; NULL for a name that has none."""
+    out = []
+    for host in hosts.to_pylist():
+        try:
+            out.append(None if host is None else host.encode("idna").decode("ascii").lower())
+        except UnicodeError:
+            out.append(None)
+    return pa.array(out, pa.string())
+
+
+def ascii_host(host: Column) -> Column:
+    """The host as resolvers see it. Plain names stay as they are, even those with odd labels; others are
+    encoded, and NULL where that fails."""
+    plain = host.rlike(r"^[\x00-\x7F]*$")
+    return F.when(plain, host).otherwise(F.arrow_udf(_idna, "string")(F.when(~plain, host)))
 
 
 def is_denied(host: Column, deny: Sequence[str]) -> Column:
-    """Whether the host or a parent of it is on a short deny list."""
+    """Whether the host or a parent of it is on a deny list, which becomes a literal set."""
     if not deny:
         return F.lit(False)
-    if len(deny) > DENY_LITERALS:
-        raise ValueError("use denied_rows for a long deny list")
-    return F.exists(host_suffixes(host), lambda s: s.isin([d.lower() for d in deny]))
+    names = [d.lower() for d in deny]
+    return F.exists(host_suffixes(host), lambda s: s.isin(names))
 
 
 def denied_rows(rows: DataFrame, deny: DataFrame, key: str, host: str = "host") -> DataFrame:
     """Keys whose host or a parent of it is in a deny table of any size.
 
     Every host is exploded into its few parents, once per distinct host, and looked
-    up; a long table is salted against hot parents such as "com".
+    up; of a long table the planner splits hot parents such as "com".
     """
     hosts = rows.select(F.col(host).alias("_h")).distinct()
     parents = hosts.select("_h", F.explode(host_suffixes(F.col("_h"))).alias("host"))
     table = deny.select(F.lower(deny.columns[0]).alias("host")).distinct().withColumn("_hit", F.lit(True))
-    hit = lookup_join(parents, table, ["host"], ["_h"]).filter("_hit").select("_h").distinct()
+    hit = lookup_join(parents, table, ["host"]).filter("_hit").select("_h").distinct()
     return lookup_join(
-        rows.select(key, F.col(host).alias("_h")), hit.withColumn("_hit", F.lit(True)), ["_h"], [key]
+        rows.select(key, F.col(host).alias("_h")), hit.withColumn("_hit", F.lit(True)), ["_h"]
     ).filter("_hit").select(key)
 
 
@@ -78,12 +88,14 @@ def admission_reason(url: Column, deny: Sequence[str] = ()) -> Column:
             .when(~p["scheme"].isin(list(K.ALLOWED_SCHEMES)), "scheme_not_allowed")
             .when(F.contains(p["authority"], F.lit("@")), "credentials_in_url")
             .when(p["host"] == "", "missing_host")
+            .when(p["ascii"].isNull(), "invalid_hostname")
             .when(bad_port, "invalid_port")
             .when(~actual.isin(list(K.ALLOWED_PORTS)), "port_not_allowed")
-            .when(is_denied(p["host"], deny), "host_denied")
+            .when(is_denied(p["ascii"], deny), "host_denied")
         )
 
     parts = {"text": strip(url), **url_parts(url)}
+    parts["ascii"] = ascii_host(parts["host"])
     return let(F.struct(*[e.alias(n) for n, e in parts.items()]), judge)
 
 
@@ -93,13 +105,13 @@ def vet_resolved(
 ) -> DataFrame:
     """Key, host, reason (NULL when admitted) and the pinned first address.
 
-    ``dns`` has host, ord, ip. Every address of a host must be permissible; the
+    ``dns`` has host, ord, ip; a row without an ip says that the host resolved to nothing. Every address of a host must be permissible; the
     first offending one in order gives the reason. Resolution is reduced to one row
     per host before the lookup, and literal addresses need none.
     """
     def verdict(ip):
         mine = ip.isin(list(own)) if own else F.lit(False)
-        return F.when(mine, "own_address").otherwise(address_reason(ip))
+        return F.when(ip.isNull(), "dns_no_records").when(mine, "own_address").otherwise(address_reason(ip))
 
     judged = dns.select(F.lower("host").alias("host"), "ord", "ip", verdict(F.col("ip")).alias("_why"))
     per_host = judged.groupBy("host").agg(
@@ -108,8 +120,8 @@ def vet_resolved(
         F.lit(True).alias("_known"),
     )
     parts = url_parts(F.col(url))
-    staged = urls.select(key, parts["host"].alias("host"), admission_reason(F.col(url), deny).alias("_rule"))
-    joined = lookup_join(staged, per_host, ["host"], [key]).withColumn("_literal", is_address(F.col("host")))
+    staged = urls.select(key, F.coalesce(ascii_host(parts["host"]), parts["host"]).alias("host"), admission_reason(F.col(url), deny).alias("_rule"))
+    joined = lookup_join(staged, per_host, ["host"]).withColumn("_literal", is_address(F.col("host")))
     literal = F.col("_literal")
     why = (
         F.when(F.col("_rule").isNotNull(), F.col("_rule"))

@@ -76,8 +76,8 @@ def spearman(pairs: DataFrame, **options) -> DataFrame:
         counted = stored.groupBy("feature", side).agg(F.sum("n").alias("n"))
         return average_ranks(counted, "feature", side, name=name, **options).drop("n")
 
-    ranked = lookup_join(stored, ranks("e", "_re"), ["feature", "e"], ["a"])
-    ranked = lookup_join(ranked, ranks("a", "_ra"), ["feature", "a"], ["e"])
+    ranked = lookup_join(stored, ranks("e", "_re"), ["feature", "e"])
+    ranked = lookup_join(ranked, ranks("a", "_ra"), ["feature", "a"])
     middle = (stored.groupBy("feature").agg(((F.sum("n") + 1) / 2).alias("_mid")))
     x, y = F.col("_re") - F.col("_mid"), F.col("_ra") - F.col("_mid")
     sums = ranked.join(F.broadcast(middle), "feature").groupBy("feature").agg(

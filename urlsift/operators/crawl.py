@@ -9,7 +9,7 @@ from urlsift import constants as K
 from urlsift.functions.hosts import resolve
 from urlsift.functions.text import LINE_BREAK, contains_any, strip
 from urlsift.operators.admission import admission_reason
-from urlsift.runtime import lookup_join, written
+from urlsift.runtime import small, written
 
 
 def is_challenge(html: Column, title: Column | None = None) -> Column:
@@ -65,16 +65,17 @@ def follow_redirects(
 
     ``hops`` has url and location, one row per redirecting URL. A chain
     has at most ``max_redirects`` + 1 steps, so the lookups are unrolled. Every hop
-    is admitted anew. The hop table is counted once and broadcast while small.
+    is admitted anew. Of several locations of one URL the first in order counts. The hop table is
+    measured once and broadcast while small.
     """
-    table = written(hops.select(F.col("url").alias("_at"), F.col("location").alias("_next")), "hops")
-    n_hops = table.count()
+    table = hops.select(F.col("url").alias("_at"), F.col("location").alias("_next"))
+    table = small(written(table.groupBy("_at").agg(F.min("_next").alias("_next")), "hops"))
     walk = starts.select(
         key, F.col(url).alias("_at"), F.array().cast("array<string>").alias("chain"),
         admission_reason(F.col(url), deny).alias("reason"),
     )
     for step in range(max_redirects + 1):
-        walk = lookup_join(walk, table, ["_at"], [key], n_hops)
+        walk = walk.join(table, ["_at"], "left")
         walk = walk.withColumn("_next", resolve(F.col("_at"), F.col("_next")))
         moves = F.col("reason").isNull() & F.col("_next").isNotNull()
         broken = F.when(F.lit(step == max_redirects), F.lit("too_many_redirects")).otherwise(

@@ -119,15 +119,28 @@ class _PageScan(HTMLParser):
     def handle_comment(self, data):
         self.flush()
 
+    def parse_marked_section(self, i, report=1):
+        """A declaration in brackets that isn't known ends at the next ">", as in a browser."""
+        if self.rawdata.startswith("<![CDATA[", i):
+            return super().parse_marked_section(i, report)
+        return self.parse_bogus_comment(i)
+
 
 def scan_html(html: str, everything: bool = False) -> dict:
     """Scan one page; malformed markup never raises."""
     scan = _PageScan(everything)
-    try:
-        scan.feed(html)
-        scan.close()
-    except (AssertionError, ValueError, IndexError):
-        pass  # keep what was read before the parser gave up
+    rest = html
+    while rest:
+        try:
+            scan.feed(rest)
+            scan.close()
+            break
+        except (AssertionError, ValueError, IndexError):
+            # go on behind the character at which the parser gave up
+            line, column = scan.getpos()
+            lines = rest.split("\n")
+            rest = rest[sum(len(x) + 1 for x in lines[: line - 1]) + column + 1 :]
+            HTMLParser.reset(scan)
     scan.flush()
     return {
         "title": "".join(scan.titles) or None,

@@ -118,27 +118,29 @@ def average_precision(df: DataFrame, truth: str, score: str, tie: Sequence[str],
 
     Equal scores are ordered by the tie columns. One row; 0 without positives.
     """
-    slim = df.select(score, *tie, (F.col(truth) == 0).cast("int").alias("_pos"))
-    ranked = running_totals(
-        slim, score, {"_rank": F.lit(1), "_tp": F.col("_pos")}, tie=tie, descending=True, **options
+    slim = df.select(F.lit("").alias("model"), F.col(score).alias("_score"), *tie, (F.col(truth) == 0).cast("int").alias("_pos"))
+    return _precision_at_positives(slim, tie, **options).agg(
+        F.coalesce(F.first("average_precision"), F.lit(0.0)).alias("average_precision")
     )
-    return ranked.agg(
-        F.coalesce(
-            F.avg(F.when(F.col("_pos") == 1, F.col("_tp") / F.col("_rank"))), F.lit(0.0)
-        ).alias("average_precision")
+
+
+def _precision_at_positives(slim: DataFrame, tie: Sequence[str], **options) -> DataFrame:
+    """``slim``: model, _score, the tie columns and _pos; all models in one order."""
+    ranked = running_totals(
+        slim, "_score", {"_rank": F.lit(1), "_tp": F.col("_pos")}, tie=tie, by=["model"], descending=True, **options
     )
+    precision = F.avg(F.when(F.col("_pos") == 1, F.col("_tp") / F.col("_rank")))
+    return ranked.groupBy("model").agg(F.coalesce(precision, F.lit(0.0)).alias("average_precision"))
 
 
 def average_precision_table(df: DataFrame, truth: str, models: Sequence[str], tie: Sequence[str],
                             **options) -> DataFrame:
-    n_rows = options.pop("n_rows", None) or df.count()
-    rows = None
-    for m in models:
-        one = average_precision(df, truth, f"{m}_score", tie, n_rows=n_rows, **options).select(
-            F.lit(m).alias("model"), "average_precision"
-        )
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    """One row per model, all ranked in one pass."""
+    slim = df.select(*tie, (F.col(truth) == 0).cast("int").alias("_pos"), *[F.col(f"{m}_score").cast("double").alias(m) for m in models])
+    long = slim.unpivot([*tie, "_pos"], list(models), "model", "_score")
+    found = _precision_at_positives(long, tie, **options)
+    every = df.sparkSession.createDataFrame([(m,) for m in models], "model string")
+    return every.join(found, "model", "left").fillna(0.0, ["average_precision"])
 
 
 def disagreement(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -131,7 +131,7 @@ def central_fill(df: DataFrame, cols, limit: float) -> dict[str, NumericFill]:
     """
     found = moments(df, cols)
     skewed = [c for c in cols if found[c][2] is not None and abs(found[c][2]) > limit]
-    medians = exact_quantiles(df, skewed, [0.5], counts={c: found[c][0] for c in skewed})
+    medians = exact_quantiles(df, skewed, [0.5])
     return {
         c: NumericFill("median", medians[c][0], found[c][2]) if c in medians
         else NumericFill("mean", found[c][1], found[c][2])
@@ -216,7 +216,7 @@ def _pick_modes(counted: list[tuple[str, float, int]]) -> Modes:
     return Modes(top, len(rows), rows, None)
 
 
-def _extend_key(df: DataFrame, steps: list[tuple[str, Modes]], salt_from) -> DataFrame:
+def _extend_key(df: DataFrame, steps: list[tuple[str, Modes]]) -> DataFrame:
     """Extend ``_key`` over the steps: literal runs by one fold each, a large step by a join."""
     run = []
     for column, modes in steps:
@@ -226,7 +226,7 @@ def _extend_key(df: DataFrame, steps: list[tuple[str, Modes]], salt_from) -> Dat
         if run:
             df, run = df.withColumn("_key", _folded_key(run)), []
         table = modes.table.select(F.col("key").alias("_key"), F.col("mode").alias("_mode"))
-        joined = lookup_join(df, table, ["_key"], salt_from, modes.n_keys)
+        joined = lookup_join(df, table, ["_key"])
         filled = F.coalesce(F.col(column).cast("double"), "_mode", F.lit(modes.overall))
         df = joined.withColumn("_key", F.concat("_key", filled.cast("string"), F.lit("|"))).drop("_mode")
     return df.withColumn("_key", _folded_key(run)) if run else df
@@ -249,7 +249,7 @@ def fit_cascade(df: DataFrame, spec: Spec, literal_keys: int = LITERAL_KEYS) ->
     )
     steps, pending = [], []
     for column in order:
-        keyed = _extend_key(state, pending, order)
+        keyed = _extend_key(state, pending)
         counted = (
             keyed.filter(F.col(column).isNotNull())
             .groupBy(F.col("_key").alias("key"), F.col(column).cast("double").alias("mode"))
@@ -265,7 +265,7 @@ def fit_cascade(df: DataFrame, spec: Spec, literal_keys: int = LITERAL_KEYS) ->
             top = _most_common(counted.groupBy("mode").agg(F.sum("_n").alias("_n")), [], "mode", "_n")
             table = written(per_key, "modes")
             modes = Modes(top.first()["mode"], table.count(), None, table)
-            state = written(_extend_key(keyed, [(column, modes)], order), "patterns")
+            state = written(_extend_key(keyed, [(column, modes)]), "patterns")
             pending = []
         steps.append(modes)
     return tuple(steps)
@@ -295,7 +295,7 @@ def replay_cascade(df: DataFrame, stats: FittedStats, count_missed: bool = False
     spec = stats.spec
     steps = list(zip(spec.cascade_order, stats.cascade, strict=True))
     first = len(spec.cascade_key)
-    keyed = _extend_key(df.withColumn("_key", _start_key(spec)), steps, spec.keys)
+    keyed = _extend_key(df.withColumn("_key", _start_key(spec)), steps)
     if count_missed:
         for i, (column, modes) in enumerate(steps):
             prefix = F.concat(F.substring_index("_key", "|", first + i), F.lit("|"))
@@ -305,9 +305,7 @@ def replay_cascade(df: DataFrame, stats: FittedStats, count_missed: bool = False
                 keyed = keyed.withColumn("_prefix", prefix)
             else:
                 table = modes.table.select(F.col("key").alias("_prefix"), F.lit(True).alias("_hit"))
-                keyed = lookup_join(
-                    keyed.withColumn("_prefix", prefix), table, ["_prefix"], spec.keys, modes.n_keys
-                )
+                keyed = lookup_join(keyed.withColumn("_prefix", prefix), table, ["_prefix"])
                 known = F.col("_hit").isNotNull()
             keyed = keyed.withColumn(f"_missed_{column}", F.col(column).isNull() & ~known).drop("_prefix", "_hit")
     parts = keyed.withColumn("_parts", F.split("_key", r"\|"))
@@ -318,10 +316,10 @@ def replay_cascade(df: DataFrame, stats: FittedStats, count_missed: bool = False
 
 # --- the fill stages shared by fit and transform ------------------------------------
 
-def fill_category_share(df: DataFrame, spec: Spec, means: DataFrame, rows: int, fill) -> DataFrame:
+def fill_category_share(df: DataFrame, spec: Spec, means: DataFrame, fill) -> DataFrame:
     """Recorded share, else 0 for an address, else the category mean, else the global fill."""
     table = means.withColumnRenamed(means.columns[0], spec.category)
-    joined = lookup_join(df, table, [spec.category], spec.keys, rows)
+    joined = lookup_join(df, table, [spec.category])
     options = [F.col(spec.category_share)]
     if spec.category_zero:
         options.append(F.when(F.col(spec.category_zero) == 1, F.lit(0.0)))
@@ -334,7 +332,7 @@ def stage_records(df: DataFrame, stats: FittedStats) -> DataFrame:
     if stats.spec.url_chain:
         df = U.fill_url_features(df, stats.char_shares)
     return fill_category_share(
-        df, stats.spec, stats.category_means, stats.category_rows, stats.category_fill
+        df, stats.spec, stats.category_means, stats.category_fill
     )
 
 
@@ -448,7 +446,7 @@ def fit(df: DataFrame, spec: Spec = PAGE_SPEC, demoted: tuple[str, ...] = ()) ->
     stats = replace(stats, n_rows=n_rows, numeric_fill=fills, cascade=fit_cascade(staged, spec))
     filled = fill_numeric(staged, fills)
     ends = exact_quantiles(
-        filled, spec.numeric, [0.01, 0.99], counts={c: n_rows for c in spec.numeric}
+        filled, spec.numeric, [0.01, 0.99]
     )
     clip = {c: (e[0], e[1]) for c, e in ends.items() if e[0] is not None}
     whole = coerce_integral(clip_numeric(replay_cascade(filled, stats), clip), spec.integral)

@@ -2,27 +2,28 @@
 
 The reference set of the classifiers is bounded (its first 10,000 rows), so it is
 sent to every task and each Arrow batch of queries is answered by one matrix
-product. A larger reference set is cut into blocks of bounded size that meet
-bounded query blocks in co-grouped tasks; the k best of all blocks are merged.
-Both give the k smallest by (distance, reference id).
+product. A larger reference set is packed into blocks that stream past stacks of
+queries, which keep a running k best. Both give the k smallest by (distance, reference id).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urlsift import constants as K
+from urlsift.runtime import written
 
 METRICS = ("euclidean", "manhattan", "minkowski")
-REFERENCE_BOUND = 100_000
+# Bytes of references that are carried to every task.
+REFERENCE_BYTES = 32 << 20
 BLOCK_ROWS = 20_000
+QUERY_ROWS = 4_096
 _CHUNK = 512
 _MARGIN = 16
 
@@ -118,11 +119,11 @@ def _lists(ids, labels, found, dist) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * k, pa.int32()), flat)
 
 
-def _bounded(queries, ref_rows, keys, vector, k, power):
+def _bounded(queries, table, keys, vector, k, power):
     """Answer from a reference set carried to every task."""
-    ids = np.array([r[0] for r in ref_rows], np.int64)
-    labels = np.array([r[1] if r[1] is not None else -1 for r in ref_rows], np.int32)
-    ref = np.array([r[2] for r in ref_rows], np.float32)
+    ids = table.column(0).to_numpy()
+    labels = table.column(1).fill_null(-1).to_numpy().astype(np.int32)
+    ref = _matrix(table.column(2), len(table.column(2)[0]))
     carried = queries.sparkSession.sparkContext.broadcast((ids, labels, ref))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,70 +142,129 @@ def _bounded(queries, ref_rows, keys, vector, k, power):
     return slim.mapInArrow(run, T.StructType(fields))
 
 
-def _blocked(queries, refs, keys, vector, ref_id, label, k, power, block_rows, n_refs):
-    """Every query block meets every reference block; the k best of each are merged."""
-    n_blocks = math.ceil(n_refs / block_rows)
-    n_query_blocks = max(1, math.ceil(queries.count() / block_rows))
-    q = queries.select(
-        *keys, F.col(vector).alias("_v"),
-        F.pmod(F.xxhash64(*keys), F.lit(n_query_blocks)).alias("_qb"),
-    ).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
-    r = refs.select(
-        F.col(ref_id).cast("long").alias("_id"), F.col(label).cast("int").alias("_label"),
-        F.col(vector).alias("_v"), F.pmod(F.xxhash64(ref_id), F.lit(n_blocks)).alias("_rb"),
-    ).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1)).cast("array<long>")))
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        width = len(left.column("_v")[0]) if left.num_rows else 0
-        if not left.num_rows or not right.num_rows:
-            empty = [left.column(c).slice(0, 0) for c in keys]
-            return pa.table([*empty, pa.array([], _ARROW_NEIGHBOURS)], names=[*keys, "neighbours"])
-        ref = _matrix(right.column("_v"), width)
-        ids = right.column("_id").to_numpy()
-        labels = right.column("_label").fill_null(-1).to_numpy().astype(np.int32)
-        parts = []
-        for start in range(0, left.num_rows, _CHUNK):
-            part = left.slice(start, _CHUNK)
-            found, dist = _nearest(_matrix(part.column("_v"), width), ref, ids, k, power)
-            cols = [part.column(c) for c in keys]
-            parts.append(
-                pa.table([*cols, _lists(ids, labels, found, _root(dist, power))], names=[*keys, "neighbours"])
+_STACK = pa.schema([("ids", pa.binary()), ("labels", pa.binary()), ("vectors", pa.binary()), ("width", pa.int32())])
+_STACK_DDL = "ids binary, labels binary, vectors binary, width int"
+
+
+def _stack(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Rows (id, label, vector) as rows of up to ``size`` packed vectors."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+
+    def out(table: pa.Table):
+        vectors = table.column(2)
+        width = len(vectors[0])
+        labels = table.column(1).fill_null(-1).to_numpy().astype(np.int32)
+        row = {"ids": [table.column(0).to_numpy().tobytes()], "labels": [labels.tobytes()],
+               "vectors": [_matrix(vectors, width).tobytes()], "width": [width]}
+        return pa.RecordBatch.from_pydict(row, schema=_STACK)
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        while rows >= size:
+            table = pa.Table.from_batches(held)
+            yield out(table.slice(0, size))
+            held = table.slice(size).to_batches()
+            rows -= size
+    if rows:
+        yield out(pa.Table.from_batches(held))
+
+
+def _unstack(row: dict):
+    ids, labels = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int32)
+    return ids, labels, np.frombuffer(row["vectors"], np.float32).reshape(len(ids), row["width"])
+
+
+def _blocked(queries, refs, keys, vector, ref_id, label, k, power, block_rows):
+    """Stacks of queries stay where they are while the reference blocks stream past them; nothing but the
+    k best of each query leaves a task. Few stacks are copied so that every slot has a share of the blocks."""
+    spark = queries.sparkSession
+    rows = written(queries.select(*keys, F.col(vector).alias("_v"), F.monotonically_increasing_id().alias("_row")), "knn-queries")
+    no_label = F.lit(None).cast("int").alias("_label")
+    asks = rows.select("_row", no_label, "_v").mapInArrow(lambda b: _stack(b, QUERY_ROWS), _STACK_DDL)
+    blocks = refs.select(F.col(ref_id).cast("long"), F.col(label).cast("int"), vector).mapInArrow(lambda b: _stack(b, block_rows), _STACK_DDL)
+    asks = written(asks.withColumn("_at", F.monotonically_increasing_id()), "knn-stacks")
+    blocks = written(blocks.withColumn("_at", F.monotonically_increasing_id()), "knn-blocks")
+    # one row per thousands of vectors
+    number = F.row_number().over(Window.orderBy("_at")) - 1
+    asks = asks.join(asks.select("_at", number.alias("_stack")), "_at")
+    n_stacks = max(1, asks.count())
+    shares = max(1, -(-spark.sparkContext.defaultParallelism // n_stacks))
+    numbered = blocks.join(blocks.select("_at", number.alias("_order")), "_at")
+    packed = [F.col(c) for c in _STACK.names]
+    streams = asks.select(
+        "_stack", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_share"), F.lit(-1).alias("_order"), *packed
+    ).union(numbered.select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_stacks - 1))).alias("_stack"), (F.col("_order") % shares).alias("_share"), "_order", *packed
+    ))
+    streams = streams.repartition(n_stacks * shares, "_stack", "_share").sortWithinPartitions("_stack", "_share", "_order")
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ask = best = None
+
+        def out():
+            ids, labels, dist = best
+            real = np.isfinite(dist)
+            ends = np.append(0, np.cumsum(real.sum(axis=1))).astype(np.int32)
+            flat = pa.StructArray.from_arrays(
+                [pa.array(ids[real]), pa.array(labels[real]), pa.array(dist[real])], names=["ref_id", "label", "distance"]
             )
-        return pa.concat_tables(parts)
+            return pa.RecordBatch.from_arrays([pa.array(ask[0]), pa.ListArray.from_arrays(pa.array(ends), flat)], ["_row", "neighbours"])
 
-    fields = [queries.schema[c] for c in keys] + [T.StructField("neighbours", NEIGHBOURS)]
-    met = q.groupBy("_qb", "_rb").cogroup(r.groupBy("_qb", "_rb")).applyInArrow(meet, T.StructType(fields))
-    # k entries per reference block and query
-    merged = met.groupBy(*keys).agg(F.flatten(F.collect_list("neighbours")).alias("n"))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
+                if row["_order"] < 0:
+                    if ask is not None:
+                        yield out()
+                    ask, n = _unstack(row), len(_unstack(row)[0])
+                    best = np.zeros((n, k), np.int64), np.full((n, k), -1, np.int32), np.full((n, k), np.inf)
+                    continue
+                ids, labels, ref = _unstack(row)
+                for start in range(0, len(ask[0]), _CHUNK):
+                    part = slice(start, start + _CHUNK)
+                    found, dist = _nearest(ask[2][part], ref, ids, k, power)
+                    both = [np.concatenate([old[part], new], axis=1) for old, new in zip(best, (ids[found], labels[found], dist), strict=True)]
+                    order = np.lexsort((both[0], both[2]), axis=1)[:, :k]
+                    for old, new in zip(best, both, strict=True):
+                        old[part] = np.take_along_axis(new, order, axis=1)
+        if ask is not None:
+            yield out()
+
+    found = streams.mapInArrow(stream, T.StructType([T.StructField("_row", T.LongType()), T.StructField("neighbours", NEIGHBOURS)]))
+    # k entries per share, of which there are at most as many as slots
+    merged = found.groupBy("_row").agg(F.flatten(F.collect_list("neighbours")).alias("n"))
     ordered = F.array_sort(
         F.transform("n", lambda x: F.struct(x["distance"].alias("distance"), x["ref_id"].alias("ref_id"),
                                             x["label"].alias("label")))
     )
-    return merged.select(
-        *keys,
-        F.transform(
-            F.slice(ordered, 1, k),
-            lambda x: F.struct(x["ref_id"].alias("ref_id"), x["label"].alias("label"),
-                               x["distance"].alias("distance")),
-        ).alias("neighbours"),
+    root = {2: F.sqrt, 1: lambda d: d}.get(power, lambda d: F.pow(d, F.lit(1.0 / power)))
+    near = F.transform(
+        F.slice(ordered, 1, k),
+        lambda x: F.struct(x["ref_id"].alias("ref_id"), x["label"].alias("label"), root(x["distance"]).alias("distance")),
     )
+    return rows.join(merged, "_row").select(*keys, near.alias("neighbours"))
 
 
 def nearest(
     queries: DataFrame, refs: DataFrame, *, keys: Sequence[str], ref_id: str = "id",
     vector: str = "features", label: str = "label", k: int = K.KNN_K, metric: str = "euclidean",
-    p: int = 1, bound: int = REFERENCE_BOUND, block_rows: int = BLOCK_ROWS,
+    p: int = 1, bound: int = REFERENCE_BYTES, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Keys and an array of the k nearest references, nearest first."""
+    """Keys and an array of the k nearest references, nearest first; one row for each query row.
+
+    References of at most ``bound`` bytes are carried to every task, others stream past the queries.
+    """
     check_parameters(k, metric, p)
     power = _power(metric, p)
-    n_refs = refs.count()
-    if n_refs == 0:
+    size = refs.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("width")).first()
+    if not size["n"]:
         raise ValueError("the reference set is empty")
-    if n_refs <= bound:
-        rows = refs.select(F.col(ref_id).cast("long"), F.col(label).cast("int"), vector).collect()
-        return _bounded(queries, rows, list(keys), vector, k, power)
-    return _blocked(queries, refs, list(keys), vector, ref_id, label, k, power, block_rows, n_refs)
+    if size["n"] * (4 * size["width"] + 12) <= bound:
+        table = refs.select(F.col(ref_id).cast("long"), F.col(label).cast("int"), vector).toArrow()
+        return _bounded(queries, table, list(keys), vector, k, power)
+    return _blocked(queries, refs, list(keys), vector, ref_id, label, k, power, block_rows)
 
 
 def vote(neighbours: Column, ties: str = "nearest") -> Column:

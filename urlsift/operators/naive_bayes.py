@@ -51,6 +51,8 @@ def fit_naive_bayes(
     groups = {
         k: g for k, g in vector_moments(df, [_value(c) for c in features], label).items() if k in (0, 1)
     }
+    if 0 not in groups:
+        raise ValueError("no row of class 0: the model could not score it")
     total = pooled(groups)
     extra = SMOOTHING * max(total["ss"]) / total["n"] if smoothed else 0.0
     prior, mean, std = [], [], []
@@ -87,7 +89,7 @@ def log_joint(model: NaiveBayes, k: int) -> Column:
         0.5 * (math.log(2.0 * math.pi) + 2.0 * math.log(s)) for s in model.std[k]
     )
     squares = " + ".join(
-        f"pow((double(float(`{c}`)) - ({m!r}D)) / {s!r}D, 2)"
+        f"((double(float(`{c}`)) - ({m!r}D)) / {s!r}D) * ((double(float(`{c}`)) - ({m!r}D)) / {s!r}D)"
         for c, m, s in zip(model.features, model.mean[k], model.std[k], strict=True)
     )
     return F.lit(const) - F.lit(0.5) * F.expr(squares)

@@ -1,9 +1,9 @@
 """Positions and running totals in a global order, without one task for the whole order.
 
-The order is cut into ranges by sketch quantiles of the leading value. A value
-that is itself a cut may be hot, so its rows are cut again by the tie-break key.
-Range totals form a tiny table whose running sums give each range its offset; the
-rest of the work is a window inside one range. Small inputs use a single range.
+Rows are range-partitioned by the whole order, tie columns included, so equal values and
+NULLs spread over ranges too, and written; the number of a row's range orders the ranges. Range
+totals form a tiny table whose running sums give each range its offset; the rest of the work is
+a window inside one range.
 """
 
 from __future__ import annotations
@@ -14,62 +14,41 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 256
+from urlsift.runtime import written
 
-
-def _cuts(df: DataFrame, value: str, n: int) -> list[float]:
-    steps = [i / n for i in range(1, n)]
-    found = df.agg(F.percentile_approx(value, steps, 100 * n)).first()[0] if steps else None
-    return sorted(set(found or []))
-
-
-def _above(value: str, cuts: Sequence[float]) -> Column:
-    """How many cuts lie below the value."""
-    if not cuts:
-        return F.lit(0)
-    return F.expr(" + ".join(f"int(`{value}` > {c!r}D)" for c in cuts))
+ROWS_PER_RANGE = 250_000
 
 
 def running_totals(
-    df: DataFrame, value: str, totals: Mapping[str, Column], *, tie: Sequence[str] = (),
-    n_rows: int | None = None, descending: bool = False, rows_per_range: int = ROWS_PER_RANGE,
+    df: DataFrame, value: str, totals: Mapping[str, Column], *, tie: Sequence[str] = (), by: Sequence[str] = (),
+    descending: bool = False, rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Add, for each name in ``totals``, the sum of its expression over all rows up to and
-    including this one in the order of ``value`` and the ``tie`` columns.
+    """Add, for each name in ``totals``, the sum of its expression over all rows up to and including this one
+    in the order of ``value`` and the ``tie`` columns, within each group of the ``by`` columns.
 
-    ``value`` and the first tie column must be numeric and the whole order unique.
+    NULL values come first in ascending order and last in descending order, as Spark sorts them. The
+    whole order should be unique: among equal rows any may come first.
     """
-    if n_rows is None:
-        n_rows = df.count()
-    n = min(MAX_RANGES, max(1, math.ceil(n_rows / rows_per_range)))
     lead = df.withColumns({f"_t_{k}": e for k, e in totals.items()})
     order = [F.col(value).desc() if descending else F.col(value).asc(), *tie]
-    if n == 1:
-        upto = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return lead.withColumns({k: F.sum(f"_t_{k}").over(upto) for k in totals}).drop(
-            *[f"_t_{k}" for k in totals]
-        )
-    cuts = _cuts(df, value, n)
-    tie_cuts = _cuts(df, tie[0], n) if tie else []
-    sign = -1 if descending else 1
-    on_cut = F.expr(f"`{value}` in ({', '.join(f'{c!r}D' for c in cuts)})") if cuts else F.lit(False)
-    # values between cuts c1 < c2 come after the rows equal to c1 and before those equal to c2
-    part = F.when(on_cut, 2 * _above(value, cuts) + 1).otherwise(2 * _above(value, cuts))
-    ranged = lead.withColumn("_r", part * sign).withColumn(
-        "_q", F.when(on_cut, _above(tie[0], tie_cuts)).otherwise(0) if tie else F.lit(0)
-    )
-    sums = ranged.groupBy("_r", "_q").agg(*[F.sum(f"_t_{k}").alias(f"_s_{k}") for k in totals])
-    before = Window.partitionBy(F.lit(0)).orderBy("_r", "_q").rowsBetween(Window.unboundedPreceding, -1)
+    n = max(1, math.ceil(df.count() / rows_per_range))
+    ranged = lead.repartitionByRange(n, *by, *order) if n > 1 else lead.coalesce(1)
+    ranged = written(ranged.withColumn("_r", F.spark_partition_id()), "ranges")
+    sums = ranged.groupBy(*by, "_r").agg(*[F.sum(f"_t_{k}").alias(f"_s_{k}") for k in totals])
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        "_r", "_q", *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in totals]
+        *by, "_r", *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in totals]
     )
-    inside = Window.partitionBy("_r", "_q").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # at most 2 * MAX_RANGES ** 2 narrow rows
-    joined = ranged.join(F.broadcast(offsets), ["_r", "_q"])
+    inside = Window.partitionBy(*by, "_r").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if by:
+        renamed = offsets.withColumnsRenamed({c: f"_by_{c}" for c in by}).withColumnRenamed("_r", "_or")
+        same = [F.equal_null(ranged[c], renamed[f"_by_{c}"]) for c in by]
+        joined = ranged.join(F.broadcast(renamed), [*same, ranged["_r"] == renamed["_or"]]).drop("_or", *[f"_by_{c}" for c in by])
+    else:
+        joined = ranged.join(F.broadcast(offsets), ["_r"])  # one row per range and group
     return joined.withColumns(
         {k: F.col(f"_o_{k}") + F.sum(f"_t_{k}").over(inside) for k in totals}
-    ).drop("_r", "_q", *[f"_{p}_{k}" for k in totals for p in "to"])
+    ).drop("_r", *[f"_{p}_{k}" for k in totals for p in "to"])
 
 
 def positions(df: DataFrame, value: str, *, tie: Sequence[str] = (), name: str = "position", **options):
@@ -77,24 +56,8 @@ def positions(df: DataFrame, value: str, *, tie: Sequence[str] = (), name: str =
     return running_totals(df, value, {name: F.lit(1)}, tie=tie, **options)
 
 
-def average_ranks(
-    counted: DataFrame, by: str, value: str, weight: str = "n", *,
-    rows_per_range: int = ROWS_PER_RANGE, name: str = "rank",
-) -> DataFrame:
-    """Average rank of each distinct value within each group.
-
-    ``counted`` has one row per group and value with its count, so a hot value is a
-    single row. Groups are few (one per feature); values are cut into ranges by
-    their order so that no group lies in one task.
-    """
-    n_rows = counted.count()
-    n = min(MAX_RANGES, max(1, math.ceil(n_rows / rows_per_range)))
-    cuts = _cuts(counted, value, n)
-    ranged = counted.withColumn("_r", _above(value, cuts))
-    sums = ranged.groupBy(by, "_r").agg(F.sum(weight).alias("_s"))
-    before = Window.partitionBy(by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(by, "_r", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy(by, "_r").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.join(F.broadcast(offsets), [by, "_r"]) if n > 1 else ranged.withColumn("_o", F.lit(0))
-    upto = F.col("_o") + F.sum(weight).over(inside)
-    return joined.withColumn(name, upto - (F.col(weight) - 1) / 2.0).drop("_r", "_o")
+def average_ranks(counted: DataFrame, by: str, value: str, weight: str = "n", *, name: str = "rank", **options) -> DataFrame:
+    """Average rank of each distinct value within each group; ``counted`` has one row per group
+    and value with its count, so a hot value is a single row."""
+    upto = running_totals(counted, value, {"_upto": F.col(weight)}, by=[by], **options)
+    return upto.withColumn(name, F.col("_upto") - (F.col(weight) - 1) / 2.0).drop("_upto")

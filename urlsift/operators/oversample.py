@@ -46,7 +46,7 @@ def smote(
         ).alias("partners"),
     )
     numbered = written(
-        positions(few.select(F.col(key).alias("origin"), F.col(features).alias("_from")), "origin", n_rows=have)
+        positions(few.select(F.col(key).alias("origin"), F.col(features).alias("_from")), "origin")
         .join(partners, "origin"),
         "minority",
     )

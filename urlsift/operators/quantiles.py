@@ -10,7 +10,7 @@ counted and ranked. The result is the same.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,15 +22,13 @@ INSIDE_ROWS = 1_000_000
 
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,
-    counts: Mapping[str, int] | None = None, small_cells: int = SMALL_CELLS,
-    inside_rows: int = INSIDE_ROWS, accuracy: int = ACCURACY,
+    small_cells: int = SMALL_CELLS, inside_rows: int = INSIDE_ROWS, accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column over its non-NULL values, in the order of ``probs``."""
     if not cols:
         return {}
-    if counts is None:
-        row = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-        counts = {c: row[c] for c in cols}
+    row = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    counts = {c: row[c] for c in cols}
     if sum(counts[c] for c in cols) <= small_cells:
         row = df.agg(*[F.percentile(c, [float(p) for p in probs]).alias(c) for c in cols]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}

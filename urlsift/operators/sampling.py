@@ -17,11 +17,6 @@ def hash_split(df: DataFrame, keys: Sequence[str], share: float = 0.8, seed: int
     return df.withColumn(name, F.when(point < int(share * 1_000_000), "train").otherwise("validation"))
 
 
-def shuffled(keys: Sequence[str], seed: int) -> Column:
-    """A repeatable random order."""
-    return F.xxhash64(*keys, F.lit(seed))
-
-
 def sample_per_stratum(
     df: DataFrame, stratum: str, sizes: Mapping | int, order: Sequence[Column | str],
 ) -> DataFrame:
@@ -32,16 +27,19 @@ def sample_per_stratum(
     last step sees at most salts times the size. No wanted row can be lost on the way.
     """
     if isinstance(sizes, int):
-        limit = F.lit(sizes)
+        limit, most = F.lit(sizes), sizes
     else:
+        most = max(sizes.values(), default=0)
         pairs = [F.when(F.col(stratum) == k, F.lit(n)) for k, n in sizes.items()]
         limit = F.coalesce(*pairs, F.lit(0))
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
     spread = df.withColumns({"_limit": limit, "_salt": salt})
     part = Window.partitionBy(stratum, "_salt").orderBy(*order)
-    first = spread.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= F.col("_limit"))
+    # the largest limit as a literal lets the planner stop each group's sort early
+    first = spread.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= most)
     whole = Window.partitionBy(stratum).orderBy(*order)
-    last = first.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= F.col("_limit"))
+    last = first.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= most)
+    last = last.filter(F.col("_rn") <= F.col("_limit"))
     return last.drop("_limit", "_salt", "_rn")
 
 

@@ -9,21 +9,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup side with at most this many narrow rows is broadcast.
-BROADCAST_ROWS = 500_000
-SALTS = 32
+# A lookup side whose values take at most this many bytes is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with its machine.
+    Where the setting is absent, a session of one machine gets a temporary folder;
+    on a cluster a machine-local path would be lost with its machine, so there it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="urlsift-work-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -39,24 +39,32 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lookup_join(
-    rows: DataFrame, table: DataFrame, on: Sequence[str], salt_from: Sequence[str],
-    table_rows: int | None = None, limit: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Left-join a lookup table, safe for hot keys.
+def drop_written(df: DataFrame) -> None:
+    """Delete the files of a table made by ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(work_dir(spark)).toUri().getPath()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toUri().getPath().startswith(f"{base}/"):
+            path.getFileSystem(conf).delete(path, True)
 
-    Up to ``limit`` counted rows the table is broadcast and the rows do not move.
-    Beyond it the table is copied once per salt and the rows spread each key over
-    the salts, so a key holding a third of the rows does not land in one task.
-    """
-    on = list(on)
-    if table_rows is None:
-        table_rows = table.count()
-    if table_rows <= limit:
-        return rows.join(F.broadcast(table), on, "left")
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(SALTS)).cast("int"))
-    return spread.join(salted, [*on, "_salt"], "left").drop("_salt")
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values as text, and a few for each."""
+    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns]
+    return df.agg(F.sum(sum(widths[1:], widths[0]).cast("long"))).first()[0] or 0
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame with a broadcast hint if it measures at most ``limit`` bytes, else as it is."""
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def lookup_join(rows: DataFrame, table: DataFrame, on: Sequence[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Left-join a lookup table: broadcast while it is measured to be small, so that the rows
+    don't move; beyond that a sort-merge join, of which the adaptive planner splits hot keys."""
+    return rows.join(small(table, limit), list(on), "left")
 
 
 def spread(df: DataFrame) -> DataFrame:

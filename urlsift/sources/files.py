@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import io
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -11,28 +12,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urlsift import constants as K
 from urlsift import contract as C
 from urlsift.functions.text import LINE_BREAK, strip
 
+#: A page that unpacks to more is refused, and the text a task holds before it hands it on.
+MAX_PAGE_BYTES = 256 << 20
+BATCH_BYTES = 8 << 20
+
+
+#: Quotes are doubled inside quotes, and quoted values may hold commas and line breaks.
+STANDARD_QUOTES = {"header": True, "quote": '"', "escape": '"'}
+
+
+def _csv(spark: SparkSession):
+    return spark.read.options(**STANDARD_QUOTES, multiLine=True, mode="FAILFAST")
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Standard CSV with a header by a given schema; a broken row is an error. A file with line breaks inside quotes can't
+    be split, so large inputs should be many files."""
+    return _csv(spark).schema(schema).csv(path)
+
 
 def read_records(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
     """Raw records from CSV with a header. Columns may come in any order; names beyond the
     contract are ignored, a missing one is an error, and labels are validated."""
-    header = spark.read.option("header", True).csv(path)
+    header = _csv(spark).csv(path)
     required = C.RAW if labelled else tuple(c for c in C.RAW if c != C.TARGET)
     C.require_columns(header, required)
     types = {f.name: f.dataType for f in C.RAW_SCHEMA.fields}
     schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header.columns])
-    df = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(path).select(*required)
+    df = _csv(spark).option("enforceSchema", True).schema(schema).csv(path).select(*required)
     numbers = [c for c in df.columns if types[c] == T.DoubleType()]
     df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})
     return C.check_labels(df) if labelled else df
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Flat columns as CSV with a header."""
-    df.write.option("header", True).csv(path)
+    """Flat columns as standard CSV with a header."""
+    df.write.options(**STANDARD_QUOTES).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -43,26 +61,41 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            one = batch.slice(i, 1)
-            raw = one.column(1)[0].as_py()
-            try:
-                text = gzip.decompress(raw).decode("utf-8", errors="replace")
-            except (OSError, EOFError, zlib.error):
-                text = None
-            yield pa.RecordBatch.from_arrays([one.column(0), pa.array([text], pa.string())], names=["sha1", "html"])
+def _unpacked(raw: bytes, most: int) -> str | None:
+    """The text of gzip bytes; NULL if they are broken or hold more than ``most`` bytes."""
+    try:
+        with gzip.GzipFile(fileobj=io.BytesIO(raw)) as file:
+            data = file.read(most + 1)
+    except (OSError, EOFError, zlib.error):
+        return None
+    return data.decode("utf-8", errors="replace") if len(data) <= most else None
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def _unpack(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["sha1", "html"])
+
+    names, texts, size = [], [], 0
+    for batch in batches:
+        for name, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            names.append(name)
+            texts.append(_unpacked(raw.as_py(), most))
+            size += len(texts[-1] or "")
+            if size >= BATCH_BYTES:
+                yield out()
+                names, texts, size = [], [], 0
+    if names:
+        yield out()
+
+
+def read_pages(spark: SparkSession, path: str, most: int = MAX_PAGE_BYTES) -> DataFrame:
     """Pages stored as ``<sha1>.html.gz``: columns sha1 and html.
 
-    Files are split over tasks by Spark; a file that is no gzip gives a NULL page.
+    Files are split over tasks by Spark; a file that is no gzip, or unpacks to more than ``most`` bytes, gives a NULL page.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html.gz").load(path)
     named = files.select(F.regexp_extract("path", r"([0-9a-fA-F]+)\.html\.gz$", 1).alias("sha1"), "content")
-    return named.mapInArrow(_unpack, "sha1 string, html string")
+    return named.mapInArrow(lambda batches: _unpack(batches, most), "sha1 string, html string")
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,14 +127,14 @@ def corpus_gaps(expected: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def url_lines(texts: DataFrame, text: str, keys: Sequence[str] = (), cap: int | None = K.BATCH_MAX_URLS) -> DataFrame:
-    """URLs of submitted lists: one per line, trimmed, blanks dropped, and the first ``cap``
+def url_lines(texts: DataFrame, text: str, keys: Sequence[str] = (), cap: int | None = None) -> DataFrame:
+    """URLs of submitted lists: one per line, trimmed, blanks dropped; all, or the first ``cap``
     of each list. Each list stays on its row until it is cut."""
     lines = F.filter(F.transform(F.split(text, LINE_BREAK), strip), lambda u: u != "")
     kept = F.slice(lines, 1, cap) if cap else lines
     return texts.select(*keys, F.posexplode(kept).alias("line", "url"))
 
 
-def read_url_list(spark: SparkSession, path: str, cap: int | None = K.BATCH_MAX_URLS) -> DataFrame:
+def read_url_list(spark: SparkSession, path: str, cap: int | None = None) -> DataFrame:
     """The same for text files, one list per file."""
     return url_lines(spark.read.option("wholetext", True).text(path), "value", cap=cap)

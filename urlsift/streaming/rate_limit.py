@@ -5,92 +5,129 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from urlsift import constants as K
 
-OUTPUT = "session long, request long, at_us long, granted boolean, remaining int"
 
+def _requests(requests: DataFrame, session: str, request: str, at: str) -> DataFrame:
+    """session and request in their own types, and the time in microseconds."""
+    return requests.select(
+        F.col(session).alias("session"), F.col(request).alias("request"),
+        F.unix_micros(F.col(at).cast("timestamp")).alias("at_us"),
+    )
+
+
+def _output(slim: DataFrame) -> T.StructType:
+    fields = [slim.schema[c] for c in ("session", "request", "at_us")]
+    return T.StructType([*fields, T.StructField("granted", T.BooleanType()), T.StructField("remaining", T.IntegerType())])
 
-def _decide(start, tokens, at_us: int, limit: int, window_us: int):
-    if start is None or at_us - start > window_us:
-        start, tokens = at_us, limit
-    granted = tokens > 0
-    tokens -= granted
-    return start, tokens, granted
+
+def _windows(at: np.ndarray, start: int | None, used: int, window_us: int):
+    """Place of each request within its window, for ascending times of one session that continue a window
+    which began at ``start`` with ``used`` requests; and the last window's start and requests."""
+    place, i, n = np.empty(len(at), np.int64), 0, len(at)
+    while i < n:
+        if start is None or at[i] - start > window_us:
+            start, used = int(at[i]), 0
+        end = int(np.searchsorted(at, start + window_us, side="right"))
+        place[i:end] = used + np.arange(end - i)
+        used, i = used + end - i, end
+    return place, start, used
 
 
 def grant_stream(
     requests: DataFrame, *, session: str, request: str, at: str, limit: int = K.RATE_PER_SESSION,
-    window_seconds: int = K.RATE_WINDOW_SECONDS, lateness: str = "1 day",
+    window_seconds: int = K.RATE_WINDOW_SECONDS, forget: str | None = None,
 ) -> DataFrame:
-    """Decide every request of a stream; state is two numbers per session.
+    """Decide every request of a stream, one row for each; state is two numbers per session.
 
-    Rows of one session within a micro-batch are taken in time order. Once the
-    watermark, which trails by ``lateness``, has passed a session's last request by a
-    whole window, its next request opens a new window anyway, so it is forgotten.
+    Rows of one session within a micro-batch are taken in time order. A late request, older than the open window,
+    is decided against that window: it takes a grant of it or is refused. With ``forget``, which is for streams that run
+    on, the state of a session that sends nothing for that processing time is dropped, and it starts anew.
     """
     window_us = window_seconds * 1_000_000
+    slim = _requests(requests, session, request, at)
+    idle_ms = int(pd.Timedelta(forget).total_seconds() * 1000) if forget else None
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if forget else GroupStateTimeout.NoTimeout
 
     def decide(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        start, tokens = state.get if state.exists else (None, limit)
+        start, used = state.get if state.exists else (None, 0)
         # one session's rows of one micro-batch
         rows = pd.concat(list(batches)).sort_values(["at_us", "request"])
-        granted, left = [], []
-        for at_us in rows["at_us"].tolist():
-            start, tokens, ok = _decide(start, tokens, at_us, limit, window_us)
-            granted.append(ok)
-            left.append(tokens)
-        state.update((start, tokens))
-        state.setTimeoutTimestamp((at_us + window_us) // 1000 + 1)
+        place, start, used = _windows(rows["at_us"].to_numpy(), start, used, window_us)
+        state.update((start, used))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(
-            {"session": key[0], "request": rows["request"].to_numpy(), "at_us": rows["at_us"].to_numpy(),
-             "granted": granted, "remaining": left}
+            {"session": [key[0]] * len(rows), "request": rows["request"].to_numpy(), "at_us": rows["at_us"].to_numpy(),
+             "granted": place < limit, "remaining": np.maximum(limit - 1 - place, 0).astype(np.int32)}
         )
 
-    slim = requests.select(
-        F.col(session).cast("long").alias("session"), F.col(request).cast("long").alias("request"),
-        F.unix_micros(F.col(at).cast("timestamp")).alias("at_us"), F.col(at).cast("timestamp").alias("at"),
-    ).withWatermark("at", lateness)
     return slim.groupBy("session").applyInPandasWithState(
-        decide, OUTPUT, "start long, tokens int", "append", GroupStateTimeout.EventTimeTimeout
+        decide, _output(slim), "start long, used long", "append", timeout
     )
 
 
+def with_segments(slim: DataFrame, window_us: int, slot_windows: int = 64) -> DataFrame:
+    """Add ``segment``: the time of the session's last request that came more than a window after the one before.
+
+    Such a request opens a window whatever came before, so segments are independent. Gaps are sought within time
+    slots of each session and between the slots' ends, so a hot session is many small groups.
+    """
+    slot = F.floor(F.col("at_us") / (window_us * slot_windows))
+    rows = slim.withColumn("_slot", slot)
+    inside = Window.partitionBy("session", "_slot").orderBy("at_us")
+    opens = F.when(F.col("at_us") - F.lag("at_us").over(inside) > window_us, F.col("at_us"))
+    rows = rows.withColumn("_opens", opens)
+    slots = rows.groupBy("session", "_slot").agg(
+        F.min("at_us").alias("_first"), F.max("at_us").alias("_last"), F.max("_opens").alias("_open")
+    )
+    over = Window.partitionBy("session").orderBy("_slot")
+    gap = F.col("_first") - F.lag("_last").over(over)
+    slots = slots.withColumn("_head", F.when(gap.isNull() | (gap > window_us), F.col("_first")))
+    latest = F.last(F.coalesce("_open", "_head"), ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))
+    slots = slots.select(F.col("session").alias("_s"), F.col("_slot").alias("_k"), F.coalesce("_head", latest).alias("_carried"))
+    joined = rows.join(slots, F.equal_null(F.col("session"), F.col("_s")) & (F.col("_slot") == F.col("_k")))
+    upto = inside.rangeBetween(Window.unboundedPreceding, 0)
+    segment = F.coalesce(F.max("_opens").over(upto), F.col("_carried"))
+    return joined.withColumn("segment", segment).select(*slim.columns, "segment")
+
+
 def grant_batch(
     requests: DataFrame, *, session: str, request: str, at: str, limit: int = K.RATE_PER_SESSION,
     window_seconds: int = K.RATE_WINDOW_SECONDS,
 ) -> DataFrame:
     """The same decisions over a table of requests.
 
-    The rule is sequential within a session. Rows are partitioned by session, sorted
-    inside the partition, and read as a stream of Arrow batches with two numbers of
-    state, so a session of any length is never held in memory.
+    Sessions are cut at gaps longer than a window, and only what lies between two gaps is sequential. Such segments
+    are sorted and read as a stream of Arrow batches with two numbers of state, so none is held in memory.
     """
     window_us = window_seconds * 1_000_000
-    slim = requests.select(
-        F.col(session).cast("long").alias("session"), F.col(request).cast("long").alias("request"),
-        F.unix_micros(F.col(at).cast("timestamp")).alias("at_us"),
-    )
+    slim = _requests(requests, session, request, at)
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, start, tokens = None, None, limit
+        current, start, used = None, None, 0
         for rows in batches:
-            granted, left = [], []
-            for who, at_us in zip(rows["session"].tolist(), rows["at_us"].tolist(), strict=True):
-                if who != current:
-                    current, start, tokens = who, None, limit
-                start, tokens, ok = _decide(start, tokens, at_us, limit, window_us)
-                granted.append(ok)
-                left.append(tokens)
-            yield rows.assign(granted=granted, remaining=left)
-
-    ordered = slim.repartition("session").sortWithinPartitions("session", "at_us", "request")
-    return ordered.mapInPandas(decide, OUTPUT)
-
+            marks = rows["_segment"].to_numpy()
+            cuts = np.flatnonzero(np.append(True, marks[1:] != marks[:-1]))
+            at_us, place = rows["at_us"].to_numpy(), np.empty(len(rows), np.int64)
+            for a, b in zip(cuts, np.append(cuts[1:], len(rows)), strict=True):
+                if marks[a] != current:
+                    current, start, used = marks[a], None, 0
+                place[a:b], start, used = _windows(at_us[a:b], start, used, window_us)
+            yield rows.drop(columns="_segment").assign(granted=place < limit, remaining=np.maximum(limit - 1 - place, 0).astype(np.int32))
+
+    cut = with_segments(slim, window_us)
+    # a text that names session and segment, whatever the session's type
+    name = F.concat_ws("|", F.col("segment").cast("string"), F.coalesce(F.col("session").cast("string"), F.lit("\0null")))
+    ordered = cut.withColumn("_segment", name).drop("segment").repartition("_segment").sortWithinPartitions("_segment", "at_us", "request")
+    return ordered.mapInPandas(decide, _output(slim))
