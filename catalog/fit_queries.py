@@ -299,6 +299,17 @@ def exact_quantiles_query(spark, sf_dir):
     return _rows(spark, flat, "column_name string, prob double, value double").withColumn("value", F.round("value", 6))
 
 
+@query("quantiles_of_holes", "SELECT 'holes' AS column_name, quantile_cont(CASE WHEN l_linenumber > 2 THEN l_quantity END, 0.3) AS value FROM lineitem "
+       "UNION ALL SELECT 'nothing', NULL")
+def quantiles_of_holes(spark, sf_dir):
+    """A column with NULLs and one without any value, by brackets."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.when(F.col("l_linenumber") > 2, F.col("l_quantity")).alias("holes"), F.lit(None).cast("double").alias("nothing")
+    )
+    found = exact_quantiles(rows, ["holes", "nothing"], [0.3], small_cells=0, inside_rows=1000)
+    return _rows(spark, [(c, v[0]) for c, v in found.items()], "column_name string, value double")
+
+
 @query("integral_cut", LINE_CTES + f" SELECT {', '.join(LINE_KEY)}, quantity, is_return, is_open, is_large, is_deal FROM clipped")
 def integral_cut(spark, sf_dir):
     prepared = TR.prepare(raw_lineitem(spark, sf_dir), line_stats(spark, sf_dir))
@@ -437,10 +448,10 @@ def transform_pages(spark, sf_dir):
 
 
 @query("transform_vector", LINE_CTES + f" SELECT {', '.join(LINE_KEY)}, "
-       f"list_transform([{', '.join(f'{c}::DOUBLE' for c in LINE_SPEC.features)}], lambda x: round(x::FLOAT::DOUBLE, 4)) AS v FROM scaled")
+       f"list_transform([{', '.join(f'{c}::DOUBLE' for c in LINE_SPEC.features)}], lambda x: round(x::FLOAT::DOUBLE, 4) + 0.0) AS v FROM scaled")
 def transform_vector(spark, sf_dir):
     out = TR.to_vector(TR.transform(raw_lineitem(spark, sf_dir), line_stats(spark, sf_dir)), LINE_SPEC.features)
-    return out.select(*LINE_KEY, F.transform("features", lambda x: F.round(x.cast("double"), 4)).alias("v"))
+    return out.select(*LINE_KEY, F.transform("features", lambda x: F.round(x.cast("double"), 4) + F.lit(0.0)).alias("v"))
 
 
 def _leaky_sql():

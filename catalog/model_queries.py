@@ -222,6 +222,14 @@ def knn_blocked(spark, sf_dir):
     return _neighbour_rows(spark, sf_dir, k=20, bound=0, block_rows=90)
 
 
+@query("knn_equal_keys", _knn_sql(_EUCLID, 5) + "SELECT query_id % 3 AS grp, list(ref_id ORDER BY rn) AS refs FROM near GROUP BY query_id")
+def knn_equal_keys(spark, sf_dir):
+    """Queries that share a key are answered each, by reference blocks."""
+    queries, refs = _points(spark, sf_dir)
+    found = KN.nearest(queries.withColumn("grp", F.col("id") % 3), refs, keys=["grp"], k=5, bound=0, block_rows=90)
+    return found.select("grp", F.transform("neighbours", lambda n: n["ref_id"]).alias("refs"))
+
+
 @query("knn_reference", "SELECT vec_id AS id, label FROM (SELECT *, row_number() OVER (ORDER BY vec_id) rn FROM embeddings WHERE vec_id % 5 > 0) WHERE rn <= 10000")
 def knn_reference(spark, sf_dir):
     refs = table(spark, sf_dir, "embeddings").filter("vec_id % 5 > 0")
@@ -367,6 +375,17 @@ def _ap_sql():
     return f"WITH p AS ({PREDICTIONS_SQL}) " + " UNION ALL ".join(parts)
 
 
+@query("average_precision_nulls", f"WITH p AS (SELECT *, CASE WHEN mix % 7 > 0 THEN knn_vote_score END AS s FROM ({PREDICTIONS_SQL})) "
+       "SELECT round(avg(CASE WHEN y_true = 0 THEN tp / CAST(rk AS DOUBLE) END), 9) AS average_precision FROM (SELECT y_true, "
+       "row_number() OVER w AS rk, sum(CASE WHEN y_true = 0 THEN 1 ELSE 0 END) OVER (w ROWS UNBOUNDED PRECEDING) AS tp FROM p "
+       f"WINDOW w AS (ORDER BY s DESC NULLS LAST, mix, {KEYS}))")
+def average_precision_nulls(spark, sf_dir):
+    """Rows without a score come last, over many ranges."""
+    rows = predictions(spark, sf_dir).withColumn("s", F.when(F.col("mix") % 7 > 0, F.col("knn_vote_score")))
+    found = E.average_precision(rows, "y_true", "s", ["mix", *LINE_KEY], rows_per_range=500)
+    return found.select(F.round("average_precision", 9).alias("average_precision"))
+
+
 @query("average_precision", _ap_sql())
 def average_precision(spark, sf_dir):
     rows = E.average_precision_table(predictions(spark, sf_dir), "y_true", MODELS, ["mix", *LINE_KEY])

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.fit_queries import RAW_PAGES_SQL, _remember, q, raw_pages
+from catalog.fit_queries import _CLIP, PAGE_CTES, RAW_PAGES_SQL, _clip_rows, _remember, _unpivot_sql, page_stats, q, raw_pages
 from catalog.fixtures import (
     LINE_BINARY, LINE_KEY, LINE_NUMERIC, PAGES_RICH_SQL, RAW_LINEITEM_SQL, pages_rich, raw_lineitem, table,
 )
@@ -15,6 +15,7 @@ from urlsift import contract as C
 from urlsift.operators import profile as PF
 from urlsift.operators import sampling as S
 from urlsift.operators import selection as SE
+from urlsift.operators.elements import page_elements
 from urlsift.operators.fit import PAGE_SPEC, central_fill, fill_numeric, fit
 from urlsift.operators.page_features import page_features
 from urlsift.operators import transform as TR
@@ -230,10 +231,12 @@ def _order():
     return [F.col("mix") * 7919 % 100003, "mix", *LINE_KEY]
 
 
-@query("hash_split")
+@query("hash_split", "SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN CAST('0x' || substr(md5(concat_ws('|', l_orderkey::VARCHAR, "
+       "l_partkey::VARCHAR, l_linenumber::VARCHAR, '42')), 1, 8) AS BIGINT) % 1000000 < 800000 THEN 'train' ELSE 'validation' END AS split FROM lineitem")
 def hash_split(spark, sf_dir):
-    """Train or validation by key hash (invariants checked by tests)."""
-    return S.hash_split(table(spark, sf_dir, "lineitem"), LINE_KEY).select(*LINE_KEY, "split")
+    """Train or validation by key hash."""
+    keys = ["l_orderkey", "l_partkey", "l_linenumber"]
+    return S.hash_split(table(spark, sf_dir, "lineitem"), keys).select(*keys, "split")
 
 
 @query("arithmetic_split", f"SELECT split, count(*) AS n FROM ({RAW_LINEITEM_SQL}) GROUP BY split")
@@ -359,18 +362,9 @@ def page_store(spark, sf_dir):
 
 @query("packed_pages", "SELECT DISTINCT sha1(html) AS sha1, length(html) AS chars FROM pages")
 def packed_pages(spark, sf_dir):
-    """Pages packed with gzip by content hash and read back through the page scan."""
-    import gzip
-
-    import pyarrow as pa
-
-    def unpack(batches):
-        for b in batches:
-            texts = [gzip.decompress(x).decode() for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64())], names=["sha1", "chars"])
-
-    packed = files.packed_store(table(spark, sf_dir, "pages"))
-    return packed.mapInArrow(unpack, "sha1 string, chars long")
+    """Pages packed with gzip by content hash and unpacked again."""
+    unpacked = files.unpacked_store(files.packed_store(table(spark, sf_dir, "pages")))
+    return unpacked.select("sha1", F.length("html").cast("long").alias("chars"))
 
 
 @query("corpus_gaps", "SELECT DISTINCT sha1(html) AS sha1, CASE WHEN page_id % 5 = 0 THEN 'page missing' ELSE 'not expected' END AS problem FROM pages WHERE page_id % 5 IN (0, 1)")
@@ -380,20 +374,44 @@ def corpus_gaps(spark, sf_dir):
 
 
 @query("url_lines", """
-  SELECT grp, CAST(rn - 1 AS INTEGER) AS line, url FROM (SELECT page_id // 40 AS grp, url, row_number() OVER (PARTITION BY page_id // 40 ORDER BY page_id) AS rn FROM pages) WHERE rn <= 25""")
+  SELECT grp, CAST(rn - 1 AS INTEGER) AS line, url FROM (SELECT page_id // 40 AS grp, url, row_number() OVER (PARTITION BY page_id // 40 ORDER BY page_id) AS rn FROM pages)""")
 def url_lines(spark, sf_dir):
-    """Lists of up to forty addresses with blank lines between, cut at twenty-five."""
+    """Lists of up to forty addresses with blank lines between."""
     pages = table(spark, sf_dir, "pages").select(F.expr("page_id div 40").alias("grp"), "page_id", "url")
     lists = pages.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("page_id", "url"))).alias("u"))
     text = F.array_join(F.transform("u", lambda x: F.concat(F.lit("  "), x["url"], F.lit(" \n \n"))), "")
     return files.url_lines(lists.select("grp", text.alias("text")), "text", ["grp"])
 
 
-@query("stats_round_trip", f"SELECT CAST({len(C.FEATURES)} AS INTEGER) AS features, count(*) AS n_rows FROM ({RAW_PAGES_SQL}) WHERE split = 'train'")
+@query("stats_round_trip", _unpivot_sql(PAGE_CTES, C.NUMERIC, "s18 WHERE split = 'train'", _CLIP))
 def stats_round_trip(spark, sf_dir):
-    from catalog.fit_queries import page_stats
-
+    """Clip bounds as they come back from the store."""
     path = _path(spark, "stats")
     store.save_stats(spark, page_stats(spark, sf_dir), path)
-    loaded = store.load_stats(spark, path)
-    return spark.createDataFrame([(len(loaded.spec.features), loaded.n_rows)], "features int, n_rows long")
+    return _clip_rows(spark, store.load_stats(spark, path).clip)
+
+
+_QUOTED = "'He said \"' || substr(text, 1, 300) || '\", ok' || chr(10) || lang"
+
+
+@query("csv_quotes", f"SELECT doc_id, {_QUOTED} AS text FROM documents")
+def csv_quotes(spark, sf_dir):
+    """Texts with quotes, commas and line breaks through the CSV sink and source."""
+    path = _path(spark, "csv")
+    files.write_csv(table(spark, sf_dir, "documents").selectExpr("doc_id", f"{_QUOTED} AS text"), path)
+    return files.read_csv(spark, path, "doc_id long, text string")
+
+
+@query("unexpected_labels", "SELECT DISTINCT l_linenumber AS label FROM lineitem WHERE l_linenumber NOT IN (0, 1)")
+def unexpected_labels(spark, sf_dir):
+    """Every label outside the two classes."""
+    return C.unexpected_labels(table(spark, sf_dir, "lineitem").withColumnRenamed("l_linenumber", "label"))
+
+
+@query("broken_markup", "SELECT page_id, page_id % 4 AS images FROM pages")
+def broken_markup(spark, sf_dir):
+    """Images behind a declaration that no parser knows are counted."""
+    html = F.concat(F.lit('<a href="/x">x</a><![foo[bar]]><p>text</p>'), F.expr("repeat('<img src=\"a.png\">', int(page_id % 4))"))
+    pages = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    found = page_elements(pages).groupBy("page_id").agg(F.count_if(F.col("tag") == "img").alias("images"))
+    return found

@@ -421,7 +421,7 @@ def scaler_and_unusable(df: DataFrame, spec: Spec):
 
 
 def standardise(df: DataFrame, scale: Mapping[str, tuple[float, float]]) -> DataFrame:
-    return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in scale.items()})
+    return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) + F.lit(0.0) for c, (m, s) in scale.items()})
 
 
 def fit(df: DataFrame, spec: Spec = PAGE_SPEC, demoted: tuple[str, ...] = ()) -> FittedStats:

@@ -13,7 +13,8 @@ SALTS = 64
 def hash_split(df: DataFrame, keys: Sequence[str], share: float = 0.8, seed: int = 42, name: str = "split") -> DataFrame:
     """Mark each row train or validation by a hash of its key: row-local, and stable under
     any partitioning or order."""
-    point = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000))
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    point = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 1_000_000
     return df.withColumn(name, F.when(point < int(share * 1_000_000), "train").otherwise("validation"))
 
 

@@ -95,7 +95,7 @@ def read_pages(spark: SparkSession, path: str, most: int = MAX_PAGE_BYTES) -> Da
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html.gz").load(path)
     named = files.select(F.regexp_extract("path", r"([0-9a-fA-F]+)\.html\.gz$", 1).alias("sha1"), "content")
-    return named.mapInArrow(lambda batches: _unpack(batches, most), "sha1 string, html string")
+    return unpacked_store(named, most)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,6 +118,11 @@ def packed_store(pages: DataFrame, html: str = "html") -> DataFrame:
     return page_store(pages, html).select("sha1", html).mapInArrow(_pack, "sha1 string, packed binary")
 
 
+def unpacked_store(packed: DataFrame, most: int = MAX_PAGE_BYTES) -> DataFrame:
+    """A packed store as sha1 and html."""
+    return packed.mapInArrow(lambda batches: _unpack(batches, most), "sha1 string, html string")
+
+
 def corpus_gaps(expected: DataFrame, stored: DataFrame) -> DataFrame:
     """Expected hashes without a page, and pages nobody expects."""
     lost = expected.select("sha1").distinct().join(stored.select("sha1"), "sha1", "left_anti")
