@@ -269,15 +269,14 @@ def _inspector_sql():
 
         parts.append(
             f"SELECT {', '.join(LINE_KEY)}, '{c}' AS feature, round({v}, 4) AS value, round((SELECT median(\"{c}\") FROM scaled WHERE split = 'train'), 4) AS median, "
-            f"{z(0)} AS z_phishing, {z(1)} AS z_legitimate, round({dens(0)} - {dens(1)}, 4) AS contribution FROM scaled WHERE split = 'validation'"
+            f"{z(0)} AS z_phishing, {z(1)} AS z_legitimate, round({dens(0)} - {dens(1)}, 4) AS contribution FROM scaled"
         )
     return _nb_ctes(False) + " " + " UNION ALL ".join(parts)
 
 
 @query("inspector", _inspector_sql())
 def inspector(spark, sf_dir):
-    rows = line_matrix(spark, sf_dir).filter("split = 'validation'")
-    out = R.feature_inspector(rows, line_reference(spark, sf_dir), line_model(spark, sf_dir), LINE_KEY)
+    out = R.feature_inspector(line_matrix(spark, sf_dir), line_reference(spark, sf_dir), line_model(spark, sf_dir), LINE_KEY)
     return out.select(*LINE_KEY, "feature", *[F.round(c, 4).alias(c) for c in (
         "value", "median", "z_phishing", "z_legitimate", "contribution")])
 
