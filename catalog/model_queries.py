@@ -442,10 +442,33 @@ def _smote_input(spark, sf_dir):
     )
 
 
-@query("smote")
+def _smote_sql():
+    def uniform(seed):
+        return f"CAST('0x' || substr(md5(concat_ws('|', i::VARCHAR, '{seed}')), 1, 10) AS BIGINT)::DOUBLE / 1099511627776e0"
+
+    return f"""
+      WITH pts AS (SELECT vec_id AS id, CAST(CASE WHEN label <> 0 THEN 1 ELSE 0 END AS INTEGER) AS label, embedding AS v FROM embeddings),
+      sizes AS (SELECT label, count(*) AS n FROM pts GROUP BY label),
+      few AS (SELECT * FROM pts WHERE label = (SELECT arg_min(label, n * 10 + label) FROM sizes)),
+      placed AS (SELECT *, row_number() OVER (ORDER BY id) AS position FROM few),
+      near AS (SELECT q.id AS origin, r.id AS partner, row_number() OVER (PARTITION BY q.id ORDER BY list_distance(q.v::DOUBLE[], r.v::DOUBLE[]), r.id) AS rn
+        FROM few q, few r),
+      others AS (SELECT origin, list(partner ORDER BY rn)[:5] AS partners FROM near WHERE rn <= 6 AND partner <> origin GROUP BY origin),
+      picks AS (SELECT i, CAST(floor({uniform(42)} * (SELECT count(*) FROM few)) AS BIGINT) + 1 AS position, {uniform(43)} AS u, {uniform(44)} AS gap
+        FROM (SELECT unnest(range((SELECT max(n) - min(n) FROM sizes)::BIGINT)) AS i)),
+      chosen AS (SELECT p.gap, f.id AS origin, f.v AS a, o.partners[CAST(floor(p.u * len(o.partners)) AS BIGINT) + 1] AS partner
+        FROM picks p JOIN placed f USING (position) JOIN others o ON o.origin = f.id)
+      SELECT id, label, list_transform(v, lambda x: round(x::DOUBLE, 4) + 0.0) AS features, NULL::BIGINT AS origin, NULL::BIGINT AS partner, NULL::DOUBLE AS gap FROM pts
+      UNION ALL SELECT NULL, f.label, list_transform(range(1, len(a) + 1), lambda j: round((a[j] + gap * (f.v[j] - a[j]))::FLOAT::DOUBLE, 4) + 0.0),
+        origin, partner, gap FROM chosen c JOIN few f ON f.id = c.partner
+    """
+
+
+@query("smote", _smote_sql())
 def smote(spark, sf_dir):
-    """Minority vectors oversampled to class balance (invariants checked by tests)."""
-    return OS.smote(_smote_input(spark, sf_dir), key="id")
+    """Minority vectors oversampled to class balance."""
+    out = OS.smote(_smote_input(spark, sf_dir), key="id")
+    return out.withColumn("features", F.transform("features", lambda x: F.round(x.cast("double"), 4) + F.lit(0.0)))
 
 
 @query("smote_balance", "SELECT label, CAST((SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label <> 0)) AS BIGINT) AS n "

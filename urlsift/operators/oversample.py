@@ -12,8 +12,8 @@ from urlsift.runtime import written
 
 def _uniform(*cols, seed: int):
     """A repeatable number in [0, 1) from the row's own values."""
-    bits = F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 40))
-    return bits.cast("double") / float(1 << 40)
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("long").cast("double") / float(1 << 40)
 
 
 def smote(
