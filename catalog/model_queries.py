@@ -62,7 +62,6 @@ def _nb_ctes(smoothed):
         for i, c in enumerate(FEATS)
     )
     big = "greatest(" + ", ".join(f"var_pop({_f(c)})" for c in FEATS) + ") * 1e-9"
-    std = "EXCLUDE ()" if False else ""
     nb = f"nb0 AS (SELECT label AS k, ln(count(*) / CAST((SELECT count(*) FROM scaled WHERE split = 'train') AS DOUBLE)) AS lp, {per} FROM scaled WHERE split = 'train' GROUP BY label)"
     if smoothed:
         final = "nb AS (SELECT k, lp, " + ", ".join(
