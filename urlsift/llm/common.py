@@ -1,4 +1,4 @@
-"""Helpers the operators share: reading tables, size-checked broadcasts, written tables, packed text."""
+"""Helpers the operators share: reading tables, packed text, word blocks; and the library's session helpers."""
 
 from __future__ import annotations
 
@@ -9,12 +9,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.runtime import work_dir, written
+from urlsift.runtime import drop_written, small, work_dir, written
 
 __all__ = ["ascii_lower", "drop_written", "packed", "read", "small", "span_sums", "text_copy", "word_blocks", "work_dir", "written"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_BYTES = 32 << 20
 PACK = 1 << 18
 
 
@@ -32,26 +31,6 @@ def text_copy(text: Column) -> Column:
     return F.hash(F.coalesce(text, F.lit("")))
 
 
-def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame with a broadcast hint if its measured values take at most ``limit`` bytes, else as it is."""
-    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns]
-    size = df.agg(F.sum(sum(widths[1:], widths[0]).cast("long"))).first()[0] or 0
-    return F.broadcast(df) if size <= limit else df
-
-
-def drop_written(df: DataFrame) -> None:
-    """Delete the files of a table made by ``written`` that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    root = work_dir(df.sparkSession)
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        base = jvm.org.apache.hadoop.fs.Path(root).toUri().getPath()
-        if path.toUri().getPath().startswith(base):
-            path.getFileSystem(conf).delete(path, True)
-
-
 def packed(
     texts: Iterable[str], reach: int, fold: Callable[[str], str] = str, size: int = PACK
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
