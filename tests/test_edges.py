@@ -123,6 +123,12 @@ def test_hosts(spark):
     assert got == cases
 
 
+def test_suffix_rules_from_a_file(spark, tmp_path):
+    (tmp_path / "rules.txt").write_text("// comment\n\ncom\n  co.uk  note\n*.ck\n!www.ck\nрф\n", encoding="utf-8")
+    rules = files.read_suffix_rules(spark, str(tmp_path / "rules.txt"))
+    assert set(rules) == {"com", "co.uk", "*.ck", "!www.ck", "xn--p1ai"}
+
+
 def test_unicode_hosts(spark):
     urls = {
         "http://bücher.test/": "host_denied", "http://xn--bcher-kva.test/": "host_denied", "http://a.bücher.test/": "host_denied",

@@ -16,7 +16,7 @@ from urlsift import contract as C
 from urlsift.functions import url as U
 from urlsift.functions.stats import sample_skewness
 from urlsift.operators.quantiles import exact_quantiles
-from urlsift.runtime import lookup_join, written
+from urlsift.runtime import drop_written, lookup_join, written
 
 # A cascade step with at most this many keys is replayed from literals, not a join.
 LITERAL_KEYS = 4_000
@@ -265,9 +265,11 @@ def fit_cascade(df: DataFrame, spec: Spec, literal_keys: int = LITERAL_KEYS) ->
             top = _most_common(counted.groupBy("mode").agg(F.sum("_n").alias("_n")), [], "mode", "_n")
             table = written(per_key, "modes")
             modes = Modes(top.first()["mode"], table.count(), None, table)
-            state = written(_extend_key(keyed, [(column, modes)]), "patterns")
+            older, state = state, written(_extend_key(keyed, [(column, modes)]), "patterns")
+            drop_written(older)
             pending = []
         steps.append(modes)
+    drop_written(state)
     return tuple(steps)
 
 
@@ -451,6 +453,7 @@ def fit(df: DataFrame, spec: Spec = PAGE_SPEC, demoted: tuple[str, ...] = ()) ->
     clip = {c: (e[0], e[1]) for c, e in ends.items() if e[0] is not None}
     whole = coerce_integral(clip_numeric(replay_cascade(filled, stats), clip), spec.integral)
     scale, unusable = scaler_and_unusable(whole, spec)
+    drop_written(staged)
     return replace(stats, clip=clip, scale=scale, unusable=unusable)
 
 

@@ -140,6 +140,19 @@ def url_lines(texts: DataFrame, text: str, keys: Sequence[str] = (), cap: int |
     return texts.select(*keys, F.posexplode(kept).alias("line", "url"))
 
 
+def read_suffix_rules(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Public-suffix rules from text, one per line: blanks and lines that begin with "//" are passed over, names in other
+    scripts are taken in the form resolvers see. The list is some ten thousand names long."""
+    lines = spark.read.text(path).select(F.lower(F.regexp_extract(strip(F.col("value")), r"^\S+", 0)).alias("rule"))
+    kept = lines.filter((F.col("rule") != "") & ~F.startswith("rule", F.lit("//"))).distinct().orderBy("rule")
+
+    def plain(rule: str) -> str:
+        mark = "*." if rule.startswith("*.") else "!" if rule.startswith("!") else ""
+        return mark + rule[len(mark) :].encode("idna").decode("ascii")
+
+    return tuple(plain(r.rule) for r in kept.collect())
+
+
 def read_url_list(spark: SparkSession, path: str, cap: int | None = None) -> DataFrame:
     """The same for text files, one list per file."""
     return url_lines(spark.read.option("wholetext", True).text(path), "value", cap=cap)
