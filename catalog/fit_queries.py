@@ -388,7 +388,7 @@ def train_rows(spark, sf_dir):
 
 def _round_sql(cols, spec):
     return ", ".join(
-        f"round({q(c)}, 6) AS {q(c)}" if c in spec.numeric else f"{q(c)}" for c in cols
+        f"round({q(c)}, 6) + 0.0 AS {q(c)}" if c in spec.numeric else f"{q(c)}" for c in cols
     )
 
 
@@ -456,7 +456,7 @@ def transform_vector(spark, sf_dir):
 
 def _leaky_sql():
     std = ", ".join(
-        f"round(({c} - avg({c}) OVER w) / (CASE WHEN min({c}) OVER w = max({c}) OVER w THEN 1 ELSE stddev_pop({c}) OVER w END), 5) AS {c}"
+        f"round(({c} - avg({c}) OVER w) / (CASE WHEN min({c}) OVER w = max({c}) OVER w THEN 1 ELSE stddev_pop({c}) OVER w END), 5) + 0.0 AS {c}"
         for c in LINE_SPEC.numeric
     )
     return LINE_CTES + f" SELECT {', '.join(LINE_KEY)}, split, {std} FROM scaled WINDOW w AS (PARTITION BY split)"

@@ -315,7 +315,7 @@ def _batch_sql():
     from catalog.fit_sql import fit_ctes
 
     ctes = fit_ctes(LINE_SPEC, RAW_LINEITEM_SQL, train="true")
-    cols = ", ".join(f"round({c}, 6) AS {c}" if c in LINE_SPEC.numeric else c for c in LINE_SPEC.features)
+    cols = ", ".join(f"round({c}, 6) + 0.0 AS {c}" if c in LINE_SPEC.numeric else c for c in LINE_SPEC.features)
     return f"{ctes} SELECT {KEYS}, {cols} FROM scaled"
 
 

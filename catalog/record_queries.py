@@ -268,8 +268,8 @@ def _inspector_sql():
                     f"(CASE WHEN {std} = 0 THEN 1 ELSE {std} END), 4)")
 
         parts.append(
-            f"SELECT {', '.join(LINE_KEY)}, '{c}' AS feature, round({v}, 4) AS value, round((SELECT median(\"{c}\") FROM scaled WHERE split = 'train'), 4) AS median, "
-            f"{z(0)} AS z_phishing, {z(1)} AS z_legitimate, round({dens(0)} - {dens(1)}, 4) AS contribution FROM scaled"
+            f"SELECT {', '.join(LINE_KEY)}, '{c}' AS feature, round({v}, 4) + 0.0 AS value, round((SELECT median(\"{c}\") FROM scaled WHERE split = 'train'), 4) + 0.0 AS median, "
+            f"{z(0)} + 0.0 AS z_phishing, {z(1)} + 0.0 AS z_legitimate, round({dens(0)} - {dens(1)}, 4) + 0.0 AS contribution FROM scaled"
         )
     return _nb_ctes(False) + " " + " UNION ALL ".join(parts)
 

@@ -53,7 +53,7 @@ def reference_stats(df: DataFrame, features: Sequence[str], label: str = C.TARGE
     groups = vector_moments(df, features, label)
     total = pooled(groups)
     ends = exact_quantiles(
-        df, features, [0.01, 0.25, 0.5, 0.75, 0.99], counts={c: total["n"] for c in features}
+        df, features, [0.01, 0.25, 0.5, 0.75, 0.99]
     )
     rows = []
     for i, c in enumerate(features):
@@ -102,7 +102,7 @@ def outliers(df: DataFrame, cols: Sequence[str], skew_limit: float = 3.0, z_limi
     """Outliers per column: beyond z deviations, or beyond the quartile fences where skewed."""
     found = moments(df, cols)
     skewed = [c for c in cols if found[c][2] is not None and abs(found[c][2]) > skew_limit]
-    fences = exact_quantiles(df, skewed, [0.25, 0.75], counts={c: found[c][0] for c in skewed})
+    fences = exact_quantiles(df, skewed, [0.25, 0.75])
     plain = [c for c in cols if c not in fences]
     spread = df.agg(*[F.stddev_pop(c).alias(c) for c in plain]).first() if plain else {}
     items = []
