@@ -402,6 +402,17 @@ def csv_quotes(spark, sf_dir):
     return files.read_csv(spark, path, "doc_id long, text string")
 
 
+_WHOLE = "'He said \"' || text || '\", ok' || chr(10) || lang"
+
+
+@query("csv_whole_texts", f"SELECT doc_id, {_WHOLE} AS text FROM documents")
+def csv_whole_texts(spark, sf_dir):
+    """Whole documents between quotes, commas and line breaks through the CSV sink and source."""
+    path = _path(spark, "csv")
+    files.write_csv(table(spark, sf_dir, "documents").selectExpr("doc_id", f"{_WHOLE} AS text"), path)
+    return files.read_csv(spark, path, "doc_id long, text string")
+
+
 @query("unexpected_labels", "SELECT DISTINCT l_linenumber AS label FROM lineitem WHERE l_linenumber NOT IN (0, 1)")
 def unexpected_labels(spark, sf_dir):
     """Every label outside the two classes."""
