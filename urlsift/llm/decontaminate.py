@@ -4,7 +4,9 @@ The index stores a posting (term, document, position) for every training token t
 test items. A window of an item starts from the postings of its rarest term, each shifted by the term's
 offset to the place where the item would begin, and is intersected with the shifted lists of the next rarer
 terms. Alignments that survive are intersected with the lists of all the item's terms; runs of
-consecutive matches are the exact phrases. Proximity matches allow each term some positions of play.
+consecutive matches are the exact phrases. Proximity matches allow each term some positions of play and some
+terms to be absent: with ``m`` absences allowed, one of a window's m + 1 rarest terms is present, and of m + 1 + j at least
+j + 1, so places where too few of them stand together are left out before all terms are looked up.
 """
 
 from __future__ import annotations
@@ -60,14 +62,13 @@ def build_index(documents: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def _ranked_windows(terms: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """(item, first, list): the terms of each window as (postings, i, term), rarest first; windows with a
-    term that no document holds are left out."""
+    """(item, first, list): the terms of each window as (postings, i, term), rarest first; terms that no document holds have
+    zero postings."""
     known = terms.join(small(counts), "term", "left").withColumn("postings", F.coalesce("postings", F.lit(0)))
     last = F.greatest(F.col("n") - window, F.lit(0))
     firsts = F.sequence(F.greatest(F.col("i") - (window - 1), F.lit(0)), F.least("i", last))
     placed = known.withColumn("first", F.explode(firsts))
-    grouped = placed.groupBy("item", "first").agg(F.sort_array(F.collect_list(F.struct("postings", "i", "term"))).alias("list"))
-    return grouped.filter(F.col("list")[0]["postings"] > 0)
+    return placed.groupBy("item", "first").agg(F.sort_array(F.collect_list(F.struct("postings", "i", "term"))).alias("list"))
 
 
 def _alignments(index: DataFrame, ranked: DataFrame) -> DataFrame:
@@ -91,7 +92,8 @@ def phrase_matches(index: DataFrame, terms: DataFrame, window: int = WINDOW) ->
     """(id, copy, item, item_id, start, length): maximal runs of item words found word by word from position
     ``start`` on, at least ``window`` long, or the whole of a shorter item."""
     counts = index.groupBy("term").agg(F.count("*").alias("postings"))
-    found = _alignments(index, written(_ranked_windows(terms, counts, window), "windows"))
+    whole = _ranked_windows(terms, counts, window).filter(F.col("list")[0]["postings"] > 0)
+    found = _alignments(index, written(whole, "windows"))
     for rank in range(1, 1 + NARROWING):
         found = _narrowed(index, found, rank)
     survivors = written(found.select(*DOC, "item", "start").distinct(), "survivors")
@@ -105,26 +107,41 @@ def phrase_matches(index: DataFrame, terms: DataFrame, window: int = WINDOW) ->
     return runs.filter(long_enough).select(*DOC, "item", "item_id", (F.col("start") + F.col("i")).alias("start"), "length")
 
 
+def _together(found: DataFrame, play: int, least: Column) -> DataFrame:
+    """The rows (id, copy, item, at, ...) with at least ``least`` rows, themselves included, whose ``at`` one start can reach."""
+    around = Window.partitionBy(*DOC, "item").orderBy("at").rangeBetween(-2 * play, 2 * play)
+    return found.withColumn("around", F.count("*").over(around)).filter(F.col("around") >= least).drop("around")
+
+
 def proximity_matches(index: DataFrame, terms: DataFrame, window: int = WINDOW, play: int = 2, share: float = 0.8) -> DataFrame:
-    """(id, copy, item, item_id, first, start, near): occurrences of a window's rarest term around which at least ``share``
-    of the window's words stand within ``play`` positions of their place; ``near`` counts those words."""
+    """(id, copy, item, item_id, first, start, near): places where at least ``share`` of the words of an item's window (the
+    whole of a shorter item), which begins at the item's word ``first``, stand within ``play`` positions of where they
+    are when the item begins at ``start``; ``near`` counts those words. All such places are found."""
     counts = index.groupBy("term").agg(F.count("*").alias("postings"))
-    anchored = _alignments(index, _ranked_windows(terms, counts, window))
-    asked = anchored.withColumn("size", F.size("list")).withColumn("want", F.explode("list"))
-    asked = asked.withColumn("term", F.col("want.term")).withColumn("at", F.col("start") + F.col("want.i"))
-    asked = asked.withColumn("pos", F.explode(F.sequence(F.col("at") - play, F.col("at") + play)))
-    hit = asked.join(index, PLACE, "left_semi")
-    key = [*DOC, "item", "first", "start", "size"]
-    near = hit.groupBy(*key, "at").agg(F.lit(1).alias("one")).groupBy(*key).agg(F.count("*").alias("near"))
-    names = terms.select("item", "item_id").distinct()
-    return near.filter(F.col("near") >= F.ceil(F.col("size") * share)).join(small(names), "item").drop("size")
+    size = F.least("n", F.lit(window))
+    need = F.greatest(F.ceil(size * share), F.lit(1))
+    ranked = _ranked_windows(terms, counts, window).join(small(terms.select("item", "n").distinct()), "item")
+    asked = F.least(size, size - need + 1 + NARROWING).cast("int")
+    seeds = ranked.select("item", (asked - (size - need)).alias("least"), F.explode(F.slice("list", F.lit(1), asked)).alias("seed"))
+    seeds = written(seeds.select("item", "least", "seed.i", "seed.term").distinct(), "seeds")
+    found = index.join(small(seeds), "term").select(*DOC, "item", "least", (F.col("pos") - F.col("i")).alias("at"))
+    pairs = written(_together(found, play, F.col("least")).select(*DOC, "item").distinct(), "near-pairs")
+    lists = index.join(small(pairs.select(*DOC).distinct()), DOC, "left_semi")
+    hits = pairs.join(small(terms), "item").join(lists, ["term", *DOC]).withColumn("at", F.col("pos") - F.col("i"))
+    hits = _together(hits, play, need)
+    key = [*DOC, "item", "item_id", "n", "start"]
+    reached = hits.withColumn("start", F.explode(F.sequence(F.col("at") - play, F.col("at") + play))).select(*key, "i").distinct()
+    firsts = F.sequence(F.greatest(F.col("i") - size + 1, F.lit(0)), F.least("i", F.col("n") - size))
+    near = reached.withColumn("first", F.explode(firsts)).groupBy(*key, "first").agg(F.count("*").alias("near"))
+    return near.filter(F.col("near") >= need).drop("n").select(*DOC, "item", "item_id", "first", "start", "near")
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    window: int = WINDOW,
+    window: int = WINDOW, near: bool = False,
 ) -> DataFrame:
-    """(id, copy, n_words, n_hit, n_items, item_ids) for each document row.
+    """(id, copy, n_words, n_hit, n_items, item_ids) for each document row; with ``near`` also (n_near, near_ids): the items
+    that have a proximity match, those with a phrase among them.
 
     Words inside any phrase match are hit. Null and empty texts have no words; items without words are
     ignored; an item without an id hits words but isn't listed. Rows that repeat an id each get the counts of
@@ -134,17 +151,25 @@ def contamination(
     terms = written(item_terms(items, item_id, item_text), "item-terms")
     index = build_index(documents, terms.select("word", "term").distinct())
     phrases = written(phrase_matches(index, terms, window), "phrases")
+    named = F.sort_array(F.collect_set(F.col("item_id").cast("string")))
+    if near:
+        close = written(proximity_matches(index, terms, window).groupBy(*DOC).agg(named.alias("near_ids")), "near")
     drop_written(index)
     inside = F.explode(F.sequence(F.col("start"), (F.col("start") + F.col("length") - 1).cast("int")))
     hit = phrases.select(*DOC, inside.alias("pos")).distinct().groupBy(*DOC).agg(F.count("*").alias("n_hit"))
-    listed = phrases.groupBy(*DOC).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+    listed = phrases.groupBy(*DOC).agg(named.alias("item_ids"))
     marks = hit.join(listed, DOC)
     counted = documents.select(*DOC, "given_id", count_words(F.col("t")).alias("n_words"))
     none = F.array().cast("array<string>")
     copy = F.when(F.col("given_id").isNull(), F.col("copy") - NO_ID).otherwise(F.col("copy")).cast("int")
-    return counted.join(marks, DOC, "left").select(
+    marked = counted.join(marks, DOC, "left")
+    lists = {"n_items": "item_ids"}
+    if near:
+        marked, lists = marked.join(close, DOC, "left"), lists | {"n_near": "near_ids"}
+    sizes = [(F.coalesce(F.size(x), F.lit(0)).cast("long").alias(n), F.coalesce(x, none).alias(x)) for n, x in lists.items()]
+    return marked.select(
         F.col("given_id").alias("id"), copy.alias("copy"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("item_ids", none).alias("item_ids"),
+        *[c for pair in sizes for c in pair],
     )
 
 

@@ -51,6 +51,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op3_decontaminate, and beside them the items with proximity matches."""
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), near=True)
+    digest = {c: F.sha2(F.array_join(c, ","), 256) for c in ("item_ids", "near_ids")}
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", digest["item_ids"].alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"), "n_near", digest["near_ids"].alias("near_sha256"),
+    )
+
+
 OP3_SQL = r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -236,6 +246,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "f.n_assign", "f.n_access", "f.n_hex", F.sha2("f.base", 256).alias("base_sha256"), "f.spans")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op4_fixity": op4_fixity, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_licenses": op9_licenses, "op10_secrets": op10_secrets}
+QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op3_near": op3_near, "op4_fixity": op4_fixity, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_licenses": op9_licenses, "op10_secrets": op10_secrets}
 
 SQL: dict[str, str] = {"op2_top_k": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_fixity": OP4_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}
