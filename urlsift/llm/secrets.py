@@ -2,8 +2,8 @@
 
 Candidates are long runs of token characters. For each character class a window slides over the candidate's runs
 of that class; the counts of its characters are changed by the one that enters and the one that leaves, and with
-them the entropy. Windows at or above the class's threshold are joined into spans, unless the allow-list
-knows the candidate. Spans inside a known form aren't repeated.
+them the entropy. Windows at or above the class's threshold are joined into spans. The allow-list takes its own pieces out
+of a candidate, those between ``/`` and ``=``, and leaves the others to be scanned. Spans inside a known form aren't repeated.
 """
 
 from __future__ import annotations
@@ -26,15 +26,27 @@ WINDOW = 20
 #: name, characters, threshold in bits (a window of 20 can reach 4.32), what a window needs besides
 CLASSES = (
     ("hex", re.compile(r"[0-9a-fA-F]{20,}"), 3.0, (re.compile("[0-9]"), re.compile("[a-fA-F]"))),
+    ("base36", re.compile(r"[a-z0-9]{20,}"), 3.4, (re.compile("[0-9]"), re.compile("[a-z]"))),
+    ("base32", re.compile(r"[A-Z0-9]{20,}"), 3.4, (re.compile("[0-9]"), re.compile("[A-Z]"))),
     ("base64", re.compile(r"[A-Za-z0-9+/]{20,}"), 3.8, (re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]"))),
+    ("base64url", re.compile(r"[A-Za-z0-9_-]{20,}"), 3.9, (re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]"))),
 )
-#: Candidates that match one of these in full, or contain one of the marks, are no secrets.
+PIECE = re.compile(r"[^/=]+")
+#: Pieces that match one of these in full, or contain one of the marks, are no secrets.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"),
-    re.compile(r"(?:sha(?:1|256|384|512)|md5)[-_=].*"),
     re.compile(r"(.)\1*"),
     re.compile(r"[0-9]+"),
 )
+#: A digest behind its name, whole, in hex or base64; it may hold delimiters.
+DIGEST = re.compile(
+    r"(?<![A-Za-z0-9+_-])(?:"
+    + "|".join(
+        rf"{name}[-_=](?:[0-9a-fA-F]{{{2 * n}}}|[A-Za-z0-9+/_-]{{{-(-4 * n // 3)}}}{'=' * (-n % 3)})"
+        for name, n in (("md5", 16), ("sha1", 20), ("sha256", 32), ("sha384", 48), ("sha512", 64))
+    )
+    + r")(?![A-Za-z0-9+_-])"
+)
 ALLOWED_MARKS = ("example", "sample", "dummy", "placeholder", "abcdefghij", "0123456789", "xxxxxx")
 _TERM = [0.0, *(n * log2(n) for n in range(1, WINDOW + 1))]
 
@@ -63,9 +75,20 @@ def window_spans(run: str, threshold: float, needs=(), window: int = WINDOW) ->
     return spans
 
 
-def allowed(candidate: str) -> bool:
-    low = candidate.lower()
-    return any(x.fullmatch(candidate) for x in ALLOWED) or any(m in low for m in ALLOWED_MARKS)
+def allowed(piece: str) -> bool:
+    low = piece.lower()
+    return any(x.fullmatch(piece) for x in ALLOWED) or any(m in low for m in ALLOWED_MARKS)
+
+
+def open_parts(candidate: str) -> list[tuple[int, int]]:
+    """The stretches of a candidate between its allowed pieces."""
+    taken = [m.span() for m in DIGEST.finditer(candidate)] + [m.span() for m in PIECE.finditer(candidate) if allowed(m.group())]
+    parts, at = [], 0
+    for a, b in sorted(taken):
+        if a - at >= WINDOW:
+            parts.append((at, a))
+        at = max(at, b)
+    return [*parts, (at, len(candidate))]
 
 
 def known_spans(text: str) -> list[tuple[int, int, str]]:
@@ -77,18 +100,24 @@ def known_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def entropy_spans(text: str, known: list[tuple[int, int, str]] = ()) -> list[tuple[int, int, str]]:
-    """Spans of high entropy in code points that don't lie inside a span of ``known``."""
+    """Spans of high entropy in code points that don't lie inside a span of ``known``; those that overlap are one."""
     found = set()
     for m in CANDIDATE.finditer(text):
-        if allowed(m.group()):
+        candidate = m.group()
+        for first, end in open_parts(candidate):
+            for _, characters, threshold, needs in CLASSES:
+                for run in characters.finditer(candidate, first, end):
+                    for a, b in window_spans(run.group(), threshold, needs):
+                        found.add((m.start() + run.start() + a, m.start() + run.start() + b))
+    spans: list[tuple[int, int, str]] = []
+    for a, b in sorted(found):
+        if any(x <= a and b <= y for x, y, _ in known):
             continue
-        for _, characters, threshold, needs in CLASSES:
-            for run in characters.finditer(m.group()):
-                for a, b in window_spans(run.group(), threshold, needs):
-                    found.add((m.start() + run.start() + a, m.start() + run.start() + b))
-    inside = lambda a, b: any(x <= a and b <= y for x, y, _ in known)
-    outer = lambda a, b: any((x, y) != (a, b) and x <= a and b <= y for x, y in found)
-    return [(a, b, "entropy") for a, b in sorted(found) if not inside(a, b) and not outer(a, b)]
+        if spans and a < spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(b, spans[-1][1]), "entropy")
+        else:
+            spans.append((a, b, "entropy"))
+    return spans
 
 
 def listed(spans: list[tuple[int, int, str]]) -> str:
