@@ -3,7 +3,9 @@
 A template is the wording of a notice with regions in markup: what stands between ``<<beginOptional>>`` and
 ``<<endOptional>>`` may be missing, ``<<var;name;pattern;least-most>>`` stands for a number of words that each match
 the pattern. Templates are compiled into one token automaton; a notice is accepted where all mandatory wording
-matches word by word. Plain phrases are found beside the templates.
+matches word by word. The bodies of MIT, BSD, ISC and the Unlicense are there as a whole; a label that ends in ``-opening``
+or ``-heading`` stands for that excerpt alone and says nothing about what follows it. Plain phrases are found beside
+the templates.
 """
 
 from __future__ import annotations
@@ -21,15 +23,85 @@ from urlsift.llm.common import word_blocks
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
 _ANY = "<<var;{};.*;{}>>"
+_HOLDER = _ANY.format("holder", "1-12")
+_BULLET = "<<var;bullet;[0-9][0-9]?|[a-d]|ii?i?|iv;0-1>>"
+_AS_IS = (
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties "
+    "of merchantability fitness for a particular purpose and <<var;non;non;0-1>> <<var;infringement;(non)?infringement;1-1>> in no "
+    "event shall {} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising "
+    "from out of or in connection with the software or the use or other dealings in the software"
+)
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+    "<<beginOptional>>the software<<endOptional>> to deal in the software without restriction including without limitation the rights "
+    "to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+    "software is furnished to do so {}" + _AS_IS.format(_HOLDER)
+)
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    f"conditions are met {_BULLET} redistributions of source code must retain the above copyright notice this list of conditions "
+    f"and the following disclaimer {_BULLET} redistributions in binary form must reproduce the above copyright notice this list of "
+    "conditions and the following disclaimer in the documentation and or other materials provided with the distribution {} "
+    f"this software is provided by {_HOLDER} as is and any express or implied warranties including but not limited to the implied "
+    f"warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {_HOLDER} be liable for "
+    "any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however caused and on any theory of "
+    "liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use "
+    "of this software even if advised of the possibility of such damage"
+)
+_ADVERTISING = (
+    f"{_BULLET} all advertising materials mentioning features or use of this software must display the following "
+    f"acknowledgement this product includes software developed by {_HOLDER} "
+)
+_ENDORSEMENT = (
+    f"{_BULLET} neither the <<var;name;names?;1-1>> of {_HOLDER} nor the names of <<var;whose;.*;0-1>> contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission"
+)
+_ENDORSEMENT_NAME = (
+    f"{_BULLET} the name of {_HOLDER} may not be used to endorse or promote products derived from this software without specific "
+    "prior written permission"
+)
+_ISC = (
+    "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or without fee "
+    f"is hereby granted {{}} the software is provided as is and {_HOLDER} <<var;disclaims;disclaims?;1-1>> all warranties with "
+    "regard to this software including all implied warranties of merchantability and fitness in no event shall "
+    f"{_HOLDER} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss "
+    "of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection "
+    "with the use or performance of this software"
+)
+_FREE = "is free software you can redistribute it and or modify it under the terms of "
+_FSF = " as published by the free software foundation"
+_LATER = (
+    _FSF + " either version <<var;version;[0-9]+;1-2>> of the license or <<beginOptional>>at your option<<endOptional>> any later version"
+)
+
+
+def _named(name: str, version: str) -> tuple[str, ...]:
+    """Notices that name one version, as the version-only form does; what follows them isn't compared."""
+    return (
+        f"{_FREE} the {name} <<beginOptional>>v<<endOptional>> <<beginOptional>>version<<endOptional>> {version} "
+        f"<<beginOptional>>only<<endOptional>> {_FSF}",
+        f"{_FREE} version {version} <<beginOptional>>only<<endOptional>> of the {name} {_FSF}",
+        f"{_FREE} the {name} {_FSF} <<beginOptional>>only<<endOptional>> version {version}",
+    )
+
+
 #: label -> templates
 TEMPLATES = {
     "apache-2.0": (
         "licensed under the apache license <<beginOptional>>version<<endOptional>> 2.0",
-        "apache license version 2.0 january 2004",
     ),
+    "apache-2.0-heading": ("apache license version 2.0 january 2004",),
     "mit": (
         "released under the <<beginOptional>>terms of the<<endOptional>> mit license",
         "licensed under the <<beginOptional>>terms of the<<endOptional>> mit license",
+        _MIT.format(
+            "subject to the following conditions the above copyright notice and this permission notice <<beginOptional>>including the "
+            "next paragraph<<endOptional>> shall be included in all copies or substantial portions of the software "
+        ),
+    ),
+    "mit-0": (_MIT.format(""),),
+    "mit-opening": (
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
         "documentation files <<beginOptional>>the software<<endOptional>> to deal in the software without restriction",
     ),
@@ -39,27 +111,48 @@ TEMPLATES = {
     "gpl-3.0": (
         "licensed under the gnu general public license version 3 <<beginOptional>>or any later version<<endOptional>>",
     ),
-    "gpl-notice": (
-        "is free software you can redistribute it and or modify it under the terms of the gnu <<beginOptional>>lesser<<endOptional>> "
-        "general public license as published by the free software foundation either version <<var;version;[0-9]+;1-2>> "
-        "of the license or <<beginOptional>>at your option<<endOptional>> any later version",
+    "gpl-notice": (_FREE + "the gnu <<beginOptional>>lesser<<endOptional>> general public license" + _LATER,),
+    "gpl-2.0-notice": _named("gnu general public license", "2"),
+    "gpl-3.0-notice": _named("gnu general public license", "3"),
+    "agpl-3.0": (
+        "licensed under the gnu affero general public license version 3 <<beginOptional>>or any later version<<endOptional>>",
     ),
+    "agpl-notice": (_FREE + "the gnu affero general public license" + _LATER,),
+    "agpl-3.0-notice": _named("gnu affero general public license", "3"),
     "cc-by-4.0": ("licensed under <<beginOptional>>a<<endOptional>> cc by <<var;version;[0-9]+;2-2>>",),
     "cc-by-nc-4.0": ("licensed under <<beginOptional>>a<<endOptional>> cc by nc <<var;version;[0-9]+;2-2>>",),
     "cc-by-sa-4.0": ("licensed under <<beginOptional>>a<<endOptional>> cc by sa <<var;version;[0-9]+;2-2>>",),
+    "cc-by-nc-sa": ("licensed under <<beginOptional>>a<<endOptional>> cc by nc sa <<var;version;[0-9]+;2-2>>",),
+    "cc-by-nd": ("licensed under <<beginOptional>>a<<endOptional>> cc by nd <<var;version;[0-9]+;2-2>>",),
+    "cc-by-nc-nd": ("licensed under <<beginOptional>>a<<endOptional>> cc by nc nd <<var;version;[0-9]+;2-2>>",),
     "cc-by-long": (
         "licensed under <<beginOptional>>a<<endOptional>> creative commons attribution <<var;kind;.*;0-4>> <<var;version;[0-9]+;2-2>> "
         "<<beginOptional>>international<<endOptional>> license",
     ),
-    "bsd": (
+    "bsd-2-clause": (_BSD.format(""),),
+    "bsd-3-clause": (_BSD.format(_ENDORSEMENT), _BSD.format(_ENDORSEMENT_NAME)),
+    "bsd-4-clause": (_BSD.format(_ADVERTISING + _ENDORSEMENT), _BSD.format(_ADVERTISING + _ENDORSEMENT_NAME)),
+    "bsd-opening": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
         "conditions are met",
     ),
     "isc": (
+        _ISC.format("provided that the above copyright notice and this permission notice appear in all copies"),
+    ),
+    "0bsd": (_ISC.format(""),),
+    "isc-opening": (
         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
     ),
     "mpl-2.0": ("subject to the terms of the mozilla public license v 2.0", "licensed under the mozilla public license <<var;version;.*;0-3>>"),
-    "unlicense": ("this is free and unencumbered software released into the public domain",),
+    "unlicense": (
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell "
+        "or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial "
+        "and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all "
+        "copyright interest in the software to the public domain we make this dedication for the benefit of the public at large and "
+        "to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity "
+        "of all present and future rights to this software under copyright law " + _AS_IS.format("the authors"),
+    ),
+    "unlicense-opening": ("this is free and unencumbered software released into the public domain",),
     "copyright": (
         "copyright <<beginOptional>>c<<endOptional>> <<var;year;[0-9]{4};1-2>> <<var;holder;.*;0-6>> all rights reserved",
     ),
