@@ -2,12 +2,15 @@
 
 A document is the average of learned vectors of its hashed words and character n-grams (which may touch a word's
 edges but not cross them); softmax over a linear map of the average gives the label. It is trained by stochastic
-gradient descent in numpy on a bounded sample of labelled documents. As the output is linear in the average,
-scoring needs one learned number per bucket, averaged over the text.
+gradient descent in numpy on a bounded sample of labelled documents, each with all its buckets. As the output is linear in
+the average, scoring needs one learned number per bucket, averaged over the text.
 """
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +23,8 @@ from urlsift.llm.language_id import buckets
 
 BITS = 17
 ORDERS = 4
-#: Labelled documents that training takes at most, chosen by a hash of the id, and buckets it keeps of each.
+#: Labelled documents that training takes at most, chosen by a hash of the id.
 MAX_DOCUMENTS = 4096
-MAX_BAG = 4096
 DIMENSIONS = 16
 EPOCHS = 8
 RATE = 0.5
@@ -71,18 +73,39 @@ def features(codes: np.ndarray, begin: np.ndarray, end: np.ndarray):
 
 
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and how often each occurs; of more than MAX_BAG those of smallest mixed hash."""
+    """Distinct buckets of a text and how often each occurs."""
     total = np.zeros(1 << BITS, np.int64)
     for codes, begin, end, _ in packed([text], ORDERS - 1):
         for found, valid in features(codes, begin, end):
             total += np.bincount(found[valid], minlength=1 << BITS)
     at = np.flatnonzero(total)
-    if len(at) > MAX_BAG:
-        mixed = at.astype(np.uint64) * _STEP >> np.uint64(40)
-        at = np.sort(at[np.argsort(mixed, kind="stable")[:MAX_BAG]])
     return at, total[at]
 
 
+class Bags(Sequence):
+    """(buckets, counts, label) of documents from (id, label, bytes of the buckets and counts), by id, then label, then bytes.
+    The bytes wait in an unnamed file of the driver, so memory holds one document at a time."""
+
+    def __init__(self, rows: Iterable[tuple]):
+        self._file, places = tempfile.TemporaryFile(), []
+        for key, label, data in rows:
+            places.append((key, int(label), hashlib.sha256(data).digest(), self._file.tell(), len(data)))
+            self._file.write(data)
+        self._places = sorted(places, key=lambda p: p[:3])
+
+    def __len__(self) -> int:
+        return len(self._places)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray, int]:
+        _, label, _, at, size = self._places[i]
+        self._file.seek(at)
+        found, counts = np.frombuffer(self._file.read(size), np.int32).reshape(2, -1)
+        return found.astype(np.int64), counts.astype(np.int64), label
+
+    def close(self) -> None:
+        self._file.close()
+
+
 @dataclass(frozen=True)
 class QualityModel:
     """``logit`` of each bucket and ``bias``: log odds of label 1 are the bias plus the average over the text."""
@@ -102,11 +125,13 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.bias + total / np.maximum(count, 1), -500, 500)))
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -> QualityModel:
-    """Stochastic gradient descent over (buckets, counts, label 0 or 1). Without documents every score is 1/2."""
+def train(bags: Sequence[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -> QualityModel:
+    """Stochastic gradient descent over (buckets, counts, label 0 or 1). Without documents every score is 1/2. Buckets of no
+    document add nothing to a score."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS))
     output, bias = np.zeros((2, DIMENSIONS)), np.zeros(2)
+    trained = np.zeros(1 << BITS, bool)
     steps = max(1, epochs * len(bags))
     for step in range(epochs * len(bags)):
         if step % len(bags) == 0:
@@ -115,6 +140,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS,
         speed = rate * (1 - step / steps)
         if not len(at):
             continue
+        trained[at] = True
         weight = counts / counts.sum()
         mean = weight @ vectors[at]
         raw = output @ mean + bias
@@ -127,30 +153,26 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS,
         # A bucket moves by its share of the document, relative to the largest.
         vectors[at] -= speed * np.outer(weight / np.linalg.norm(weight), pull)
     difference = output[1] - output[0]
-    return QualityModel(vectors @ difference, float(bias[1] - bias[0]))
+    return QualityModel(np.where(trained, vectors @ difference, 0), float(bias[1] - bias[0]))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS) -> QualityModel:
     """``docs`` (id, text) and ``labels`` (id, 0 or 1). Takes at most ``max_documents`` labelled ids, those of smallest hash, and
-    of each at most MAX_BAG buckets. Rows with a null are passed over; rows that repeat a label count once."""
+    of each all buckets. Rows with a null are passed over; rows that repeat a label count once."""
     chosen = labels.toDF("id", "label").dropna().filter("label in (0, 1)").distinct()
     chosen = chosen.orderBy(F.xxhash64("id"), "id", "label").limit(max_documents)
     sample = docs.toDF("id", "text").dropna().join(F.broadcast(chosen), "id")
 
-    @F.arrow_udf("struct<bucket: array<int>, n: array<int>>")
+    @F.arrow_udf("binary")
     def bags(texts: pa.Array) -> pa.Array:
-        found = [bag(t.as_py()) for t in texts]
-        kind = pa.list_(pa.int32())
-        return pa.StructArray.from_arrays([pa.array([f[j].astype(np.int32) for f in found], kind) for j in range(2)], ["bucket", "n"])
-
-    rows = written(sample.select("id", "label", bags("text").alias("b")).select("id", "label", "b.bucket", "b.n"), "bags")
-    table = rows.toArrow()
-    keys = zip(table.column("id").to_pylist(), table.column("label").to_pylist(), strict=True)
-    order = sorted(range(table.num_rows), key=dict(enumerate(keys)).__getitem__)
-    buckets_, counts = table.column("bucket"), table.column("n")
-    label = table.column("label")
-    found = [(buckets_[i].values.to_numpy().astype(np.int64), counts[i].values.to_numpy(), int(label[i].as_py())) for i in order]
-    return train(found)
+        return pa.array([np.concatenate(bag(t.as_py())).astype(np.int32).tobytes() for t in texts], pa.binary())
+
+    rows = written(sample.select("id", "label", bags("text").alias("bag")), "bags")
+    found = Bags((r.id, r.label, bytes(r.bag)) for r in rows.toLocalIterator())
+    try:
+        return train(found)
+    finally:
+        found.close()
 
 
 def quality(spark: SparkSession, model: QualityModel, text: Column) -> Column:
