@@ -53,3 +53,21 @@ def test_words_far_behind_are_learned(spark):
 def test_empty_bags_are_passed_over():
     assert quality.train([]).bias == 0
     assert quality.train([(*quality.bag(""), 1)]).scores(["x"])[0] == pytest.approx(0.5)
+
+
+def test_rows_of_one_id_do_not_exceed_the_bound(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda bags: seen.append([(len(bags[i][0]), bags[i][2]) for i in range(len(bags))]))
+    rows = [(1, "many " * (k % 3) + f"text{k}") for k in range(400)] + [(k, "alone") for k in range(2, 8)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k > 1)) for k in range(1, 8)], "id long, label int")
+    quality.fit_quality(docs, labels, max_documents=20)
+    assert len(seen[0]) == 20 and sum(y for _, y in seen[0]) == 6
+
+
+def test_rows_that_repeat_an_id_and_its_text_count_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda bags: seen.append([bags[i][2] for i in range(len(bags))]))
+    docs = spark.createDataFrame([(1, "same text")] * 300 + [(1, "another"), (2, "same text")], "id long, text string").repartition(4)
+    quality.fit_quality(docs, spark.createDataFrame([(1, 0), (2, 1), (2, 1)], "id long, label int"))
+    assert sorted(seen[0]) == [0, 0, 1]

@@ -158,10 +158,18 @@ def train(bags: Sequence[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOC
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS) -> QualityModel:
     """``docs`` (id, text) and ``labels`` (id, 0 or 1). Takes at most ``max_documents`` labelled ids, those of smallest hash, and
-    of each all buckets. Rows with a null are passed over; rows that repeat a label count once."""
+    of their rows at most as many, first one of each id, then those of smallest hash; and of each row all buckets. Rows with
+    a null are passed over; rows that repeat a label, or an id and its text, count once."""
     chosen = labels.toDF("id", "label").dropna().filter("label in (0, 1)").distinct()
-    chosen = chosen.orderBy(F.xxhash64("id"), "id", "label").limit(max_documents)
-    sample = docs.toDF("id", "text").dropna().join(F.broadcast(chosen), "id")
+    chosen = written(chosen.orderBy(F.xxhash64("id"), "id", "label").limit(max_documents), "labels")
+    known = docs.toDF("id", "text").dropna().join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi")
+    known = known.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+    texts = written(known.select("id", "key").distinct(), "texts")
+    first = texts.groupBy("id").agg(F.min("key").alias("first"))
+    ranked = texts.join(F.broadcast(first), "id").join(F.broadcast(chosen), "id")
+    picked = ranked.orderBy(F.col("key") != F.col("first"), F.xxhash64("id", "key"), "id", "key", "label").limit(max_documents)
+    picked = written(picked.select("id", "key", "label"), "picked")
+    sample = known.join(F.broadcast(picked), ["id", "key"]).dropDuplicates(["id", "key", "label"])
 
     @F.arrow_udf("binary")
     def bags(texts: pa.Array) -> pa.Array:
