@@ -22,17 +22,24 @@ from urlsift.llm.common import drop_written, written
 BLOCK = 128
 GROUP_BLOCKS = 32
 CHUNK = 1024
-#: Components are held to this size, so that products of whole vectors fit into 64 bits.
-LIMIT = 1 << 24
+#: Scores beyond these are no longs.
+SMALLEST, LARGEST = -(2**63), 2**63 - 1
 _LEAST = -(2**63 - 1)
+#: Below every key of scores that are Python integers.
+_NONE = -(1 << 400)
 
 
 def quantized(vector: Column, scale: int = 64) -> Column:
     """floor(scale * x) of each component as a long; null for a null vector and for one with a null or
-    non-finite component."""
+    non-finite component. A component whose floor is no long is an error."""
     good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    whole = F.transform(vector, lambda x: F.least(F.greatest(F.floor(x.cast("double") * scale), F.lit(-LIMIT)), F.lit(LIMIT)))
-    return F.when(F.coalesce(good, F.lit(False)), whole)
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        error = F.raise_error(F.concat(F.lit("component out of the range of a long: "), x.cast("string"))).cast("long")
+        return F.when((scaled >= -(2.0**63)) & (scaled < 2.0**63), F.floor(scaled)).otherwise(error)
+
+    return F.when(F.coalesce(good, F.lit(False)), F.transform(vector, whole))
 
 
 def _matrix(lists: list, width: int) -> np.ndarray:
@@ -51,7 +58,7 @@ def _stacked(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Record
     def out():
         width = max(map(len, vectors))
         row = {"part": [part], "n": [len(ids)], "width": [width], "ids": [np.array(ids, np.int64).tobytes()],
-               "vectors": [_matrix(vectors, width).astype(np.int32).tobytes()]}
+               "vectors": [_matrix(vectors, width).tobytes()]}
         return pa.RecordBatch.from_pydict(row, schema=_STACK)
 
     for batch in batches:
@@ -78,23 +85,26 @@ def _numbered(stacks: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 def _unstack(row: dict, at: str) -> tuple[np.ndarray, np.ndarray]:
     n, width = row[f"{at}_n"], row[f"{at}_width"]
-    return np.frombuffer(row[f"{at}_ids"], np.int64), np.frombuffer(row[f"{at}_vectors"], np.int32).reshape(n, width)
+    return np.frombuffer(row[f"{at}_ids"], np.int64), np.frombuffer(row[f"{at}_vectors"], np.int64).reshape(n, width)
 
 
 def search(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, block: int = BLOCK
 ) -> tuple[list[np.ndarray], list[np.ndarray], int]:
     """For each query the ids and scores of its k best vectors, best first, ties to the smaller id, never of its own
-    id; and how many of the (query, block) pairs were scored."""
+    id; and how many of the (query, block) pairs were scored. A returned score that is no long is an error."""
     width = max(queries.shape[1], vectors.shape[1])
-    q = np.pad(queries, ((0, 0), (0, width - queries.shape[1]))).astype(np.float64)
-    x = np.pad(vectors, ((0, 0), (0, width - vectors.shape[1]))).astype(np.float64)
+    whole_q = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
+    whole_x = np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
+    q, x = whole_q.astype(np.float64), whole_x.astype(np.float64)
     starts = np.arange(0, len(ids), block)
-    top, low = np.maximum.reduceat(x, starts), np.minimum.reduceat(x, starts)
     most = float(np.abs(q).sum(axis=1).max(initial=0) * np.abs(x).max(initial=0))
     exact = most < 2**49  # scores and their ranks fit into one 64-bit key, and sums of doubles are exact
     if not exact:
-        q, x, top, low = (m.astype(np.int64) for m in (q, x, top, low))
+        # The bound of a block sums products of maxima and minima, so it is at most twice ``most``, which is rounded.
+        kind = np.int64 if most < 2**61 else object
+        q, x = whole_q.astype(kind), whole_x.astype(kind)
+    top, low = np.maximum.reduceat(x, starts), np.minimum.reduceat(x, starts)
     bound = np.maximum(q, 0) @ top.T + np.minimum(q, 0) @ low.T
     turn = np.argsort(-bound, axis=1, kind="stable")
     # A key is the score and, below it, the place among ascending ids, counted from behind.
@@ -102,7 +112,7 @@ def search(
     place[np.argsort(ids, kind="stable")] = np.arange(len(ids))
     bits = max(1, int(len(ids)).bit_length())
     rank = (1 << bits) - 1 - place
-    kept = np.full((len(q), k), _LEAST) if exact else np.full((len(q), k), -(1 << 200), dtype=object)
+    kept = np.full((len(q), k), _LEAST) if exact else np.full((len(q), k), _NONE, dtype=object)
     active, scored = np.arange(len(q)), 0
     for j in range(len(starts)):
         b = turn[active, j]
@@ -114,23 +124,27 @@ def search(
         for number in np.unique(b):
             rows = active[b == number]
             part = slice(starts[number], starts[number] + block)
-            score = (q[rows] @ x[part].T).astype(np.int64)
+            score = q[rows] @ x[part].T
             if exact:
+                score = score.astype(np.int64)
                 keys = (score << bits) + rank[part]
                 keys[query_ids[rows][:, None] == ids[part]] = _LEAST
                 both = np.concatenate([kept[rows], keys], axis=1)
                 kept[rows] = -np.partition(-both, k - 1, axis=1)[:, :k] if both.shape[1] > k else both
             else:
                 keys = score.astype(object) * (1 << bits) + rank[part].astype(object)
-                keys[query_ids[rows][:, None] == ids[part]] = -(1 << 200)
+                keys[query_ids[rows][:, None] == ids[part]] = _NONE
                 kept[rows] = np.sort(np.concatenate([kept[rows], keys], axis=1), axis=1)[:, -k:]
             scored += len(rows)
     by_place = np.sort(ids, kind="stable")
     found_ids, found_scores = [], []
     for keys in kept:
-        real = np.sort(keys[keys > (_LEAST if exact else -(1 << 199))])[::-1]
+        real = np.sort(keys[keys > (_LEAST if exact else _NONE)])[::-1]
         found_ids.append(by_place[((1 << bits) - 1 - (real & ((1 << bits) - 1))).astype(np.int64)])
-        found_scores.append((real >> bits).astype(np.int64))
+        best = real >> bits
+        if len(best) and not (SMALLEST <= best[-1] and best[0] <= LARGEST):
+            raise OverflowError(f"a score of {best[0]} or {best[-1]} is out of the range of a long")
+        found_scores.append(best.astype(np.int64))
     return found_ids, found_scores, scored
 
 
