@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urlsift.runtime import written
+from urlsift.runtime import small, written
 
 ROWS_PER_RANGE = 250_000
 
@@ -43,9 +43,9 @@ def running_totals(
     if by:
         renamed = offsets.withColumnsRenamed({c: f"_by_{c}" for c in by}).withColumnRenamed("_r", "_or")
         same = [F.equal_null(ranged[c], renamed[f"_by_{c}"]) for c in by]
-        joined = ranged.join(F.broadcast(renamed), [*same, ranged["_r"] == renamed["_or"]]).drop("_or", *[f"_by_{c}" for c in by])
+        joined = ranged.join(small(renamed), [*same, ranged["_r"] == renamed["_or"]]).drop("_or", *[f"_by_{c}" for c in by])
     else:
-        joined = ranged.join(F.broadcast(offsets), ["_r"])  # one row per range and group
+        joined = ranged.join(small(offsets), ["_r"])
     return joined.withColumns(
         {k: F.col(f"_o_{k}") + F.sum(f"_t_{k}").over(inside) for k in totals}
     ).drop("_r", *[f"_{p}_{k}" for k in totals for p in "to"])

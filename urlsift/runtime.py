@@ -50,6 +50,30 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+class WorkTables:
+    """The written tables of one run. ``finish`` writes the run's result, deletes all the others and
+    returns the result, so that a run leaves nothing but what it returns."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def written(self, df: DataFrame, name: str = "table") -> DataFrame:
+        self.tables.append(written(df, name))
+        return self.tables[-1]
+
+    def drop(self, df: DataFrame) -> None:
+        """Delete one table before the run ends."""
+        self.tables = [t for t in self.tables if t is not df]
+        drop_written(df)
+
+    def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
+        result = written(df, name)
+        for table in self.tables:
+            drop_written(table)
+        self.tables = []
+        return result
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of all values as text, and a few for each."""
     widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns]
