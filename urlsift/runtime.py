@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 # A lookup side whose values take at most this many bytes is broadcast.
 BROADCAST_BYTES = 32 << 20
 
+_running = threading.local()
+_folders: dict[str, str] = {}
+
 
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -25,9 +30,10 @@ def work_dir(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="urlsift-work-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = tempfile.mkdtemp(prefix="urlsift-work-")
+    return _folders[app]
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
@@ -36,7 +42,32 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    for tables in getattr(_running, "runs", [])[-1:]:
+        tables.append(table)
+    return table
+
+
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that writes its result and then deletes every other table that was written while it ran,
+    so that a run leaves nothing but what it returns, and nothing where it fails."""
+
+    @functools.wraps(operator)
+    def run(*args, **named) -> DataFrame:
+        runs = _running.__dict__.setdefault("runs", [])
+        runs.append([])
+        kept = None
+        try:
+            kept = written(operator(*args, **named), "result")
+        finally:
+            for table in runs.pop():
+                if table is not kept:
+                    drop_written(table)
+        for tables in runs[-1:]:
+            tables.append(kept)
+        return kept
+
+    return run
 
 
 def drop_written(df: DataFrame) -> None:
@@ -50,30 +81,6 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-class WorkTables:
-    """The written tables of one run. ``finish`` writes the run's result, deletes all the others and
-    returns the result, so that a run leaves nothing but what it returns."""
-
-    def __init__(self) -> None:
-        self.tables: list[DataFrame] = []
-
-    def written(self, df: DataFrame, name: str = "table") -> DataFrame:
-        self.tables.append(written(df, name))
-        return self.tables[-1]
-
-    def drop(self, df: DataFrame) -> None:
-        """Delete one table before the run ends."""
-        self.tables = [t for t in self.tables if t is not df]
-        drop_written(df)
-
-    def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
-        result = written(df, name)
-        for table in self.tables:
-            drop_written(table)
-        self.tables = []
-        return result
-
-
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of all values as text, and a few for each."""
     widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns]
