@@ -9,9 +9,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.runtime import drop_written, small, work_dir, written
+from urlsift.runtime import drop_written, small, tidy, work_dir, written
 
-__all__ = ["ascii_lower", "drop_written", "packed", "read", "small", "span_sums", "text_copy", "word_blocks", "work_dir", "written"]
+__all__ = ["ascii_lower", "drop_written", "packed", "read", "small", "span_sums", "text_copy", "tidy", "word_blocks", "work_dir", "written"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PACK = 1 << 18

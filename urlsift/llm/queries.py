@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsift.llm import decontaminate, fixity, language_id, licenses, line_dedup, mixing, quality, secrets, simhash, top_k
+from urlsift.llm import collocations, conversation_trie, decontaminate, fixity, language_id, licenses, line_dedup, mixing, quality, secrets, simhash, token_counts, top_k
 from urlsift.llm.common import read
 
 
@@ -246,6 +246,112 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "f.n_assign", "f.n_access", "f.n_hex", F.sha2("f.base", 256).alias("base_sha256"), "f.spans")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op3_near": op3_near, "op4_fixity": op4_fixity, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash, "op9_licenses": op9_licenses, "op10_secrets": op10_secrets}
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the public byte-level vocabulary of 50,000 entries."""
+    import public_tokenizers
 
-SQL: dict[str, str] = {"op2_top_k": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_fixity": OP4_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL}
+    docs = read(spark, sf_dir, "documents")
+    counter = token_counts.fit_counter(docs, F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
+    found = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), token_counts.tokens(spark, counter, F.col("text")).alias("n_tokens"))
+    return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+#: A document with more tokens doesn't fit.
+TOKEN_LIMIT = 1024
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), split as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), places as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from split
+), counts as (
+  select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase, count(*) as f
+  from places, (select unnest([1, 2, 3, 4]) as size) where i + size - 1 <= len(w) group by all
+), totals as (
+  select lang, sum(f)::bigint as n from counts where size = 1 group by lang
+), candidates as (
+  select lang, size, phrase, string_split(phrase, ' ') as w, f as a from counts where size > 1 and f >= 30
+), cuts as (
+  select c.lang, c.phrase, c.a, k, l.f as l, r.f as r, (2000000::hugeint * c.a) // (l.f + r.f) as score
+  from (select *, unnest(range(1, size)) as k from candidates) c
+  join counts l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:k], ' ')
+  join counts r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1:], ' ')
+), scored as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), parts as (
+  select lang, a as longer, array_to_string(w[i:i + n - 1], ' ') as phrase
+  from (select *, unnest(range(2, size)) as n from candidates), (select unnest([1, 2, 3]) as i) where i + n - 1 <= size
+), inside as (
+  select lang, phrase, max(longer) as longer from parts group by all
+), kept as (
+  select s.* from scored s left join inside using (lang, phrase) where longer is null or 100 * longer < 80 * a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, n, score::bigint as score
+from kept join totals using (lang) qualify rank <= 2000
+"""
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = r"""
+with turns as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as j
+  from conversations where conv_id is not null
+), convs as (
+  -- CRC-32 of the number's digits, a byte at a time and eight steps a byte
+  select c, c - c % 5 as base, max(j) as own,
+         xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+           lambda crc, byte: list_reduce([xor(crc, byte), 1, 2, 3, 4, 5, 6, 7, 8],
+             lambda x, step: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)), 4294967295) % 9 as h
+  from turns group by c
+), placed as (
+  select v.c, t.j as place, t.role, t.text from convs v join turns t on t.c = v.base and t.j <= v.h
+  union all
+  select v.c, t.j + 1000, t.role, t.text from convs v join turns t on t.c = v.c and t.j > v.h
+), rebuilt as (
+  select c, row_number() over (partition by c order by place) as d, role, text from placed
+), prefixes as (
+  select c, d, strlen(text) as bytes, list({'role': role, 'text': text}) over (partition by c order by d) as prefix from rebuilt
+  union all
+  select c, 0, 0, []::struct(role varchar, "text" varchar)[] from convs
+), ends as (
+  select c, max(d) as len from prefixes group by c
+), nodes as (
+  select min(c) as conv_id, d as depth, sha256(prefix::varchar || len(prefix)) as key, sha256(prefix[1:d - 1]::varchar || (d - 1)) as up, prefix,
+         count(*) as n_convs, max(bytes) as bytes,
+         sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where d = len), '')) as ends_sha256
+  from prefixes join ends using (c) group by d, prefix
+), grown as (
+  select n.*, p.conv_id as parent_conv_id, (select count(*) from nodes k where k.depth = n.depth + 1 and k.prefix[1:n.depth] = n.prefix) as n_children
+  from nodes n left join nodes p on p.depth = n.depth - 1 and p.prefix = n.prefix[1:n.depth - 1]
+)
+select n.conv_id, n.depth::bigint as depth, n.parent_conv_id, n.n_convs, n.n_children,
+       count(*) filter (where u.n_children = 0) as n_leaves, sum((u.n_convs - 1) * u.bytes)::bigint as saved_tokens, n.ends_sha256
+from grown n join grown u on u.depth >= n.depth and u.prefix[1:n.depth] = n.prefix
+group by all
+"""
+
+
+QUERIES = {
+    "op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op3_near": op3_near,
+    "op4_fixity": op4_fixity, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash,
+    "op9_licenses": op9_licenses, "op10_secrets": op10_secrets, "op11_token_counts": op11_token_counts,
+    "op12_collocations": op12_collocations, "op13_conversation_trie": op13_conversation_trie,
+}
+
+SQL: dict[str, str] = {
+    "op2_top_k": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_fixity": OP4_SQL, "op5_line_dedup": OP5_SQL, "op6_mix": OP6_SQL,
+    "op12_collocations": OP12_SQL, "op13_conversation_trie": OP13_SQL,
+}
