@@ -221,6 +221,41 @@ def knn_blocked(spark, sf_dir):
     return _neighbour_rows(spark, sf_dir, k=20, bound=0, block_rows=90)
 
 
+_HOLED = "q.id % 50 <> 0 AND r.id % 7 <> 1 AND "
+
+
+@query("knn_holes", _knn_sql(_EUCLID, 5).replace("WHERE q.id", f"WHERE {_HOLED}q.id")
+       + "SELECT p.id AS query_id, list(n.ref_id ORDER BY rn) FILTER (rn IS NOT NULL) AS refs, max(rn) IS NULL AS empty FROM pts p LEFT JOIN near n ON n.query_id = p.id WHERE p.id % 5 = 0 GROUP BY p.id")
+def knn_holes(spark, sf_dir):
+    """NULL reference vectors are no neighbours, NULL query vectors have none; by pivots."""
+    queries, refs = _points(spark, sf_dir)
+    queries = queries.withColumn("features", F.when(F.col("id") % 50 != 0, F.col("features")))
+    refs = refs.withColumn("features", F.when(F.col("id") % 7 != 1, F.col("features")))
+    found = KN.nearest(queries, refs, keys=["id"], k=5, bound=0, block_rows=90)
+    ids = F.transform("neighbours", lambda n: n["ref_id"])
+    return found.select(F.col("id").alias("query_id"), F.when(F.size(ids) > 0, ids).alias("refs"), (F.size(ids) == 0).alias("empty"))
+
+
+#: Supplier balances and customers' places in the plane of nation and balance: points that lie in groups.
+_PLACES = "SELECT c_custkey AS id, [CAST(c_nationkey * 1000 AS DOUBLE), CAST(c_acctbal AS DOUBLE)] AS v FROM customer"
+
+
+@query("knn_pruned", f"""WITH pts AS ({_PLACES}), ranked AS (
+    SELECT q.id AS query_id, r.id AS ref_id, row_number() OVER (PARTITION BY q.id ORDER BY list_distance(q.v, r.v), r.id) AS rn
+    FROM pts q, pts r WHERE q.id % 10 = 0 AND r.id % 10 > 0)
+  SELECT query_id, list(ref_id ORDER BY rn) AS refs, true AS pruned FROM ranked WHERE rn <= 5 GROUP BY query_id""")
+def knn_pruned(spark, sf_dir):
+    """Neighbours by pivots, and whether a query was compared with fewer than half of the references."""
+    pts = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.lit(0).alias("label"),
+        F.array((F.col("c_nationkey") * 1000).cast("float"), F.col("c_acctbal").cast("float")).alias("features"),
+    )
+    refs = pts.filter("id % 10 > 0")
+    found = KN.nearest(pts.filter("id % 10 = 0"), refs, keys=["id"], k=5, bound=0, block_rows=100, scored=True)
+    few = F.col("scored") * 2 < F.lit(refs.count())
+    return found.select(F.col("id").alias("query_id"), F.transform("neighbours", lambda n: n["ref_id"]).alias("refs"), few.alias("pruned"))
+
+
 @query("knn_equal_keys", _knn_sql(_EUCLID, 5) + "SELECT query_id % 3 AS grp, list(ref_id ORDER BY rn) AS refs FROM near GROUP BY query_id")
 def knn_equal_keys(spark, sf_dir):
     """Queries that share a key are answered each, by reference blocks."""

@@ -2,8 +2,8 @@
 
 The reference set of the classifiers is bounded (its first 10,000 rows), so it is
 sent to every task and each Arrow batch of queries is answered by one matrix
-product. A larger reference set is packed into blocks that stream past stacks of
-queries, which keep a running k best. Both give the k smallest by (distance, reference id).
+product. A larger reference set is packed into blocks, of which a query reads only those that
+pivots don't rule out. Both give the k smallest by (distance, reference id).
 """
 
 from __future__ import annotations
@@ -12,32 +12,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urlsift import constants as K
-from urlsift.runtime import written
+from urlsift.operators.distances import NEIGHBOURS, nearest_rows, root
+from urlsift.operators.pivots import pruned
 
 METRICS = ("euclidean", "manhattan", "minkowski")
 # Bytes of references that are carried to every task.
 REFERENCE_BYTES = 32 << 20
 BLOCK_ROWS = 20_000
-QUERY_ROWS = 4_096
 _CHUNK = 512
-_MARGIN = 16
-
-NEIGHBOURS = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("ref_id", T.LongType()), T.StructField("label", T.IntegerType()),
-            T.StructField("distance", T.DoubleType()),
-        ]
-    )
-)
-_ARROW_NEIGHBOURS = pa.list_(
-    pa.struct([("ref_id", pa.int64()), ("label", pa.int32()), ("distance", pa.float64())])
-)
 
 
 def check_parameters(k: int, metric: str = "euclidean", p: int = 1) -> None:
@@ -58,56 +45,14 @@ def _power(metric: str, p: int) -> int:
     return {"euclidean": 2, "manhattan": 1}.get(metric, p)
 
 
-def _direct(q: np.ndarray, r: np.ndarray, power: int) -> np.ndarray:
-    """Sum of powered differences over the last axis, without cancellation."""
-    gap = np.abs(q - r)
-    return (gap * gap if power == 2 else gap if power == 1 else gap**power).sum(axis=-1)
-
-
-def _nearest(q: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, power: int):
-    """Positions and powered distances of the k nearest references of each query."""
-    k = min(k, len(ref))
-    take = min(k + _MARGIN, len(ref))
-    if power == 2:
-        norms = np.einsum("ij,ij->i", ref, ref)
-        rough = norms[None, :] - 2.0 * (q @ ref.T)
-        # rough differs from the true square by a constant per query and rounding
-        slack = 1e-5 * (np.einsum("ij,ij->i", q, q) + norms.max()) + 1e-12
-    else:
-        rough = np.empty((len(q), len(ref)))
-        for i in range(len(q)):
-            rough[i] = _direct(q[i], ref, power)
-        slack = np.zeros(len(q))
-    rows = np.arange(len(q))[:, None]
-    if take < len(ref):
-        near = np.argpartition(rough, take - 1, axis=1)[:, :take]
-    else:
-        near = np.broadcast_to(np.arange(len(ref)), (len(q), len(ref))).copy()
-    near_rough = rough[rows, near]
-    exact = _direct(q[:, None, :].astype(np.float64), ref[near].astype(np.float64), power)
-    order = np.lexsort((ids[near], exact), axis=1)[:, :k]
-    out, dist = near[rows, order], exact[rows, order]
-    if take < len(ref):
-        # a row whose margin is too thin to rule out the rest is answered directly
-        thin = near_rough.max(axis=1) <= np.partition(near_rough, k - 1, axis=1)[:, k - 1] + slack
-        for i in np.flatnonzero(thin):
-            whole = _direct(q[i].astype(np.float64), ref.astype(np.float64), power)
-            best = np.lexsort((ids, whole))[:k]
-            out[i], dist[i] = best, whole[best]
-    return out, dist
-
-
-def _root(dist: np.ndarray, power: int) -> np.ndarray:
-    return np.sqrt(dist) if power == 2 else dist if power == 1 else dist ** (1.0 / power)
-
-
 def _matrix(column, width: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, width)
 
 
-def _lists(ids, labels, found, dist) -> pa.Array:
-    n, k = found.shape
+def _lists(ids, labels, found, dist, valid) -> pa.Array:
+    """A list for each row, empty where the row isn't valid."""
+    k = found.shape[1]
     flat = pa.StructArray.from_arrays(
         [
             pa.array(ids[found].ravel(), pa.int64()),
@@ -116,155 +61,72 @@ def _lists(ids, labels, found, dist) -> pa.Array:
         ],
         names=["ref_id", "label", "distance"],
     )
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * k, pa.int32()), flat)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(valid) * k), pa.int32()), flat)
 
 
-def _bounded(queries, table, keys, vector, k, power):
+def _bounded(queries, table, keys, width, k, power):
     """Answer from a reference set carried to every task."""
     ids = table.column(0).to_numpy()
     labels = table.column(1).fill_null(-1).to_numpy().astype(np.int32)
-    ref = _matrix(table.column(2), len(table.column(2)[0]))
-    carried = queries.sparkSession.sparkContext.broadcast((ids, labels, ref))
+    carried = queries.sparkSession.sparkContext.broadcast((ids, labels, _matrix(table.column(2), width)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, labels, ref = carried.value
         for batch in batches:
             for start in range(0, batch.num_rows, _CHUNK):
                 part = batch.slice(start, _CHUNK)
-                q = _matrix(part.column(part.schema.get_field_index(vector)), ref.shape[1])
-                found, dist = _nearest(q, ref, ids, k, power)
+                q = _matrix(part.column(part.schema.get_field_index("vector")).drop_null(), width)
+                if len(q):
+                    found, dist = nearest_rows(q, ref, ids, k, power)
+                else:
+                    found, dist = np.zeros((0, 1), np.int64), np.zeros((0, 1))
+                valid = part.column(part.schema.get_field_index("vector")).is_valid()
                 cols = [part.column(part.schema.get_field_index(c)) for c in keys]
-                cols.append(_lists(ids, labels, found, _root(dist, power)))
+                cols.append(_lists(ids, labels, found, root(dist, power), valid.to_numpy(zero_copy_only=False)))
                 yield pa.RecordBatch.from_arrays(cols, names=[*keys, "neighbours"])
 
-    slim = queries.select(*keys, vector)
-    fields = [slim.schema[c] for c in keys] + [T.StructField("neighbours", NEIGHBOURS)]
-    return slim.mapInArrow(run, T.StructType(fields))
-
-
-_STACK = pa.schema([("ids", pa.binary()), ("labels", pa.binary()), ("vectors", pa.binary()), ("width", pa.int32())])
-_STACK_DDL = "ids binary, labels binary, vectors binary, width int"
-
-
-def _stack(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Rows (id, label, vector) as rows of up to ``size`` packed vectors."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-
-    def out(table: pa.Table):
-        vectors = table.column(2)
-        width = len(vectors[0])
-        labels = table.column(1).fill_null(-1).to_numpy().astype(np.int32)
-        row = {"ids": [table.column(0).to_numpy().tobytes()], "labels": [labels.tobytes()],
-               "vectors": [_matrix(vectors, width).tobytes()], "width": [width]}
-        return pa.RecordBatch.from_pydict(row, schema=_STACK)
-
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        while rows >= size:
-            table = pa.Table.from_batches(held)
-            yield out(table.slice(0, size))
-            held = table.slice(size).to_batches()
-            rows -= size
-    if rows:
-        yield out(pa.Table.from_batches(held))
-
-
-def _unstack(row: dict):
-    ids, labels = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int32)
-    return ids, labels, np.frombuffer(row["vectors"], np.float32).reshape(len(ids), row["width"])
-
-
-def _blocked(queries, refs, keys, vector, ref_id, label, k, power, block_rows):
-    """Stacks of queries stay where they are while the reference blocks stream past them; nothing but the
-    k best of each query leaves a task. Few stacks are copied so that every slot has a share of the blocks."""
-    spark = queries.sparkSession
-    rows = written(queries.select(*keys, F.col(vector).alias("_v"), F.monotonically_increasing_id().alias("_row")), "knn-queries")
-    no_label = F.lit(None).cast("int").alias("_label")
-    asks = rows.select("_row", no_label, "_v").mapInArrow(lambda b: _stack(b, QUERY_ROWS), _STACK_DDL)
-    blocks = refs.select(F.col(ref_id).cast("long"), F.col(label).cast("int"), vector).mapInArrow(lambda b: _stack(b, block_rows), _STACK_DDL)
-    asks = written(asks.withColumn("_at", F.monotonically_increasing_id()), "knn-stacks")
-    blocks = written(blocks.withColumn("_at", F.monotonically_increasing_id()), "knn-blocks")
-    # one row per thousands of vectors
-    number = F.row_number().over(Window.orderBy("_at")) - 1
-    asks = asks.join(asks.select("_at", number.alias("_stack")), "_at")
-    n_stacks = max(1, asks.count())
-    shares = max(1, -(-spark.sparkContext.defaultParallelism // n_stacks))
-    numbered = blocks.join(blocks.select("_at", number.alias("_order")), "_at")
-    packed = [F.col(c) for c in _STACK.names]
-    streams = asks.select(
-        "_stack", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_share"), F.lit(-1).alias("_order"), *packed
-    ).union(numbered.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_stacks - 1))).alias("_stack"), (F.col("_order") % shares).alias("_share"), "_order", *packed
-    ))
-    streams = streams.repartition(n_stacks * shares, "_stack", "_share").sortWithinPartitions("_stack", "_share", "_order")
-
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ask = best = None
-
-        def out():
-            ids, labels, dist = best
-            real = np.isfinite(dist)
-            ends = np.append(0, np.cumsum(real.sum(axis=1))).astype(np.int32)
-            flat = pa.StructArray.from_arrays(
-                [pa.array(ids[real]), pa.array(labels[real]), pa.array(dist[real])], names=["ref_id", "label", "distance"]
-            )
-            return pa.RecordBatch.from_arrays([pa.array(ask[0]), pa.ListArray.from_arrays(pa.array(ends), flat)], ["_row", "neighbours"])
+    fields = [queries.schema[c] for c in keys] + [T.StructField("neighbours", NEIGHBOURS)]
+    return queries.mapInArrow(run, T.StructType(fields))
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
-                if row["_order"] < 0:
-                    if ask is not None:
-                        yield out()
-                    ask, n = _unstack(row), len(_unstack(row)[0])
-                    best = np.zeros((n, k), np.int64), np.full((n, k), -1, np.int32), np.full((n, k), np.inf)
-                    continue
-                ids, labels, ref = _unstack(row)
-                for start in range(0, len(ask[0]), _CHUNK):
-                    part = slice(start, start + _CHUNK)
-                    found, dist = _nearest(ask[2][part], ref, ids, k, power)
-                    both = [np.concatenate([old[part], new], axis=1) for old, new in zip(best, (ids[found], labels[found], dist), strict=True)]
-                    order = np.lexsort((both[0], both[2]), axis=1)[:, :k]
-                    for old, new in zip(best, both, strict=True):
-                        old[part] = np.take_along_axis(new, order, axis=1)
-        if ask is not None:
-            yield out()
-
-    found = streams.mapInArrow(stream, T.StructType([T.StructField("_row", T.LongType()), T.StructField("neighbours", NEIGHBOURS)]))
-    # k entries per share, of which there are at most as many as slots
-    merged = found.groupBy("_row").agg(F.flatten(F.collect_list("neighbours")).alias("n"))
-    ordered = F.array_sort(
-        F.transform("n", lambda x: F.struct(x["distance"].alias("distance"), x["ref_id"].alias("ref_id"),
-                                            x["label"].alias("label")))
-    )
-    root = {2: F.sqrt, 1: lambda d: d}.get(power, lambda d: F.pow(d, F.lit(1.0 / power)))
-    near = F.transform(
-        F.slice(ordered, 1, k),
-        lambda x: F.struct(x["ref_id"].alias("ref_id"), x["label"].alias("label"), root(x["distance"]).alias("distance")),
-    )
-    return rows.join(merged, "_row").select(*keys, near.alias("neighbours"))
+
+def usable(vector: str) -> Column:
+    """The vector if it holds numbers alone; NULL for NULL and for vectors with a NULL, NaN or infinite component."""
+    v = F.col(vector)
+    odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.when(~odd, v)
 
 
 def nearest(
     queries: DataFrame, refs: DataFrame, *, keys: Sequence[str], ref_id: str = "id",
     vector: str = "features", label: str = "label", k: int = K.KNN_K, metric: str = "euclidean",
-    p: int = 1, bound: int = REFERENCE_BYTES, block_rows: int = BLOCK_ROWS,
+    p: int = 1, bound: int = REFERENCE_BYTES, block_rows: int = BLOCK_ROWS, scored: bool = False,
 ) -> DataFrame:
     """Keys and an array of the k nearest references, nearest first; one row for each query row.
 
-    References of at most ``bound`` bytes are carried to every task, others stream past the queries.
+    References of at most ``bound`` bytes are carried to every task; of others a query reads the blocks that pivots don't
+    rule out. With ``scored`` a column of that name tells with how many references a query was compared.
+
+    A vector that is NULL or holds a NULL, NaN or infinity is no reference, and as a query gets an empty list. Vectors of unequal
+    lengths are an error, as is a reference set without a usable vector.
     """
     check_parameters(k, metric, p)
     power = _power(metric, p)
-    size = refs.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("width")).first()
+    known = refs.select(F.col(ref_id).cast("long").alias("id"), F.col(label).cast("int").alias("label"), usable(vector).alias("vector"))
+    known = known.filter("vector is not null")
+    asked = queries.select(*keys, usable(vector).alias("vector"))
+    size = known.agg(F.count("*").alias("n"), F.min(F.size("vector")).alias("least"), F.max(F.size("vector")).alias("width")).first()
     if not size["n"]:
         raise ValueError("the reference set is empty")
+    if size["least"] != size["width"]:
+        raise ValueError(f"reference vectors have {size['least']} to {size['width']} components")
+    width = F.when(F.size("vector") == size["width"], F.col("vector")).when(
+        F.col("vector").isNotNull(), F.raise_error(F.format_string("a query vector has %d components, the references have %d", F.size("vector"), F.lit(size["width"]))))
+    asked = asked.withColumn("vector", width)
     if size["n"] * (4 * size["width"] + 12) <= bound:
-        table = refs.select(F.col(ref_id).cast("long"), F.col(label).cast("int"), vector).toArrow()
-        return _bounded(queries, table, list(keys), vector, k, power)
-    return _blocked(queries, refs, list(keys), vector, ref_id, label, k, power, block_rows)
+        found = _bounded(asked, known.toArrow(), list(keys), size["width"], k, power)
+        return found.withColumn("scored", F.when(F.size("neighbours") > 0, F.lit(size["n"])).otherwise(F.lit(0)).cast("long")) if scored else found
+    found = pruned(asked, known, list(keys), size["width"], size["n"], k, power, block_rows)
+    return found if scored else found.drop("scored")
 
 
 def vote(neighbours: Column, ties: str = "nearest") -> Column:
@@ -283,5 +145,5 @@ def vote(neighbours: Column, ties: str = "nearest") -> Column:
 
 
 def phishing_share(neighbours: Column) -> Column:
-    """Share of the neighbours whose label is 0."""
-    return F.size(F.filter(neighbours, lambda n: n["label"] == 0)) / F.size(neighbours)
+    """Share of the neighbours whose label is 0; NULL without neighbours."""
+    return F.try_divide(F.size(F.filter(neighbours, lambda n: n["label"] == 0)).cast("double"), F.size(neighbours))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urlsift.operators.knn import nearest
+from urlsift.operators.knn import nearest, usable
 from urlsift.operators.ordering import positions
 from urlsift.runtime import written
 
@@ -24,17 +24,19 @@ def smote(
 
     Each synthetic row starts at a minority row picked by hash and moves a random
     part of the way to one of its k nearest minority neighbours. Picks depend on
-    the seed and row numbers only, so a rerun gives the same rows. Columns: key
+    the seed and row numbers only, so a rerun gives the same rows. Minority rows whose vector is NULL or holds a NULL, NaN
+    or infinity stay, and are no origin or partner. Columns: key
     (NULL for synthetic rows), label, features, origin, partner, gap.
     """
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
     if len(counts) != 2:
         raise ValueError(f"two classes are needed, found {sorted(counts)}")
     minority = min(counts, key=lambda y: (counts[y], y))
-    have, need = counts[minority], max(counts.values()) - counts[minority]
+    need = max(counts.values()) - counts[minority]
+    few = df.filter(F.col(label) == minority).select(key, usable(features).alias(features), label).filter(F.col(features).isNotNull())
+    have = few.count()
     if have < 2:
         raise ValueError("the minority class needs at least two rows")
-    few = df.filter(F.col(label) == minority).select(key, features, label)
     refs = few.select(F.col(key).cast("long").alias("id"), features, label)
     # the nearest neighbour of a point is itself, or a twin with a smaller id
     found = nearest(few, refs, keys=[key], vector=features, label=label, k=min(k, have - 1) + 1, **knn_options)

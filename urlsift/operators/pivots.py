@@ -1,0 +1,301 @@
+"""Exact nearest neighbours over blocks of references, pruned by pivots.
+
+A few references are pivots. References are sorted by their nearest pivot and their distance to it and packed into blocks, which
+know the least and greatest distance of their rows to every pivot. By the triangle inequality no row of a block
+is nearer to a query than the gap between the query's distance to a pivot and that range, and none is farther than the sum. So
+a query reads the blocks first that are sure to hold k rows near it; the k-th of these is a limit, and only blocks whose bound
+doesn't pass it are sent to the query's stack. Stacks hold queries near one pivot, so they need the same few blocks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from urlsift.operators.distances import LISTS, NEIGHBOURS, direct, nearest_rows, root
+from urlsift.runtime import drop_written, small, written
+
+PIVOTS = 32
+#: Rows among which pivots are chosen: those of smallest hash. The choice decides the speed alone.
+SAMPLE = 4_096
+QUERY_ROWS = 4_096
+#: Bytes of the blocks' ranges, which every task gets: blocks grow rather than these.
+RANGE_BYTES = 128 << 20
+CHUNK = 64
+#: Bounds are computed with rounding; they are loosened by this part of the distances they come from.
+SLACK = 1e-6
+
+
+@dataclass
+class Ranges:
+    """Pivots, and of each block its number, rows, and range of distances to each pivot."""
+
+    pivots: np.ndarray
+    power: int
+    at: np.ndarray
+    rows: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def bounds(self, q: np.ndarray, which: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest possible distance of each vector to the rows of each block."""
+        away = root(direct(q[:, None, :].astype(np.float64), self.pivots[None], self.power), self.power)
+        low, high = self.low[which], self.high[which]
+        least, most = np.zeros((len(q), len(low))), np.full((len(q), len(low)), np.inf)
+        for j in range(away.shape[1]):
+            d = away[:, j, None]
+            loose = SLACK * (d + high[None, :, j])
+            np.maximum(least, np.maximum(low[None, :, j] - d, d - high[None, :, j]) - loose, out=least)
+            np.minimum(most, d + high[None, :, j] + loose, out=most)
+        return least, most
+
+    def first(self, q: np.ndarray, k: int) -> np.ndarray:
+        """For each vector and block: whether it is read first. These blocks hold k rows at least, if there are as many."""
+        least, most = self.bounds(q)
+        order = np.lexsort((least, most), axis=1)
+        before = np.cumsum(self.rows[order], axis=1) - self.rows[order]
+        chosen = np.zeros(least.shape, bool)
+        np.put_along_axis(chosen, order, before < k, axis=1)
+        return chosen
+
+
+def _vectors(column, width: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, width)
+
+
+def _chosen_pivots(refs: DataFrame, width: int, power: int, n: int) -> np.ndarray:
+    """Rows far from each other, each the farthest from those before it."""
+    sample = refs.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
+    rows = np.unique(_vectors(sample.column(0), width).astype(np.float64), axis=0)
+    picked = [rows[0]]
+    near = direct(rows, picked[0], power)
+    while len(picked) < n and near.max() > 0:
+        picked.append(rows[int(near.argmax())])
+        near = np.minimum(near, direct(rows, picked[-1], power))
+    return np.array(picked)
+
+
+def _placed(df: DataFrame, pivots: np.ndarray, power: int) -> DataFrame:
+    """Add the nearest pivot (cell) and the distance to it (off); ``vector`` becomes bytes."""
+    names = [c for c in df.columns if c != "vector"]
+    width = pivots.shape[1]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1024):
+                part = batch.slice(a, 1024)
+                v = _vectors(part.column(part.schema.get_field_index("vector")), width)
+                away = root(direct(v[:, None, :].astype(np.float64), pivots[None], power), power)
+                cell = away.argmin(axis=1)
+                cols = [part.column(part.schema.get_field_index(c)) for c in names]
+                cols += [pa.array([x.tobytes() for x in v], pa.binary()), pa.array(cell.astype(np.int32)), pa.array(away[np.arange(len(v)), cell])]
+                yield pa.RecordBatch.from_arrays(cols, [*names, "vector", "cell", "off"])
+
+    fields = [*(df.schema[c] for c in names), *T._parse_datatype_string("vector binary, cell int, off double").fields]
+    return df.mapInArrow(place, T.StructType(fields))
+
+
+def _stacked(df: DataFrame, size: int, tie: str, count: int) -> DataFrame:
+    """(at, ids, labels, vectors, n): rows in the order of their cell and distance, up to ``size`` together. Rows are spread
+    over ranges of that order, so a cell may have any size."""
+    parts = max(1, -(-count // (4 * size)))
+    ranged = df.repartitionByRange(parts, "cell", "off", tie) if parts > 1 else df.repartition(1)
+
+    def stack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def out():
+            ids, labels, vectors, _ = zip(*held, strict=True)
+            data = [np.array(ids, np.int64).tobytes()], [np.array(labels, np.int32).tobytes()], [b"".join(vectors)], [len(held)]
+            return pa.RecordBatch.from_arrays([*(pa.array(d, pa.binary()) for d in data[:3]), pa.array(data[3], pa.int32())], ["ids", "labels", "vectors", "n"])
+
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if len(held) >= size or held and held[-1][3] != row[3] and len(held) * 8 >= size:
+                    yield out()
+                    held = []
+                held.append(row)
+        if held:
+            yield out()
+
+    ordered = ranged.sortWithinPartitions("cell", "off", tie).select(tie, F.coalesce("label", F.lit(-1)).alias("label"), "vector", "cell")
+    rows = ordered.mapInArrow(stack, "ids binary, labels binary, vectors binary, n int")
+    return rows.withColumn("at", F.monotonically_increasing_id())
+
+
+def _unpacked(ids: bytes, labels: bytes, vectors: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(ids, np.int64), np.frombuffer(labels, np.int32), np.frombuffer(vectors, np.float32).reshape(n, -1)
+
+
+def _ranges(blocks: DataFrame, pivots: np.ndarray, power: int) -> Ranges:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n, data in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                v = np.frombuffer(data.as_buffer(), np.float32).reshape(n, -1)
+                low, high = np.full(len(pivots), np.inf), np.zeros(len(pivots))
+                for a in range(0, n, 1024):
+                    away = root(direct(v[a : a + 1024, None, :].astype(np.float64), pivots[None], power), power)
+                    low, high = np.minimum(low, away.min(axis=0)), np.maximum(high, away.max(axis=0))
+                cols = [pa.array([at.as_py()]), pa.array([n], pa.int64()), pa.array([low.tobytes()]), pa.array([high.tobytes()])]
+                yield pa.RecordBatch.from_arrays(cols, ["at", "n", "low", "high"])
+
+    rows = blocks.select("at", "n", "vectors").mapInArrow(measure, "at long, n long, low binary, high binary").orderBy("at").toArrow()
+    ends = [np.array([np.frombuffer(x.as_buffer(), np.float64) for x in rows.column(c)]) for c in ("low", "high")]
+    return Ranges(pivots, power, rows.column("at").to_numpy(), rows.column("n").to_numpy(), *ends)
+
+
+def _wanted(stacks: DataFrame, ranges, k: int, shares: int, limits: bool) -> DataFrame:
+    """(stack, share, place, at): the blocks that some query of a stack needs, nearest first, dealt over shares. Without
+    ``limits`` those read first, with them (the k-th distance of each query so far) the others that may hold something nearer."""
+    columns = ["at", "vectors", "n", "limits"] if limits else ["at", "vectors", "n"]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ranges.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                v = np.frombuffer(row["vectors"], np.float32).reshape(row["n"], -1)
+                need, near = np.zeros(len(known.at), bool), np.full(len(known.at), np.inf)
+                for a in range(0, len(v), CHUNK):
+                    part = v[a : a + CHUNK]
+                    mask = known.first(part, k)
+                    if limits:
+                        least, _ = known.bounds(part)
+                        mask = ~mask & (least <= np.frombuffer(row["limits"], np.float64)[a : a + CHUNK, None])
+                        near = np.minimum(near, np.where(mask, least, np.inf).min(axis=0))
+                    need |= mask.any(axis=0)
+                found = np.flatnonzero(need)
+                found = found[np.argsort(near[found], kind="stable")]
+                place = np.arange(len(found), dtype=np.int32)
+                cols = [np.full(len(found), row["at"], np.int64), (place % shares).astype(np.int32), place, known.at[found], found.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["stack", "share", "place", "at", "block"])
+
+    return stacks.select(columns).mapInArrow(choose, "stack long, share int, place int, at long, block int")
+
+
+def _read(stacks: DataFrame, blocks: DataFrame, pairs: DataFrame, ranges, k: int, power: int, limits: bool) -> DataFrame:
+    """(row, neighbours, scored): the k nearest of each query among the blocks its stack was given, by powered distance."""
+    packed = ["ids", "labels", "vectors", "n"]
+    limit = F.col("limits") if limits else F.lit(None).cast("binary").alias("limits")
+    heads = pairs.select("stack", "share").distinct().join(stacks.withColumnRenamed("at", "stack").select("stack", *packed, limit), "stack")
+    heads = heads.select("stack", "share", F.lit(-1).alias("place"), F.lit(-1).alias("block"), *packed, "limits")
+    bodies = pairs.join(blocks.select("at", *packed), "at").select("stack", "share", "place", "block", *packed, F.lit(None).cast("binary").alias("limits"))
+    streams = heads.union(bodies).repartition("stack", "share").sortWithinPartitions("stack", "share", "place")
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, ask, best, scored, limit, chosen = ranges.value, None, None, None, None, None
+
+        def out():
+            ids, labels, dist = best
+            real = np.isfinite(dist)
+            ends = np.append(0, np.cumsum(real.sum(axis=1))).astype(np.int32)
+            flat = pa.StructArray.from_arrays([pa.array(ids[real]), pa.array(labels[real]), pa.array(dist[real])], names=["ref_id", "label", "distance"])
+            return pa.RecordBatch.from_arrays([pa.array(ask[0]), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(scored)], ["row", "neighbours", "scored"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
+                ids, labels, vectors = _unpacked(*(row[c] for c in packed))
+                if row["place"] < 0:
+                    if ask is not None:
+                        yield out()
+                    ask, n = (ids, labels, vectors), len(ids)
+                    best = np.zeros((n, k), np.int64), np.full((n, k), -1, np.int32), np.full((n, k), np.inf)
+                    scored = np.zeros(n, np.int64)
+                    limit = np.full(n, np.inf) if row["limits"] is None else np.frombuffer(row["limits"], np.float64)
+                    chosen = [known.first(vectors[a : a + CHUNK], k) for a in range(0, n, CHUNK)]
+                    continue
+                for a in range(0, len(ask[0]), CHUNK):
+                    least, _ = known.bounds(ask[2][a : a + CHUNK], slice(row["block"], row["block"] + 1))
+                    first = chosen[a // CHUNK][:, row["block"]]
+                    kth = root(best[2][a : a + CHUNK, -1], power)
+                    part = a + np.flatnonzero((~first if limits else first) & (least[:, 0] <= np.minimum(limit[a : a + CHUNK], kth)))
+                    if not len(part):
+                        continue
+                    scored[part] += len(ids)
+                    found, dist = nearest_rows(ask[2][part], vectors, ids, k, power)
+                    both = [np.concatenate([old[part], new], axis=1) for old, new in zip(best, (ids[found], labels[found], dist), strict=True)]
+                    order = np.lexsort((both[0], both[2]), axis=1)[:, :k]
+                    for old, new in zip(best, both, strict=True):
+                        old[part] = np.take_along_axis(new, order, axis=1)
+        if ask is not None:
+            yield out()
+
+    fields = [T.StructField("row", T.LongType()), T.StructField("neighbours", NEIGHBOURS), T.StructField("scored", T.LongType())]
+    return streams.mapInArrow(stream, T.StructType(fields))
+
+
+def _with_limits(stacks: DataFrame, found: DataFrame, k: int, power: int) -> DataFrame:
+    """Stacks with the k-th distance of each of their queries; infinite where fewer are known."""
+    kth = F.when(F.size("neighbours") >= k, F.element_at("neighbours", k)["distance"])
+    rows = found.select(F.col("row"), kth.alias("kth"))
+    places = stacks.select("at", "ids").mapInArrow(_members, "at long, row long, place int")
+    sorted_rows = places.join(rows, "row").repartition("at").sortWithinPartitions("at", "place")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
+
+        def out():
+            values = root(np.array([np.inf if x is None else x for x in held], np.float64), power)
+            return pa.RecordBatch.from_arrays([pa.array([here]), pa.array([values.tobytes()])], ["at", "limits"])
+
+        for batch in batches:
+            for at, kth in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if at != here and held:
+                    yield out()
+                    held = []
+                here = at
+                held.append(kth)
+        if held:
+            yield out()
+
+    return stacks.join(sorted_rows.select("at", "kth").mapInArrow(pack, "at long, limits binary"), "at")
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rows = np.frombuffer(data.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), at)), pa.array(rows), pa.array(np.arange(len(rows), dtype=np.int32))], ["at", "row", "place"])
+
+
+def pruned(
+    queries: DataFrame, refs: DataFrame, keys: Sequence[str], width: int, n_refs: int, k: int, power: int, block_rows: int, pivots: int = PIVOTS,
+) -> DataFrame:
+    """The keys, ``neighbours`` and ``scored`` for each row of ``queries`` (keys, vector); ``refs`` (id, label, vector) and query
+    vectors have ``width`` finite numbers, and queries without a vector get an empty list."""
+    context = queries.sparkSession.sparkContext
+    rows = written(queries.withColumn("_row", F.monotonically_increasing_id()), "knn-queries")
+    asked = rows.filter("vector is not null").select(F.col("_row").alias("row"), F.lit(None).cast("int").alias("label"), "vector")
+    centres = _chosen_pivots(refs, width, power, pivots)
+    per_block = 16 * len(centres) + 16
+    size = max(block_rows, -(-n_refs * per_block // RANGE_BYTES))
+    blocks = written(_stacked(_placed(refs, centres, power), size, "id", n_refs), "knn-blocks")
+    stacks = written(_stacked(_placed(asked, centres, power), QUERY_ROWS, "row", asked.count()), "knn-stacks")
+    ranges = context.broadcast(_ranges(blocks, centres, power))
+    shares = max(1, -(-context.defaultParallelism // max(1, stacks.count())))
+    first = written(_wanted(stacks, ranges, k, 1, False), "knn-first")
+    near = written(_read(stacks, blocks, first, ranges, k, power, False), "knn-near")
+    limited = written(_with_limits(stacks, near, k, power), "knn-limits")
+    pairs = written(_wanted(limited, ranges, k, shares, True), "knn-pairs")
+    rest = written(_read(limited, blocks, pairs, ranges, k, power, True), "knn-rest")
+    # k entries from the first blocks, and from each share, of which there are at most as many as slots
+    merged = near.union(rest).groupBy("row").agg(F.flatten(F.collect_list("neighbours")).alias("n"), F.sum("scored").alias("scored"))
+    ordered = F.array_sort(F.transform("n", lambda x: F.struct(x["distance"].alias("distance"), x["ref_id"].alias("ref_id"), x["label"].alias("label"))))
+    powered = {2: F.sqrt, 1: lambda d: d}.get(power, lambda d: F.pow(d, F.lit(1.0 / power)))
+    out = F.transform(F.slice(ordered, 1, k), lambda x: F.struct(x["ref_id"].alias("ref_id"), x["label"].alias("label"), powered(x["distance"]).alias("distance")))
+    merged = merged.select("row", out.alias("neighbours"), "scored")
+    found = rows.join(small(merged), rows["_row"] == merged["row"], "left")
+    none = F.array().cast(LISTS)
+    result = written(found.select(*keys, F.coalesce("neighbours", none).alias("neighbours"), F.coalesce("scored", F.lit(0).cast("long")).alias("scored")), "knn")
+    for table in (rows, blocks, stacks, first, near, limited, pairs, rest):
+        drop_written(table)
+    ranges.destroy()
+    return result
