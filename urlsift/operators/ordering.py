@@ -19,8 +19,29 @@ from urlsift.runtime import small, written
 ROWS_PER_RANGE = 250_000
 
 
+def _running(
+    df: DataFrame, value: str, columns: Mapping[str, Column], fold, plus, *, tie: Sequence, by: Sequence[str],
+    descending: bool, rows_per_range: int,
+) -> DataFrame:
+    """Add the fold of each expression over all rows up to and including this one; ``plus`` joins the folds of two stretches."""
+    lead = df.withColumns({f"_t_{k}": e for k, e in columns.items()})
+    order = [F.col(value).desc() if descending else F.col(value).asc(), *tie]
+    n = max(1, math.ceil(df.count() / rows_per_range))
+    ranged = lead.repartitionByRange(n, *by, *order) if n > 1 else lead.coalesce(1)
+    ranged = written(ranged.withColumn("_r", F.spark_partition_id()), "ranges")
+    folds = ranged.groupBy(*by, "_r").agg(*[fold(f"_t_{k}").alias(f"_s_{k}") for k in columns])
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = folds.select(*by, "_r", *[fold(f"_s_{k}").over(before).alias(f"_o_{k}") for k in columns])
+    inside = Window.partitionBy(*by, "_r").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    renamed = offsets.withColumnsRenamed({c: f"_by_{c}" for c in by}).withColumnRenamed("_r", "_or")
+    same = [F.equal_null(ranged[c], renamed[f"_by_{c}"]) for c in by]
+    joined = ranged.join(small(renamed), [*same, ranged["_r"] == renamed["_or"]]).drop("_or", *[f"_by_{c}" for c in by])
+    found = joined.withColumns({k: plus(F.col(f"_o_{k}"), fold(f"_t_{k}").over(inside)) for k in columns})
+    return found.drop("_r", *[f"_{p}_{k}" for k in columns for p in "to"])
+
+
 def running_totals(
-    df: DataFrame, value: str, totals: Mapping[str, Column], *, tie: Sequence[str] = (), by: Sequence[str] = (),
+    df: DataFrame, value: str, totals: Mapping[str, Column], *, tie: Sequence = (), by: Sequence[str] = (),
     descending: bool = False, rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add, for each name in ``totals``, the sum of its expression over all rows up to and including this one
@@ -29,26 +50,16 @@ def running_totals(
     NULL values come first in ascending order and last in descending order, as Spark sorts them. The
     whole order should be unique: among equal rows any may come first.
     """
-    lead = df.withColumns({f"_t_{k}": e for k, e in totals.items()})
-    order = [F.col(value).desc() if descending else F.col(value).asc(), *tie]
-    n = max(1, math.ceil(df.count() / rows_per_range))
-    ranged = lead.repartitionByRange(n, *by, *order) if n > 1 else lead.coalesce(1)
-    ranged = written(ranged.withColumn("_r", F.spark_partition_id()), "ranges")
-    sums = ranged.groupBy(*by, "_r").agg(*[F.sum(f"_t_{k}").alias(f"_s_{k}") for k in totals])
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        *by, "_r", *[F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in totals]
-    )
-    inside = Window.partitionBy(*by, "_r").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    if by:
-        renamed = offsets.withColumnsRenamed({c: f"_by_{c}" for c in by}).withColumnRenamed("_r", "_or")
-        same = [F.equal_null(ranged[c], renamed[f"_by_{c}"]) for c in by]
-        joined = ranged.join(small(renamed), [*same, ranged["_r"] == renamed["_or"]]).drop("_or", *[f"_by_{c}" for c in by])
-    else:
-        joined = ranged.join(small(offsets), ["_r"])
-    return joined.withColumns(
-        {k: F.col(f"_o_{k}") + F.sum(f"_t_{k}").over(inside) for k in totals}
-    ).drop("_r", *[f"_{p}_{k}" for k in totals for p in "to"])
+    return _running(df, value, totals, F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + b, tie=tie, by=by, descending=descending, rows_per_range=rows_per_range)
+
+
+def running_extremes(
+    df: DataFrame, value: str, columns: Mapping[str, Column], *, tie: Sequence = (), by: Sequence[str] = (),
+    descending: bool = False, rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """The same with the greatest value so far, or the least where the order descends; NULL until there is one."""
+    fold, plus = (F.min, F.least) if descending else (F.max, F.greatest)
+    return _running(df, value, columns, fold, plus, tie=tie, by=by, descending=descending, rows_per_range=rows_per_range)
 
 
 def positions(df: DataFrame, value: str, *, tie: Sequence[str] = (), name: str = "position", **options):
