@@ -11,7 +11,7 @@ from urlsift import contract as C
 from urlsift.functions import hosts as H
 from urlsift.functions import text as X
 from urlsift.operators import page_features as P
-from urlsift.operators.elements import page_elements
+from urlsift.operators.elements import page_elements, page_tree, scan_pages
 
 QUERIES, SQL = {}, {}
 
@@ -271,6 +271,60 @@ def html_elements(spark, sf_dir):
     return rows.groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
+# --- trees --------------------------------------------------------------------------
+
+_TAGS = "len(regexp_extract_all({}, '<{}[ >]'))"
+
+
+@query("tree_paragraphs", f"""
+  SELECT page_id, CAST({_TAGS.format('html', 'p')} AS BIGINT) AS paragraphs, CAST(0 AS BIGINT) AS nested,
+    CAST({_TAGS.format('html', 'p')} AS BIGINT) AS in_article, CAST({_TAGS.format('html', 'li')} AS BIGINT) AS in_list FROM pages""")
+def tree_paragraphs(spark, sf_dir):
+    """A paragraph that is left open ends where the next begins, with the emphasis inside it; none is inside another."""
+    tree = page_tree(table(spark, sf_dir, "pages"))
+    up = tree.select("page_id", F.col("seq").alias("parent"), F.col("tag").alias("above"))
+    both = tree.join(up, ["page_id", "parent"], "left")
+    p = F.col("tag") == "p"
+    return both.groupBy("page_id").agg(
+        F.count_if(p).alias("paragraphs"), F.count_if(p & F.col("above").isin("p", "b")).alias("nested"),
+        F.count_if(p & (F.col("above") == "article")).alias("in_article"),
+        F.count_if((F.col("tag") == "li") & (F.col("above") == "ul")).alias("in_list"),
+    )
+
+
+#: Forms whose end tag stands inside another element, and fields before and behind them.
+_FORM_HEAD = '<form action="/a"><div></form><input name="in1"></div><p><b></form><input name="out1">'
+_FORM_TAIL = ('<table><form><tr><td><input name="in2"></form><td><input name="in3"></table><input name="out2"><form><p>text<form>'
+              '<input name="in4"></form><input name="out3"></div></form><div><form><select><option>a<option>b</select></div><input name="out4">')
+
+
+@query("tree_forms", f"""
+  SELECT page_id, 'in1,in2,in3,in4' AS inside, 'out1,out2,out3,out4' AS outside,
+    CAST(len(regexp_extract_all(html, '<[a-z]')) + 25 AS BIGINT) AS elements FROM pages""")
+def tree_forms(spark, sf_dir):
+    """Fields inside and outside forms that are closed in the wrong place, around each page."""
+    pages = table(spark, sf_dir, "pages")
+    whole = F.concat(F.lit(_FORM_HEAD), F.col("html"), F.lit(_FORM_TAIL))
+    tree = page_tree(pages.select("page_id", whole.alias("html")))
+
+    def names(where):
+        return F.array_join(F.sort_array(F.collect_list(F.when(where & (F.col("tag") == "input"), F.col("name")))), ",")
+
+    return tree.groupBy("page_id").agg(names(F.col("in_form")).alias("inside"), names(~F.col("in_form")).alias("outside"), F.count("*").alias("elements"))
+
+
+@query("tree_footers", """
+  SELECT page_id, 'left open ' || page_id || ' in a list one ' || trim(regexp_replace(regexp_replace(
+    regexp_extract(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '(?s)<footer>(.*?)</footer>', 1), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS footer FROM pages""")
+def tree_footers(spark, sf_dir):
+    """Footers end with the element around them; an end tag that may not reach them leaves them open."""
+    head = F.concat(F.lit("<div><footer>left open <b>"), F.col("page_id").cast("string"),
+                    F.lit("</div>behind it<footer><ul><li>in a list</table><li>one</ul></footer><p>behind</footer>"))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(head, F.col("html")).alias("html"))
+    found = scan_pages(pages).select("page_id", F.regexp_replace("footer", r"\s+", " ").alias("footer"))
+    return found
+
+
 # --- sites --------------------------------------------------------------------------
 
 # hosts with many shapes, made from the page's own address

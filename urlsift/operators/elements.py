@@ -1,6 +1,7 @@
 """Pages to elements: the one step that needs a real tokenizer.
 
-``scan_pages`` reads each page once in Arrow batches and adds, next to the
+The scan keeps the open elements as a tree parser does: a start tag ends innermost elements whose end tag may be left out, and an
+end tag closes what it may reach through, or nothing. ``scan_pages`` reads each page once in Arrow batches and adds, next to the
 columns passed through, the title, the visible text, the footer text and the
 elements that any page feature looks at. The elements stay an array on the
 page's own row, so no feature needs a shuffle. ``page_elements`` gives the
@@ -50,6 +51,44 @@ VOID_TAGS = frozenset(
 )
 HIDDEN_TEXT = frozenset("script style template rt rp".split())
 
+# The markup's rules for tags that may be left out. An open element in the first column ends where one of the
+# tags in the second begins, if it is the innermost one.
+_BLOCKS = "address blockquote center dir div dl dt dd fieldset form h1 h2 h3 h4 h5 h6 hr li listing menu ol pre table tbody td tfoot th tr ul xmp"
+_CELLS = "td th tr tbody tfoot"
+ENDED_BY = {
+    open_tag: frozenset(starts.split())
+    for open_tags, starts in (
+        ("p", f"{_BLOCKS} p body caption col colgroup frameset head title"),
+        ("head", f"{_BLOCKS} a abbr b big body br cite code em font frameset i iframe img kbd map p q s samp small span strike strong sub sup tt u"),
+        ("h1 h2 h3 h4 h5 h6", "fieldset form li p table"),
+        ("b big i s small strike tt u", "p"),
+        ("b font i u", "center td th"),
+        ("span", "td th"),
+        ("a", "a fieldset table td th"),
+        ("li", "li"),
+        ("dt", "dd dl"),
+        ("dd", "dt"),
+        ("option", "option optgroup"),
+        ("ul ol", "form"),
+        ("dl", "form ul"),
+        ("hr form", "form"),
+        ("caption colgroup col", "col colgroup tbody tfoot thead tr"),
+        ("thead tbody", "tbody tfoot"),
+        ("tfoot", "tbody"),
+        ("tr", "tr tbody tfoot"),
+        ("td th", _CELLS),
+        ("style link title", "body frameset"),
+        ("script", "noscript"),
+    )
+    for open_tag in open_tags.split()
+}
+for _tag in "b i u".split():
+    ENDED_BY[_tag] |= frozenset(("p", "center", "td", "th"))
+# An end tag reaches through open elements of at most its own rank; others have rank 100.
+RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180, "table": 190, "head": 200}
+# These end with the page, wherever their end tag stands.
+WITH_PAGE = frozenset(("body", "html"))
+
 
 class _PageScan(HTMLParser):
     def __init__(self, everything: bool):
@@ -57,6 +96,7 @@ class _PageScan(HTMLParser):
         self.everything = everything
         self.rows, self.texts, self.footers, self.titles = [], [], [], []
         self.stack, self.depth, self.pending = [], {}, []
+        self.parents, self.open_rows = [], []
         self.title_state = 0  # 0 none seen, 1 inside the first, 2 done
         self.raw = None
 
@@ -80,18 +120,29 @@ class _PageScan(HTMLParser):
         for name, value in attrs:
             if self.everything or name in READ_ATTRS or name.startswith("on"):
                 kept.setdefault(name, value or "")
+        while self.stack and tag in ENDED_BY.get(self.stack[-1], ()):
+            self.pop()
         handlers = any(n.startswith("on") for n in kept)
         if self.everything or tag in READ_TAGS or handlers:
             row = [tag, list(kept.items()), None, bool(self.depth.get("form"))]
             self.rows.append(row)
+            if self.everything:
+                self.parents.append((self.open_rows[-1] if self.open_rows else None, len(self.stack)))
             if tag in ("script", "style"):
                 row[2], self.raw = "", row
         if tag == "title" and self.title_state == 0:
             self.title_state = 1
         if tag not in VOID_TAGS:
             self.stack.append(tag)
+            self.open_rows.append(len(self.rows) - 1)
             self.depth[tag] = self.depth.get(tag, 0) + 1
 
+    def pop(self):
+        top = self.stack.pop()
+        self.open_rows.pop()
+        self.depth[top] -= 1
+        return top
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS and tag in ("script", "style", "title", "iframe"):
@@ -103,12 +154,16 @@ class _PageScan(HTMLParser):
             self.title_state = 2
         if tag in ("script", "style"):
             self.raw = None
-        if self.depth.get(tag):
-            while True:
-                top = self.stack.pop()
-                self.depth[top] -= 1
-                if top == tag:
-                    break
+        if not self.depth.get(tag) or tag in WITH_PAGE:
+            return
+        rank = RANK.get(tag, 100)
+        for open_tag in reversed(self.stack):
+            if open_tag == tag:
+                break
+            if open_tag in WITH_PAGE or RANK.get(open_tag, 100) > rank:
+                return
+        while self.pop() != tag:
+            pass
 
     def handle_data(self, data):
         if self.raw is not None:
@@ -126,8 +181,7 @@ class _PageScan(HTMLParser):
         return self.parse_bogus_comment(i)
 
 
-def scan_html(html: str, everything: bool = False) -> dict:
-    """Scan one page; malformed markup never raises."""
+def _scanned(html: str, everything: bool) -> _PageScan:
     scan = _PageScan(everything)
     rest = html
     while rest:
@@ -142,6 +196,12 @@ def scan_html(html: str, everything: bool = False) -> dict:
             rest = rest[sum(len(x) + 1 for x in lines[: line - 1]) + column + 1 :]
             HTMLParser.reset(scan)
     scan.flush()
+    return scan
+
+
+def scan_html(html: str, everything: bool = False) -> dict:
+    """Scan one page; malformed markup never raises."""
+    scan = _scanned(html, everything)
     return {
         "title": "".join(scan.titles) or None,
         "text": " ".join(scan.texts),
@@ -188,3 +248,29 @@ def page_elements(df: DataFrame, key: str = "page_id", html: str = "html") -> Da
     """One row per start tag: key, position, tag, attributes, raw text, inside a form."""
     scanned = scan_pages(df.select(key, html), html, everything=True)
     return scanned.select(key, F.posexplode("elements").alias("seq", "e")).select(key, "seq", "e.*")
+
+
+_TREE = pa.list_(pa.struct([("tag", pa.string()), ("name", pa.string()), ("parent", pa.int32()), ("depth", pa.int32()), ("in_form", pa.bool_())]))
+
+
+def page_tree(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """One row per element: key, seq, tag, its ``name`` attribute, parent (the seq of the element around it; NULL at the top), depth (number of
+    elements around it) and whether a form is around it. NULL and empty pages have no row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for start in range(0, big.num_rows, 64):
+                batch = big.slice(start, 64)
+                trees = []
+                for text in batch.column(1).to_pylist():
+                    scan = _scanned(text or "", True)
+                    trees.append([
+                        {"tag": tag, "name": dict(attrs).get("name"), "parent": parent, "depth": depth, "in_form": in_form}
+                        for (tag, attrs, _, in_form), (parent, depth) in zip(scan.rows, scan.parents, strict=True)
+                    ])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees, _TREE)], names=[key, "tree"])
+
+    node = "array<struct<tag: string, name: string, parent: int, depth: int, in_form: boolean>>"
+    fields = [df.schema[key], T.StructField("tree", T._parse_datatype_string(node))]
+    trees = df.select(key, html).mapInArrow(run, T.StructType(fields))
+    return trees.select(key, F.posexplode("tree").alias("seq", "e")).select(key, "seq", "e.*")
