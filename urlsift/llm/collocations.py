@@ -30,7 +30,9 @@ SHARDS = 10
 #: Positions of a bitmap: 16 MB.
 BITS = 1 << 27
 #: Words of an array, and words a task holds before it hands arrays on.
-BLOCK, BUFFER = 1 << 20, 1 << 21
+BLOCK, BUFFER = 1 << 18, 1 << 19
+#: Rows of a batch that a task hands on.
+ROWS = 1 << 16
 #: Rows a language's first ones are chosen from, in parallel, before they meet.
 SALTS = 64
 
@@ -123,8 +125,10 @@ def _counted(blocks: DataFrame, cell: str, count: Callable) -> DataFrame:
                 codes = np.frombuffer(data.as_buffer(), np.uint64)
                 for found in count(codes, starts, salt):
                     fp, n = np.unique(found, return_counts=True)
-                    if len(fp):
-                        yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(np.full(len(fp), salt, np.int64)), pa.array(n.astype(np.int64))], ["fp", "cell", "n"])
+                    for a in range(0, len(fp), ROWS):
+                        part = fp[a : a + ROWS].view(np.int64)
+                        cells = part, np.full(len(part), salt, np.int64), n[a : a + ROWS].astype(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["fp", "cell", "n"])
 
     rows = blocks.select(F.col(cell).alias("cell"), "starts", "codes").mapInArrow(run, "fp long, cell long, n long")
     return rows.groupBy("fp", "cell").agg(F.sum("n").alias("n"))
@@ -189,11 +193,11 @@ def _phrases(rows: DataFrame, bitmap: np.ndarray, support: int) -> DataFrame:
                     other |= places[lead + k] != places[at + k]
                 n = np.bincount(group[~other], minlength=len(fp))
                 starts, counts = np.append(at[first], at[other]), np.append(n, np.ones(other.sum(), np.int64))
-                for a in range(0, len(starts), 1 << 16):
-                    part = starts[a : a + (1 << 16)]
+                for a in range(0, len(starts), ROWS):
+                    part = starts[a : a + ROWS]
                     phrases = [b" ".join([words[places[s + k]] for k in range(size)]) for s in part.tolist()]
                     cells = [pa.array([lang] * len(part), pa.string()), pa.array(np.full(len(part), size, np.int32)),
-                             pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts[a : a + (1 << 16)].astype(np.int64))]
+                             pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts[a : a + ROWS].astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(cells, ["lang", "size", "phrase", "f"])
 
     found = rows.mapInArrow(count, "lang string, size int, phrase string, f long")
