@@ -28,7 +28,7 @@ def ascii_lower(text: Column) -> Column:
 
 def text_copy(text: Column) -> Column:
     """Tells apart rows that share an id but not a text."""
-    return F.hash(F.coalesce(text, F.lit("")))
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def packed(

@@ -1,7 +1,7 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 The index stores a posting (term, document, position) for every training token that is a term of the
-test items. A window of an item starts from the postings of its rarest term, each shifted by the term's
+test items, and a row without a term behind each document's last word, so that one pass over the texts gives postings and numbers of words. A window of an item starts from the postings of its rarest term, each shifted by the term's
 offset to the place where the item would begin, and is intersected with the shifted lists of the next rarer
 terms. Alignments that survive are intersected with the lists of all the item's terms; runs of
 consecutive matches are the exact phrases. Proximity matches allow each term some positions of play and some
@@ -14,17 +14,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urlsift.llm.common import ascii_lower, drop_written, small, text_copy, written
+from urlsift.llm.common import ascii_lower, small, text_copy, tidy, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same runs before A-Z are lower-cased.
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Intersections by single terms, from the second rarest on, before whole items are compared.
 NARROWING = 2
 
 DOC = ["id", "copy"]
-NO_ID = 1 << 40
+#: Sets the copies of rows without an id apart from those of the id they are filled with.
+NO_ID = 0x5851F42D4C957F2D
+#: Stands behind the last word of a document; no word is empty.
+END = ""
 PLACE = ["term", *DOC, "pos"]
 
 
@@ -32,17 +33,13 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def count_words(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(ANY_CASE), F.lit(0))).cast("long")
-
-
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id, copy, t, given_id: ``copy`` tells rows apart that share an id but not a text; in it, a bit that no text sets stands
-    for a null id, so that id and copy are never null."""
+    """id, copy, t, no_id: ``copy`` tells rows apart that share an id but not a text, and rows without an id from
+    those of the id zero, so that id and copy are never null."""
     t, given = F.col(f"`{text}`").cast("string"), F.col(f"`{doc_id}`")
-    copy = text_copy(t).cast("long") + F.when(given.isNull(), F.lit(NO_ID)).otherwise(F.lit(0))
+    copy = F.when(given.isNull(), text_copy(t).bitwiseXOR(F.lit(NO_ID))).otherwise(text_copy(t))
     filled = F.coalesce(given, F.lit(0).cast(docs.schema[doc_id].dataType))
-    return docs.select(filled.alias("id"), copy.alias("copy"), t.alias("t"), given.alias("given_id"))
+    return docs.select(filled.alias("id"), copy.alias("copy"), t.alias("t"), given.isNull().alias("no_id"))
 
 
 def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -54,13 +51,19 @@ def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -
 
 
 def build_index(documents: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Write the postings (term, id, copy, pos) of all tokens of whole texts that are in ``vocabulary`` (word, term),
-    sorted by term within each part. The words themselves decide; the hash only names a word of the vocabulary."""
-    tokens = documents.select(*DOC, F.posexplode(words(F.col("t"))).alias("pos", "word"))
-    postings = tokens.join(small(vocabulary), "word").select(*PLACE)
+    """Write the postings (term, id, copy, pos) of all tokens of whole texts that are in ``vocabulary`` (word, term), sorted by
+    term within each part, and for each document row one without a term whose ``pos`` is its number of words. The words
+    themselves decide; the hash only names a word of the vocabulary."""
+    tokens = F.posexplode(F.concat(words(F.col("t")), F.array(F.lit(END)))).alias("pos", "word")
+    end = documents.sparkSession.range(1).select(F.lit(END).alias("word"), F.lit(None).cast("long").alias("term"))
+    postings = documents.select(*DOC, "no_id", tokens).join(small(vocabulary.union(end)), "word").select(*PLACE, "no_id")
     return written(postings.sortWithinPartitions("term", "id", "pos"), "postings")
 
 
+def postings_of(index: DataFrame) -> DataFrame:
+    return index.filter("term is not null").select(*PLACE)
+
+
 def _ranked_windows(terms: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     """(item, first, list): the terms of each window as (postings, i, term), rarest first; terms that no document holds have
     zero postings."""
@@ -136,6 +139,7 @@ def proximity_matches(index: DataFrame, terms: DataFrame, window: int = WINDOW,
     return near.filter(F.col("near") >= need).drop("n").select(*DOC, "item", "item_id", "first", "start", "near")
 
 
+@tidy
 def contamination(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = WINDOW, near: bool = False,
@@ -149,26 +153,26 @@ def contamination(
     """
     documents = _documents(docs, doc_id, text)
     terms = written(item_terms(items, item_id, item_text), "item-terms")
-    index = build_index(documents, terms.select("word", "term").distinct())
+    whole = build_index(documents, terms.select("word", "term").distinct())
+    index = postings_of(whole)
     phrases = written(phrase_matches(index, terms, window), "phrases")
     named = F.sort_array(F.collect_set(F.col("item_id").cast("string")))
     if near:
         close = written(proximity_matches(index, terms, window).groupBy(*DOC).agg(named.alias("near_ids")), "near")
-    drop_written(index)
     inside = F.explode(F.sequence(F.col("start"), (F.col("start") + F.col("length") - 1).cast("int")))
     hit = phrases.select(*DOC, inside.alias("pos")).distinct().groupBy(*DOC).agg(F.count("*").alias("n_hit"))
     listed = phrases.groupBy(*DOC).agg(named.alias("item_ids"))
     marks = hit.join(listed, DOC)
-    counted = documents.select(*DOC, "given_id", count_words(F.col("t")).alias("n_words"))
+    counted = whole.filter("term is null").select(*DOC, "no_id", F.col("pos").cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
-    copy = F.when(F.col("given_id").isNull(), F.col("copy") - NO_ID).otherwise(F.col("copy")).cast("int")
+    copy = F.when(F.col("no_id"), F.col("copy").bitwiseXOR(F.lit(NO_ID))).otherwise(F.col("copy"))
     marked = counted.join(marks, DOC, "left")
     lists = {"n_items": "item_ids"}
     if near:
         marked, lists = marked.join(close, DOC, "left"), lists | {"n_near": "near_ids"}
     sizes = [(F.coalesce(F.size(x), F.lit(0)).cast("long").alias(n), F.coalesce(x, none).alias(x)) for n, x in lists.items()]
     return marked.select(
-        F.col("given_id").alias("id"), copy.alias("copy"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        F.when(~F.col("no_id"), F.col("id")).alias("id"), copy.alias("copy"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         *[c for pair in sizes for c in pair],
     )
 
