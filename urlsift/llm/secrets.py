@@ -110,8 +110,12 @@ def entropy_spans(text: str, known: list[tuple[int, int, str]] = ()) -> list[tup
                     for a, b in window_spans(run.group(), threshold, needs):
                         found.add((m.start() + run.start() + a, m.start() + run.start() + b))
     spans: list[tuple[int, int, str]] = []
+    begun, reach, sorted_known = 0, -1, sorted(known)
     for a, b in sorted(found):
-        if any(x <= a and b <= y for x, y, _ in known):
+        while begun < len(sorted_known) and sorted_known[begun][0] <= a:
+            reach = max(reach, sorted_known[begun][1])
+            begun += 1
+        if b <= reach:
             continue
         if spans and a < spans[-1][1]:
             spans[-1] = (spans[-1][0], max(b, spans[-1][1]), "entropy")
