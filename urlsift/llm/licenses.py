@@ -87,6 +87,8 @@ def _named(name: str, version: str) -> tuple[str, ...]:
 
 
 #: label -> templates
+_KINDS = ("by", "by-sa", "by-nc", "by-nc-sa", "by-nd", "by-nc-nd")
+_VERSION = "<<beginOptional>>version<<endOptional>> <<beginOptional>>v<<endOptional>> "
 TEMPLATES = {
     "apache-2.0": (
         "licensed under the apache license <<beginOptional>>version<<endOptional>> 2.0",
@@ -111,7 +113,14 @@ TEMPLATES = {
     "gpl-3.0": (
         "licensed under the gnu general public license version 3 <<beginOptional>>or any later version<<endOptional>>",
     ),
-    "gpl-notice": (_FREE + "the gnu <<beginOptional>>lesser<<endOptional>> general public license" + _LATER,),
+    "gpl-notice": (_FREE + "the gnu general public license" + _LATER,),
+    "lgpl-notice": tuple(_FREE + f"the gnu {kind} general public license" + _LATER for kind in ("lesser", "library")),
+    **{
+        f"lgpl-{version}": tuple(
+            f"licensed under the gnu {kind} general public license version {words} <<beginOptional>>or any later version<<endOptional>>"
+            for kind in ("lesser", "library"))
+        for version, words in (("2.0", "2 <<var;zero;0;0-1>>"), ("2.1", "2 1"), ("3.0", "3 <<var;zero;0;0-1>>"))
+    },
     "gpl-2.0-notice": _named("gnu general public license", "2"),
     "gpl-3.0-notice": _named("gnu general public license", "3"),
     "agpl-3.0": (
@@ -119,12 +128,14 @@ TEMPLATES = {
     ),
     "agpl-notice": (_FREE + "the gnu affero general public license" + _LATER,),
     "agpl-3.0-notice": _named("gnu affero general public license", "3"),
-    "cc-by-4.0": ("licensed under <<beginOptional>>a<<endOptional>> cc by <<var;version;[0-9]+;2-2>>",),
-    "cc-by-nc-4.0": ("licensed under <<beginOptional>>a<<endOptional>> cc by nc <<var;version;[0-9]+;2-2>>",),
-    "cc-by-sa-4.0": ("licensed under <<beginOptional>>a<<endOptional>> cc by sa <<var;version;[0-9]+;2-2>>",),
-    "cc-by-nc-sa": ("licensed under <<beginOptional>>a<<endOptional>> cc by nc sa <<var;version;[0-9]+;2-2>>",),
-    "cc-by-nd": ("licensed under <<beginOptional>>a<<endOptional>> cc by nd <<var;version;[0-9]+;2-2>>",),
-    "cc-by-nc-nd": ("licensed under <<beginOptional>>a<<endOptional>> cc by nc nd <<var;version;[0-9]+;2-2>>",),
+    **{
+        f"cc-{kind}-{version}": (f"licensed under <<beginOptional>>a<<endOptional>> cc {kind} {version}",)
+        for kind in _KINDS for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+    },
+    **{
+        f"cc-{kind}": (f"licensed under <<beginOptional>>a<<endOptional>> cc {kind} <<var;version;0|[5-9]|[0-9]{{2,}};1-1>> <<var;version;[0-9]+;1-1>>",)
+        for kind in _KINDS
+    },
     "cc-by-long": (
         "licensed under <<beginOptional>>a<<endOptional>> creative commons attribution <<var;kind;.*;0-4>> <<var;version;[0-9]+;2-2>> "
         "<<beginOptional>>international<<endOptional>> license",
@@ -143,7 +154,11 @@ TEMPLATES = {
     "isc-opening": (
         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
     ),
-    "mpl-2.0": ("subject to the terms of the mozilla public license v 2.0", "licensed under the mozilla public license <<var;version;.*;0-3>>"),
+    **{
+        f"mpl-{version}": tuple(f"{head} the mozilla public license {_VERSION}{version}" for head in ("subject to the terms of", "licensed under"))
+        for version in ("1.0", "1.1", "2.0")
+    },
+    "mpl": tuple(f"{head} the mozilla public license" for head in ("subject to the terms of", "licensed under")),
     "unlicense": (
         "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell "
         "or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial "
@@ -161,6 +176,7 @@ TEMPLATES = {
 #: Bytes outside words become spaces, A-Z become a-z.
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 _MARK = re.compile(r"<<(.*?)>>")
+_VERSIONED = re.compile(r"-[0-9]+\.[0-9]+$")
 
 
 def fold(text: str) -> bytes:
@@ -231,7 +247,8 @@ class Automaton:
         return states
 
     def match(self, words: list[bytes], at: int) -> list[tuple[str, int, int]]:
-        """(label, mandatory words, end) of the longest acceptance of each label from word ``at`` on."""
+        """(label, mandatory words, end) of the longest acceptance of each label from word ``at`` on, and of labels
+        that differ in their version alone the longest: a text that names version 2.1 doesn't name version 2."""
         now, best = self._closed(set(self.starts.get(words[at], ()))), {}
         for i in range(at, len(words)):
             word, after = words[i], set()
@@ -245,7 +262,11 @@ class Automaton:
                 if s in self.accepts:
                     label, mandatory = self.accepts[s]
                     best[label] = (label, mandatory, i + 1)
-        return list(best.values())
+        longest: dict[str, int] = {}
+        for label, _, end in best.values():
+            family = _VERSIONED.sub("", label)
+            longest[family] = max(longest.get(family, 0), end)
+        return [x for x in best.values() if x[2] == longest[_VERSIONED.sub("", x[0])]]
 
 
 def compiled(templates: dict[str, tuple[str, ...]] = TEMPLATES, phrases=PHRASES) -> tuple[Automaton, Automaton]:
