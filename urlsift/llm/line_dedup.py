@@ -13,8 +13,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from urlsift.llm.common import ascii_lower, drop_written, work_dir, written
+from urlsift.llm.common import ascii_lower, drop_written, small, work_dir, written
 
 SPACE = " \t\n\x0b\x0c\r"
 MIN_POINTS = 10
@@ -83,6 +84,18 @@ class LineRuns:
         self.levels = []
 
 
+def _bounds(docs: DataFrame, batches: int) -> list:
+    """Ids that end the batches, in the order of the ids."""
+    if batches < 2:
+        return []
+    if isinstance(docs.schema["id"].dataType, T.NumericType):
+        cuts = docs.select(F.col("id").cast("double").alias("id")).approxQuantile("id", [k / batches for k in range(1, batches)], 0.001)
+        return sorted({int(c) for c in cuts})
+    ranged = docs.select("id").filter("id is not null").repartitionByRange(batches, "id")
+    ends = ranged.groupBy(F.spark_partition_id().alias("r")).agg(F.max("id").alias("end")).collect()  # a row for each range
+    return sorted(r.end for r in ends)[:-1]
+
+
 def dedup_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = 4, fanout: int = 2, min_points: int = MIN_POINTS
 ) -> DataFrame:
@@ -90,15 +103,15 @@ def dedup_lines(
 
     A null or empty text is one empty line. Keys of fewer than ``min_points`` code points never go. Rows that
     share an id are one document: all keep a line that the document owns. Null ids are one document behind
-    all others. An empty table gives an empty result. Texts of any length stay row-local; only hashes move.
+    all others. An empty table gives an empty result. Hashes alone move, and texts stay where they are while the places of all
+    lines that go are small enough to be broadcast; beyond that the documents are shuffled once to meet them. Batches follow
+    the order of the ids: of numbers by their quantiles, of other ids by ranges.
     """
     spark = docs.sparkSession
     docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
         "doc", F.col(f"doc.`{doc_id}`").alias("id"), F.coalesce(F.col(f"doc.`{text}`").cast("string"), F.lit("")).alias("t")
     ).withColumn("th", F.xxhash64("t"))
-    shares = [k / batches for k in range(1, batches)]
-    bounds = docs.select(F.col("id").cast("double").alias("id")).approxQuantile("id", shares, 0.001) if shares else []
-    late = [F.when(F.col("id") > F.lit(int(b)), 1).otherwise(0) for b in sorted({int(b) for b in bounds})]
+    late = [F.when(F.col("id") > F.lit(b), 1).otherwise(0) for b in _bounds(docs, batches)]
     batch = F.when(F.col("id").isNull(), len(late)).otherwise(sum(late, F.lit(0)))
 
     lines = docs.select("id", "th", batch.alias("batch"), F.posexplode(F.split("t", "\n", -1)).alias("pos", "line"))
@@ -128,7 +141,7 @@ def dedup_lines(
     lost = gone[0]
     for more in gone[1:]:
         lost = lost.union(more)
-    lost = lost.withColumnsRenamed({"id": "lost_id", "th": "lost_th"})
+    lost = small(lost.withColumnsRenamed({"id": "lost_id", "th": "lost_th"}))
     joined = docs.join(lost, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("th") == F.col("lost_th")), "left")
     parts = F.split("t", "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "gone")
