@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urlsift.llm.common import drop_written, small, work_dir
+from urlsift.llm.common import drop_written, small, tidy, work_dir, written
 
 #: Bytes under a node of the lowest range level, and how many ranges a node of each level above covers.
 RANGE = 1 << 16
@@ -89,6 +89,7 @@ def build(records: DataFrame) -> Tree:
     return Tree(folder, spark.read.schema(f"{schema}, level int").parquet(folder))
 
 
+@tidy
 def audit(kept: Tree, replica: Tree) -> DataFrame:
     """(file, offset, length, found_length, hash, found_hash, damage) of each record of the first tree that is ``changed`` or
     ``missing`` in the second, or ``extra`` there. Equal records at one offset answer for each other."""
@@ -108,6 +109,7 @@ def audit(kept: Tree, replica: Tree) -> DataFrame:
             branches = differ.select("file", children.alias("place"))
         else:
             branches = differ
+        branches = written(branches, "branches")
     branches = branches.withColumnRenamed("place", "range")
 
     def leaves(tree: Tree, hash_name: str, length_name: str) -> DataFrame:

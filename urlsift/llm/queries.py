@@ -110,7 +110,10 @@ def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     theirs = pages.select(F.col("page_id").alias("number"), length, hashed(data).alias("own"), hashed(damaged).alias("hash"), part.alias("part"))
     placed = fixity.laid_out(theirs, ["own"]).filter("part is null or part <> 9")
     replica = fixity.build(placed)
-    return fixity.audit(kept, replica)
+    found = fixity.audit(kept, replica)
+    kept.drop()
+    replica.drop()
+    return found
 
 
 OP4_SQL = r"""
