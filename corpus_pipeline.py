@@ -12,13 +12,28 @@ from urlsift.llm.common import read, small, text_copy, written
 MIN_LANGUAGE_SCORE = 0.5
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """The rows as one column, so that no name of theirs meets one of a stage, beside their id and ``text_copy``."""
+    rows = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return docs.select(rows).select("doc", F.col("doc.doc_id").alias("id"), text_copy(F.col("doc.text")).alias("copy"))
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """(of_id, of_copy) of some rows of an operator's result."""
+    return small(found.select(F.col("id").alias("of_id"), F.col("copy").alias("of_copy")).distinct())
+
+
+def _is_named():
+    return F.equal_null("id", "of_id") & (F.col("copy") == F.col("of_copy"))
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language identification, learned from the labelled documents: those without a letter, or
     without a language that is likelier than all others together, go."""
     model = language_id.fit_languages(docs, F.col("text"), F.col("lang"))
-    found = docs.withColumn("_p", language_id.language(spark, model, F.col("text")))
-    sure = (F.col("_p.lang_pred") != language_id.UNDETERMINED) & (F.col("_p.score") >= MIN_LANGUAGE_SCORE)
-    return found.filter(sure).select(docs.columns)
+    found = _whole(docs).withColumn("p", language_id.language(spark, model, F.col("doc.text")))
+    sure = (F.col("p.lang_pred") != language_id.UNDETERMINED) & (F.col("p.score") >= MIN_LANGUAGE_SCORE)
+    return found.filter(sure).select("doc.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,20 +46,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each component the document with the smallest id stays, once."""
     best = written(simhash.representatives(simhash.near_duplicates(docs)), "representatives")
-
-    def rows(chosen: DataFrame) -> DataFrame:
-        side = small(chosen.select(F.col("id").alias("_id"), F.col("copy").alias("_copy")))
-        return docs.join(side, F.equal_null(docs["doc_id"], F.col("_id")) & (text_copy(docs["text"]) == F.col("_copy")), "left_semi")
-
-    repeated = rows(best.filter("repeats > 1")).withColumn("_copy", text_copy(F.col("text")))
-    return rows(best.filter("repeats = 1")).union(repeated.dropDuplicates(["doc_id", "_copy"]).select(docs.columns))
+    rows = _whole(docs)
+    once = rows.join(_named(best.filter("repeats = 1")), _is_named(), "left_semi")
+    repeated = rows.join(_named(best.filter("repeats > 1")), _is_named(), "left_semi").dropDuplicates(["id", "copy"])
+    return once.union(repeated).select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents of which one word in twenty lies in a benchmark phrase go."""
     found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark")).filter(decontaminate.is_contaminated())
-    side = small(found.select(F.col("id").alias("_id"), F.col("copy").alias("_copy")).distinct())
-    return docs.join(side, F.equal_null(docs["doc_id"], F.col("_id")) & (text_copy(docs["text"]) == F.col("_copy")), "left_anti")
+    return _whole(docs).join(_named(found), _is_named(), "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
