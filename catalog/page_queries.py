@@ -11,6 +11,7 @@ from urlsift import contract as C
 from urlsift.functions import hosts as H
 from urlsift.functions import text as X
 from urlsift.operators import page_features as P
+from urlsift.operators import sites as S
 from urlsift.operators.elements import page_elements, page_tree, scan_pages
 
 QUERIES, SQL = {}, {}
@@ -377,6 +378,28 @@ def registrable_domain(spark, sf_dir):
     return rows.select("page_id", H.registrable_domain(host).alias("registrable"))
 
 
+@query("site_rule_table", """
+  SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'b.s' || o_orderkey || '.example.com' WHEN 1 THEN NULL
+      WHEN 2 THEN 'a.b.w' || o_orderkey || '.test' ELSE 'keep.x' || o_orderkey || '.test' END AS registrable,
+    CASE o_orderkey % 4 WHEN 0 THEN 'b.s' || o_orderkey || '.example.com' WHEN 1 THEN 's' || o_orderkey || '.example.com'
+      WHEN 2 THEN 'a.b.w' || o_orderkey || '.test' ELSE 'keep.x' || o_orderkey || '.test' END AS site FROM orders""")
+def site_rule_table(spark, sf_dir):
+    """Sites under more rules than orders, read as a table: the longest match decides, exceptions win."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    k, n = F.col("id").cast("string"), F.col("id") % 4
+    rule = F.when(n < 2, F.concat(F.lit("s"), k, F.lit(".Example.com "))).when(n == 2, F.concat(F.lit("*.w"), k, F.lit(".test // wild")))
+    lines = orders.select(F.explode(F.array(
+        rule.otherwise(F.concat(F.lit("!keep.x"), k, F.lit(".test"))), F.when(n == 3, F.concat(F.lit("*.x"), k, F.lit(".test"))),
+        F.lit("com"), F.lit("// a remark"), F.lit(""),
+    )).alias("value"))
+    host = (
+        F.when(n == 0, F.concat(F.lit("A.b.s"), k, F.lit(".example.com"))).when(n == 1, F.concat(F.lit("s"), k, F.lit(".example.COM")))
+        .when(n == 2, F.concat(F.lit("a.b.w"), k, F.lit(".test."))).otherwise(F.concat(F.lit("q.keep.x"), k, F.lit(".test")))
+    )
+    found = S.with_sites(orders.withColumn("host", host), S.rule_table(lines), "host")
+    return found.select("id", "registrable", "site")
+
+
 @query("ref_class", f"""
   SELECT page_id, cls, count(*) AS n FROM (
     SELECT page_id, CASE WHEN list_contains([{_EMPTY}], lower(trim(ref))) THEN 'empty'

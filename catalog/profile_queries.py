@@ -391,15 +391,16 @@ def stats_round_trip(spark, sf_dir):
     return _clip_rows(spark, store.load_stats(spark, path).clip)
 
 
-_QUOTED = "'He said \"' || substr(text, 1, 300) || '\", ok' || chr(10) || lang"
+_EDGES = """CASE doc_id % 5 WHEN 0 THEN '  ' || text || chr(9) WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '" ' || text || ' ,"' ELSE text || chr(10) || '  ' END"""
 
 
-@query("csv_quotes", f"SELECT doc_id, {_QUOTED} AS text FROM documents")
-def csv_quotes(spark, sf_dir):
-    """Texts with quotes, commas and line breaks through the CSV sink and source."""
+@query("csv_edge_values", f"SELECT doc_id, {_EDGES} AS text, CASE WHEN doc_id % 3 > 0 THEN n_chars END AS n_chars FROM documents")
+def csv_edge_values(spark, sf_dir):
+    """Blanks at the ends, empty and missing values, quotes and line breaks around whole documents, through the CSV sink and source."""
     path = _path(spark, "csv")
-    files.write_csv(table(spark, sf_dir, "documents").selectExpr("doc_id", f"{_QUOTED} AS text"), path)
-    return files.read_csv(spark, path, "doc_id long, text string")
+    rows = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{_EDGES.replace('chr(', 'char(')} AS text", "CASE WHEN doc_id % 3 > 0 THEN n_chars END AS n_chars")
+    files.write_csv(rows, path)
+    return files.read_csv(spark, path, "doc_id long, text string, n_chars long")
 
 
 _WHOLE = "'He said \"' || text || '\", ok' || chr(10) || lang"

@@ -15,23 +15,41 @@ from pyspark.sql import types as T
 from urlsift import contract as C
 from urlsift.functions.text import LINE_BREAK, strip
 
-#: A page that unpacks to more is refused, and the text a task holds before it hands it on.
-MAX_PAGE_BYTES = 256 << 20
+#: The text a task holds before it hands it on.
 BATCH_BYTES = 8 << 20
 
 
-#: Quotes are doubled inside quotes, and quoted values may hold commas and line breaks.
-STANDARD_QUOTES = {"header": True, "quote": '"', "escape": '"'}
+#: Quotes are doubled inside quotes, and quoted values may hold commas and line breaks. Blanks at the ends belong to a value; an empty
+#: field is NULL, an empty value is a pair of quotes.
+STANDARD_QUOTES = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "nullValue": "", "emptyValue": '""',
+}
+#: What the reader makes of a pair of quotes until the columns are typed; noncharacters, which no text holds.
+EMPTY = "\uffffempty\ufffe"
 
 
 def _csv(spark: SparkSession):
-    return spark.read.options(**STANDARD_QUOTES, multiLine=True, mode="FAILFAST")
+    return spark.read.options(**(STANDARD_QUOTES | {"emptyValue": ""}), multiLine=True, mode="FAILFAST")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Standard CSV with a header by a given schema; a broken row is an error. A file with line breaks inside quotes can't
-    be split, so large inputs should be many files."""
-    return _csv(spark).schema(schema).csv(path)
+    """Standard CSV with a header by a given schema; a broken row or value is an error. An empty field is NULL, a pair of quotes an empty
+    text, or NULL in a column that holds no text. A file with line breaks inside quotes can't be split, so large inputs should be many files."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = _csv(spark).option("emptyValue", EMPTY).schema(texts).csv(path)
+
+    def typed(field: T.StructField):
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            return F.when(value == EMPTY, F.lit("")).otherwise(value).alias(field.name)
+        value = F.when(value != EMPTY, value)
+        cast = value.try_cast(field.dataType)
+        broken = F.raise_error(F.concat(F.lit(f"column {field.name} holds no {field.dataType.simpleString()}: "), value)).cast(field.dataType)
+        return F.when(value.isNotNull() & cast.isNull(), broken).otherwise(cast).alias(field.name)
+
+    return rows.select(*[typed(f) for f in schema.fields])
 
 
 def read_records(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
@@ -61,17 +79,19 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _unpacked(raw: bytes, most: int) -> str | None:
-    """The text of gzip bytes; NULL if they are broken or hold more than ``most`` bytes."""
+def _unpacked(raw: bytes, most: int | None) -> str | None:
+    """The text of gzip bytes; NULL if they are broken, an error if they hold more than ``most`` bytes."""
     try:
         with gzip.GzipFile(fileobj=io.BytesIO(raw)) as file:
-            data = file.read(most + 1)
+            data = file.read() if most is None else file.read(most + 1)
     except (OSError, EOFError, zlib.error):
         return None
-    return data.decode("utf-8", errors="replace") if len(data) <= most else None
+    if most is not None and len(data) > most:
+        raise ValueError(f"a page unpacks to more than {most} bytes")
+    return data.decode("utf-8", errors="replace")
 
 
-def _unpack(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _unpack(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[pa.RecordBatch]:
     def out():
         return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["sha1", "html"])
 
@@ -88,10 +108,10 @@ def _unpack(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         yield out()
 
 
-def read_pages(spark: SparkSession, path: str, most: int = MAX_PAGE_BYTES) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
     """Pages stored as ``<sha1>.html.gz``: columns sha1 and html.
 
-    Files are split over tasks by Spark; a file that is no gzip, or unpacks to more than ``most`` bytes, gives a NULL page.
+    Files are split over tasks by Spark; a file that is no gzip gives a NULL page, one that unpacks to more than ``most`` bytes is an error.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html.gz").load(path)
     named = files.select(F.regexp_extract("path", r"([0-9a-fA-F]+)\.html\.gz$", 1).alias("sha1"), "content")
@@ -118,7 +138,7 @@ def packed_store(pages: DataFrame, html: str = "html") -> DataFrame:
     return page_store(pages, html).select("sha1", html).mapInArrow(_pack, "sha1 string, packed binary")
 
 
-def unpacked_store(packed: DataFrame, most: int = MAX_PAGE_BYTES) -> DataFrame:
+def unpacked_store(packed: DataFrame, most: int | None = None) -> DataFrame:
     """A packed store as sha1 and html."""
     return packed.mapInArrow(lambda batches: _unpack(batches, most), "sha1 string, html string")
 
