@@ -13,6 +13,7 @@ from urlsift import contract as C
 from urlsift.operators import admission as A
 from urlsift.operators import agreement as G
 from urlsift.operators import crawl as CR
+from urlsift.operators import intervals as I
 from urlsift.operators import profile as PF
 from urlsift.operators import records as R
 from urlsift.functions.addresses import address_reason
@@ -536,6 +537,42 @@ def address_class(spark, sf_dir):
     return rows.withColumn("reason", address_reason(F.col("ip")))
 
 
+@query("address_class_table", SQL["address_class"])
+def address_class_table(spark, sf_dir):
+    """The same classes from the table of blocks."""
+    rows = table(spark, sf_dir, "pages").select("page_id", F.expr(_ADDRESS_CASE).alias("ip"))
+    return I.with_reason(rows, I.block_table(I.fixed_blocks(spark)), "ip")
+
+
+@query("address_block_list", """
+  SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 'listed_network' WHEN o_orderkey % 3 = 0 THEN 'listed_address' END AS reason FROM orders""")
+def address_block_list(spark, sf_dir):
+    """A list of blocks, one for each order, and an address for each order: every third is in the list, as an address or in a network,
+    some of which have an exempt part."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    b = [(F.floor(F.col("id") / d) % 256).cast("int").cast("string") for d in (65536, 256, 1)]
+    base = F.concat(F.lit("11."), F.concat_ws(".", *b))
+    wide = F.concat(F.lit("2a00:"), F.lower(F.hex(F.floor(F.col("id") / 65536))), F.lit(":"), F.lower(F.hex(F.col("id") % 65536)))
+    even, listed = F.col("id") % 2 == 0, F.col("id") % 3 == 0
+    block = F.when(even & listed, F.concat(wide, F.lit("::/48"))).when(listed, base).when(even, F.concat(wide, F.lit("::/64"))).otherwise(F.lit("no block"))
+    reason = F.when(even, "listed_network").otherwise("listed_address")
+    rows = orders.select(block.alias("block"), reason.alias("reason"), F.lit(1).alias("rank"), (even & ~listed).alias("exempt"))
+    networks = orders.filter(even & ~listed).select(F.concat(wide, F.lit("::/56")).alias("block"), F.lit("listed_network").alias("reason"), F.lit(1).alias("rank"), F.lit(False).alias("exempt"))
+    asked = orders.withColumn("address", F.when(even, F.concat(wide, F.lit("::7"))).otherwise(base))
+    return I.with_reason(asked, I.block_table(rows.union(networks)), "address").select("id", "reason")
+
+
+@query("deny_forms", "SELECT page_id FROM pages WHERE page_id % 4 < 2")
+def deny_forms(spark, sf_dir):
+    """Entries and hosts in other scripts, in upper case, or with a dot at the end meet in the form resolvers see."""
+    pages = table(spark, sf_dir, "pages")
+    k, n = F.col("page_id").cast("string"), F.col("page_id") % 4
+    deny = pages.select(F.when(n == 0, F.concat(F.lit("Bücher"), k, F.lit(".test"))).otherwise(F.concat(F.lit("evil"), k, F.lit(".test."))).alias("host"))
+    host = F.when(n == 1, F.concat(F.lit("a.EVIL"), k, F.lit(".test."))).otherwise(F.concat(F.lit("notevil"), k, F.lit(".test")))
+    own = F.when(n == 0, F.concat(F.lit("www.BÜCHER"), k, F.lit(".test."))).otherwise(host)
+    return A.denied_rows(pages.select("page_id", own.alias("host")), deny, "page_id")
+
+
 def _dns(spark, sf_dir):
     """Two or three addresses per host; some hosts have a private one, some none."""
     pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "//([^/?#]*)", 1).alias("host"))
@@ -557,6 +594,13 @@ def resolved_hosts(spark, sf_dir):
     return A.vet_resolved(pages, _dns(spark, sf_dir), key="page_id", own=["203.0.114.10"])
 
 
+@query("resolved_hosts_table", SQL["resolved_hosts"])
+def resolved_hosts_table(spark, sf_dir):
+    """The same verdicts with the table of blocks."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return A.vet_resolved(pages, _dns(spark, sf_dir), key="page_id", own=["203.0.114.10"], blocks=I.block_table(I.fixed_blocks(spark)))
+
+
 def _hops(spark, sf_dir):
     """Two pages in three redirect to the page three further on; some to refused targets."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")

@@ -12,6 +12,8 @@ from urlsift import constants as K
 from urlsift.functions.addresses import address_reason, is_address
 from urlsift.functions.hosts import host_suffixes
 from urlsift.functions.text import let, strip
+from urlsift.operators.intervals import with_reason
+from urlsift.operators.sites import ascii_name
 from urlsift.runtime import lookup_join
 
 _SPLIT = r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://([^/?#]*))?"
@@ -52,22 +54,24 @@ def ascii_host(host: Column) -> Column:
 
 
 def is_denied(host: Column, deny: Sequence[str]) -> Column:
-    """Whether the host or a parent of it is on a deny list, which becomes a literal set."""
+    """Whether the host or a parent of it is on a deny list, which becomes a literal set. Names of the list are taken in the form
+    resolvers see, as the host is, and a dot at the end of either counts for nothing."""
     if not deny:
         return F.lit(False)
-    names = [d.lower() for d in deny]
-    return F.exists(host_suffixes(host), lambda s: s.isin(names))
+    names = [d for d in _idna(pa.array([d.lower().rstrip(".") for d in deny])).to_pylist() if d]
+    return F.exists(host_suffixes(F.regexp_replace(host, r"\.$", "")), lambda s: s.isin(names))
 
 
 def denied_rows(rows: DataFrame, deny: DataFrame, key: str, host: str = "host") -> DataFrame:
     """Keys whose host or a parent of it is in a deny table of any size.
 
     Every host is exploded into its few parents, once per distinct host, and looked
-    up; of a long table the planner splits hot parents such as "com".
+    up; of a long table the planner splits hot parents such as "com". Both sides are taken in the form resolvers see, without
+    a dot at the end; a name that has no such form denies nothing and isn't denied.
     """
-    hosts = rows.select(F.col(host).alias("_h")).distinct()
-    parents = hosts.select("_h", F.explode(host_suffixes(F.col("_h"))).alias("host"))
-    table = deny.select(F.lower(deny.columns[0]).alias("host")).distinct().withColumn("_hit", F.lit(True))
+    hosts = rows.select(F.col(host).alias("_h")).distinct().withColumn("_n", ascii_name(F.col("_h")))
+    parents = hosts.select("_h", F.explode(host_suffixes(F.col("_n"))).alias("host"))
+    table = deny.select(ascii_name(F.col(deny.columns[0])).alias("host")).distinct().withColumn("_hit", F.lit(True))
     hit = lookup_join(parents, table, ["host"]).filter("_hit").select("_h").distinct()
     return lookup_join(
         rows.select(key, F.col(host).alias("_h")), hit.withColumn("_hit", F.lit(True)), ["_h"]
@@ -101,19 +105,24 @@ def admission_reason(url: Column, deny: Sequence[str] = ()) -> Column:
 
 def vet_resolved(
     urls: DataFrame, dns: DataFrame, *, key: str, url: str = "url", deny: Sequence[str] = (),
-    own: Sequence[str] = (),
+    own: Sequence[str] = (), blocks: DataFrame | None = None,
 ) -> DataFrame:
     """Key, host, reason (NULL when admitted) and the pinned first address.
 
     ``dns`` has host, ord, ip; a row without an ip says that the host resolved to nothing. Every address of a host must be permissible; the
     first offending one in order gives the reason. Resolution is reduced to one row
-    per host before the lookup, and literal addresses need none.
+    per host before the lookup, and literal addresses need none. Addresses are judged by the fixed classes, or by a table of
+    blocks of any length (``intervals.block_table``).
     """
-    def verdict(ip):
+    def verdict(ip, why):
         mine = ip.isin(list(own)) if own else F.lit(False)
-        return F.when(ip.isNull(), "dns_no_records").when(mine, "own_address").otherwise(address_reason(ip))
+        return F.when(ip.isNull(), "dns_no_records").when(mine, "own_address").otherwise(why)
 
-    judged = dns.select(F.lower("host").alias("host"), "ord", "ip", verdict(F.col("ip")).alias("_why"))
+    def reasoned(rows, address):
+        return rows.withColumn("_class", address_reason(F.col(address))) if blocks is None else with_reason(rows, blocks, address, "_class")
+
+    known = reasoned(dns.select(F.lower("host").alias("host"), "ord", "ip"), "ip")
+    judged = known.select("host", "ord", "ip", verdict(F.col("ip"), F.col("_class")).alias("_why"))
     per_host = judged.groupBy("host").agg(
         F.min(F.when(F.col("_why").isNotNull(), F.struct("ord", "_why")))["_why"].alias("_bad"),
         F.min(F.struct("ord", "ip"))["ip"].alias("_first"),
@@ -121,11 +130,11 @@ def vet_resolved(
     )
     parts = url_parts(F.col(url))
     staged = urls.select(key, F.coalesce(ascii_host(parts["host"]), parts["host"]).alias("host"), admission_reason(F.col(url), deny).alias("_rule"))
-    joined = lookup_join(staged, per_host, ["host"]).withColumn("_literal", is_address(F.col("host")))
+    joined = reasoned(lookup_join(staged, per_host, ["host"]).withColumn("_literal", is_address(F.col("host"))), "host")
     literal = F.col("_literal")
     why = (
         F.when(F.col("_rule").isNotNull(), F.col("_rule"))
-        .when(literal, verdict(F.col("host")))
+        .when(literal, verdict(F.col("host"), F.col("_class")))
         .when(F.col("_known").isNull(), "dns_resolution_failed")
         .otherwise(F.col("_bad"))
     )
