@@ -31,8 +31,8 @@ SHARDS = 10
 BITS = 1 << 27
 #: Words of an array, and words a task holds before it hands arrays on.
 BLOCK, BUFFER = 1 << 18, 1 << 19
-#: Rows of a batch that a task hands on.
-ROWS = 1 << 16
+#: Rows of a batch that a task hands on, and phrases it adds up at a time.
+ROWS, WINDOWS = 1 << 16, 1 << 20
 #: Rows a language's first ones are chosen from, in parallel, before they meet.
 SALTS = 64
 
@@ -117,21 +117,33 @@ def _bitmap(keys: DataFrame, salt: str | None) -> np.ndarray:
 
 
 def _counted(blocks: DataFrame, cell: str, count: Callable) -> DataFrame:
-    """(fp, cell, n): phrases of all arrays, as ``count`` names them, added up over tasks."""
+    """(fp, cell, n): phrases of all arrays, as ``count`` names them, added up. A task adds up WINDOWS phrases at a time, so that a frequent
+    one is a row for each of these, and sends them on as they are."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
+
+        def out():
+            for salt, parts in held.items():
+                fp, n = np.unique(np.concatenate(parts), return_counts=True)
+                for a in range(0, len(fp), ROWS):
+                    part = fp[a : a + ROWS].view(np.int64)
+                    cells = part, np.full(len(part), salt, np.int64), n[a : a + ROWS].astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["fp", "cell", "n"])
+
         for batch in batches:
             for salt, starts, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                codes = np.frombuffer(data.as_buffer(), np.uint64)
-                for found in count(codes, starts, salt):
-                    fp, n = np.unique(found, return_counts=True)
-                    for a in range(0, len(fp), ROWS):
-                        part = fp[a : a + ROWS].view(np.int64)
-                        cells = part, np.full(len(part), salt, np.int64), n[a : a + ROWS].astype(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["fp", "cell", "n"])
+                for found in count(np.frombuffer(data.as_buffer(), np.uint64), starts, salt):
+                    held.setdefault(salt, []).append(found)
+                    size += len(found)
+                if size >= WINDOWS:
+                    yield from out()
+                    held, size = {}, 0
+        yield from out()
 
     rows = blocks.select(F.col(cell).alias("cell"), "starts", "codes").mapInArrow(run, "fp long, cell long, n long")
-    return rows.groupBy("fp", "cell").agg(F.sum("n").alias("n"))
+    return rows.repartition("fp", "cell").groupBy("fp", "cell").agg(F.sum("n").alias("n"))
 
 
 def _mined(blocks: DataFrame, cells: DataFrame) -> list[DataFrame]:
