@@ -1,4 +1,4 @@
-"""Gaussian naive Bayes: one aggregation to fit, literal expressions to score."""
+"""Gaussian naive Bayes: one aggregation to fit, Arrow batches of the features to score."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,20 +97,49 @@ def log_joint(model: NaiveBayes, k: int) -> Column:
     return F.lit(const) - F.lit(0.5) * F.expr(squares)
 
 
+#: Rows of a batch whose squares are held at a time.
+CHUNK = 4_096
+
+
+def _posteriors(model: NaiveBayes):
+    """A column function of all features: class and posterior of class 0, both classes' squares as matrices of a chunk of rows."""
+    means, stds = np.array(model.mean), np.array(model.std)
+    const = np.array([model.log_prior[k] - sum(0.5 * (math.log(2.0 * math.pi) + 2.0 * math.log(s)) for s in model.std[k]) for k in (0, 1)])
+
+    @F.arrow_udf("struct<label: int, score: double>")
+    def of(*columns: pa.Array) -> pa.Array:
+        known = np.ones(len(columns[0]), bool)
+        for c in columns:
+            if c.null_count:
+                known &= c.is_valid().to_numpy(zero_copy_only=False)
+        joint = np.empty((2, len(known)))
+        for a in range(0, len(known), CHUNK):
+            part = [c.slice(a, CHUNK) for c in columns]
+            x = np.stack([(p.fill_null(0.0) if p.null_count else p).to_numpy(zero_copy_only=False) for p in part]).astype(np.float64)
+            for k in (0, 1):
+                z = (x - means[k][:, None]) / stds[k][:, None]
+                joint[k, a : a + CHUNK] = const[k] - 0.5 * np.einsum("ij,ij->j", z, z)
+        with np.errstate(invalid="ignore"):
+            e = np.exp(joint - joint.max(axis=0))
+            score = e[0] / e.sum(axis=0)
+            label = np.where((joint[0] >= joint[1]) | np.isnan(joint[0]), 0, 1)
+        label[~known] = 1
+        fields = [pa.array(label.astype(np.int32)), pa.array(score, pa.float64(), mask=~known)]
+        return pa.StructArray.from_arrays(fields, ["label", "score"])
+
+    return of
+
+
 def score(df: DataFrame, model: NaiveBayes, prefix: str = "nb") -> DataFrame:
     """Add ``<prefix>_label`` and ``<prefix>_score`` (posterior of class 0).
 
-    A tie goes to class 0. The larger log joint is subtracted before exponentiation.
+    A tie goes to class 0. The larger log joint is subtracted before exponentiation. A row without some feature has no score
+    and class 1. The features alone go to the workers, in Arrow batches; generated code for this many terms
+    is too long to be compiled.
     """
-    staged = df.withColumns({"_l0": log_joint(model, 0), "_l1": log_joint(model, 1)})
-    top = F.greatest("_l0", "_l1")
-    e0, e1 = F.exp(F.col("_l0") - top), F.exp(F.col("_l1") - top)
-    return staged.withColumns(
-        {
-            f"{prefix}_label": F.when(F.col("_l0") >= F.col("_l1"), 0).otherwise(1),
-            f"{prefix}_score": e0 / (e0 + e1),
-        }
-    ).drop("_l0", "_l1")
+    features = [F.col(f"`{c}`").cast("float") for c in model.features]
+    staged = df.withColumn("_nb", _posteriors(model)(*features))
+    return staged.withColumns({f"{prefix}_label": F.col("_nb.label"), f"{prefix}_score": F.col("_nb.score")}).drop("_nb")
 
 
 def product_score(df: DataFrame, model: NaiveBayes, name: str = "product_score") -> DataFrame:
