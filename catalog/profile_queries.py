@@ -179,7 +179,27 @@ def duplicates(spark, sf_dir):
 
 @query("deduplicated", "SELECT DISTINCT l_partkey % 50 AS p, l_linenumber, l_returnflag FROM lineitem")
 def deduplicated(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 50).alias("p"), "l_linenumber", "l_returnflag").dropDuplicates()
+    return PF.deduplicated(table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 50).alias("p"), "l_linenumber", "l_returnflag"))
+
+
+_COPIED = "SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 7 = 0 UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 21 = 0"
+
+
+def _copied(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.union(rows.filter("l_orderkey % 7 = 0")).union(rows.filter("l_orderkey % 21 = 0"))
+
+
+@query("duplicate_rows", f"SELECT (SELECT count(*) FROM ({_COPIED})) AS n_rows, count(*) AS n_distinct, (SELECT count(*) FROM ({_COPIED})) - count(*) AS duplicates FROM (SELECT DISTINCT * FROM ({_COPIED}))")
+def duplicate_rows(spark, sf_dir):
+    """Copies of whole line items."""
+    return PF.duplicate_count(_copied(spark, sf_dir))
+
+
+@query("deduplicated_rows", f"SELECT l_returnflag, count(*) AS n, sum(l_orderkey)::BIGINT AS keys FROM (SELECT DISTINCT * FROM ({_COPIED})) GROUP BY 1")
+def deduplicated_rows(spark, sf_dir):
+    found = PF.deduplicated(_copied(spark, sf_dir))
+    return found.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"))
 
 
 @query("derived_features", f"SELECT page_id, \"NoOfPopup\" + \"NoOfiFrame\" AS \"NoOfPops\", \"NoOfSelfRef\" + \"NoOfEmptyRef\" + \"NoOfExternalRef\" AS \"NoOfHref\", "

@@ -12,6 +12,7 @@ from urlsift import contract as C
 from urlsift.functions import hosts as H
 from urlsift.operators import evaluate as E
 from urlsift.operators import knn as KN
+from urlsift.operators import profile as PF
 from urlsift.operators import naive_bayes as NB
 from urlsift.operators.admission import admission_reason
 from urlsift.operators.elements import scan_html
@@ -100,10 +101,19 @@ def test_standard_csv(spark, tmp_path):
     assert sorted(tuple(r) for r in back) == rows
 
 
-def test_all_unexpected_labels_are_named(spark):
-    df = spark.createDataFrame([(i,) for i in range(60)], "label int")
-    with pytest.raises(C.ContractError, match=r"\[2, 3, .*, 59\]"):
+def test_unexpected_labels_are_counted_and_listed(spark):
+    df = spark.createDataFrame([(i % 60,) for i in range(120)], "label int")
+    with pytest.raises(C.ContractError, match=r"116 row\(s\) .* 58 label\(s\) from 2 to 59"):
         C.check_labels(df)
+    assert [r.label for r in C.unexpected_labels(df).collect()] == list(range(2, 60))
+
+
+def test_copies_of_rows(spark):
+    rows = [(1, "a", None), (1, None, "a"), (None, "a", None), (1, "a", None), (2, "", "b"), (2, None, "b"), (None, None, None), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "row long, h1 string, n string")
+    assert tuple(PF.duplicate_count(df).first()) == (9, 6, 3)
+    assert sorted((tuple(r) for r in PF.deduplicated(df).collect()), key=repr) == sorted(set(rows), key=repr)
+    assert tuple(PF.duplicate_count(df.limit(0)).first()) == (0, 0, 0) and PF.deduplicated(df.limit(0)).collect() == []
 
 
 def test_a_model_needs_class_zero(spark):

@@ -165,8 +165,11 @@ def check_labels(df: DataFrame, label: str = TARGET) -> DataFrame:
     if found["missing_labels"]:
         raise ContractError(f"{found['missing_labels']} row(s) have no label")
     if found["unexpected_rows"]:
-        outside = unexpected_labels(df, label)
-        raise ContractError(f"labels outside {{0, 1}}: {[r[0] for r in outside.collect()]}")
+        ends = unexpected_labels(df, label).agg(F.count("*").alias("n"), F.min(label).alias("least"), F.max(label).alias("greatest")).first()
+        raise ContractError(
+            f"{found['unexpected_rows']} row(s) have labels outside {{0, 1}}: {ends['n']} label(s) from {ends['least']} to {ends['greatest']}; "
+            "unexpected_labels() gives them all"
+        )
     return df
 
 

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urlsift.runtime import small, written
+
 from urlsift import contract as C
 from urlsift.operators.fit import moments, pooled, vector_moments
 from urlsift.operators.quantiles import exact_quantiles
@@ -177,13 +179,37 @@ def standard_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _scaled(df, {c: r[f"{c}_m"] for c in known}, {c: r[f"{c}_s"] for c in known})
 
 
+def _fingerprints(df: DataFrame) -> DataFrame:
+    """The rows as one column beside 128 bits of hash; missing values count, as do the places of values."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    missing = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    return df.select(F.struct(*cols).alias("row"), F.xxhash64(missing, *cols).alias("h1"), F.xxhash64(F.lit(1), *reversed(cols), missing).alias("h2"))
+
+
+def _met(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Counts of the fingerprints, and the rows whose fingerprint another row has too."""
+    counts = written(prints.groupBy("h1", "h2").agg(F.count("*").alias("n")), "fingerprints")
+    several = counts.filter("n > 1").select("h1", "h2")
+    return counts, prints.join(small(several), ["h1", "h2"], "left_semi")
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and surplus copies, from one grouping over whole rows."""
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return counted.agg(
-        F.sum("_n").alias("n_rows"), F.count("*").alias("n_distinct"),
-        (F.sum("_n") - F.count("*")).alias("duplicates"),
-    )
+    """Rows, distinct rows and surplus copies. Fingerprints are counted first; whole rows are compared only where these meet."""
+    counts, met = _met(_fingerprints(df))
+    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("n_rows"), F.count_if(F.col("n") == 1).alias("single"))
+    distinct = met.groupBy("row").agg(F.lit(1)).agg(F.count("*").alias("several"))
+    both = rows.crossJoin(F.broadcast(distinct))  # one row each
+    n_distinct = F.col("single") + F.col("several")
+    return both.select("n_rows", n_distinct.alias("n_distinct"), (F.col("n_rows") - n_distinct).alias("duplicates"))
+
+
+def deduplicated(df: DataFrame) -> DataFrame:
+    """Each distinct row once. Rows whose fingerprint no other row has stay where they are while the others' are few."""
+    prints = _fingerprints(df)
+    counts, met = _met(prints)
+    several = counts.filter("n > 1").select("h1", "h2")
+    alone = prints.join(small(several), ["h1", "h2"], "left_anti").select("row")
+    return alone.union(met.select("row").dropDuplicates()).select("row.*")
 
 
 def derived_features(df: DataFrame) -> DataFrame:
