@@ -36,12 +36,12 @@ def work_dir(spark: SparkSession) -> str:
     return _folders[app]
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
+def written(df: DataFrame, name: str = "table", **options: str) -> DataFrame:
     """Write the frame to the work folder and read it back: a lineage cut that
-    survives the loss of any executor."""
+    survives the loss of any executor. ``options`` go to the writer."""
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     for tables in getattr(_running, "runs", [])[-1:]:
         tables.append(table)
