@@ -30,7 +30,9 @@ SHARDS = 10
 #: Positions of a bitmap: 16 MB.
 BITS = 1 << 27
 #: Words of an array, and words a task holds before it hands arrays on.
-BLOCK, BUFFER = 1 << 18, 1 << 19
+BLOCK, BUFFER = 1 << 16, 1 << 19
+#: Small row groups, so that a task reads few arrays at a time.
+ROW_GROUPS = {"parquet.block.size": str(4 << 20)}
 #: Rows of a batch that a task hands on, and phrases it adds up at a time.
 ROWS, WINDOWS = 1 << 16, 1 << 20
 #: Rows a language's first ones are chosen from, in parallel, before they meet.
@@ -261,7 +263,7 @@ def collocations(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("t"),
     )
-    blocks = written(rows.mapInArrow(_arrays(shards), "lang string, shard int, starts int, words long, codes binary"), "arrays")
+    blocks = written(rows.mapInArrow(_arrays(shards), "lang string, shard int, starts int, words long, codes binary"), "arrays", **ROW_GROUPS)
     blocks = blocks.withColumns({"cell": F.xxhash64("lang", "shard"), "lang_cell": F.xxhash64("lang")})
     sizes = written(blocks.groupBy("lang", "cell").agg(F.sum("words").alias("words")), "shards")
     totals = written(sizes.groupBy("lang").agg(F.sum("words").alias("n")), "totals")
