@@ -93,6 +93,21 @@ class Mix:
         named = found.join(small(self.sources.select("s", "source", "source_size", "target")), "s")
         return named.select("id", "source", "size", "source_size", "target", "taken")
 
+    def slots(self) -> DataFrame:
+        """(id, size, slots, first_slot, last_slot) for each document row: how many slots of the schedule take words of it, and the first and
+        last of those; null where none does, or none but closing slots."""
+        sized = self.documents.filter("size > 0")
+        last = F.floor((F.col("start") + F.col("size") - 1) / self.block)
+        pieces = sized.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / self.block), last)))
+        reached = F.col("words") > F.greatest(F.col("start") - F.col("block") * self.block, F.lit(0))
+        met = pieces.join(self.schedule.select("s", "block", "slot", "words"), ["s", "block"], "left")
+        sums = met.groupBy("id", "s", "size", "start").agg(
+            F.count_if(reached).alias("slots"), F.min(F.when(reached, F.col("slot"))).alias("first_slot"), F.max(F.when(reached, F.col("slot"))).alias("last_slot"),
+        )
+        none = F.lit(None).cast("long")
+        rest = self.documents.filter("size = 0").select("id", "size", F.lit(0).cast("long").alias("slots"), none.alias("first_slot"), none.alias("last_slot"))
+        return sums.select("id", "size", "slots", "first_slot", "last_slot").union(rest)
+
 
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS,

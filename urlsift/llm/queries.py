@@ -178,6 +178,11 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op6_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which slots of the schedule of op6_mix take words of each document."""
+    return mixing.mix(read(spark, sf_dir, "documents")).slots().withColumnRenamed("id", "doc_id")
+
+
 OP6_SQL = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
@@ -349,7 +354,7 @@ group by all
 
 QUERIES = {
     "op1_language_id": op1_language_id, "op2_top_k": op2_top_k, "op3_decontaminate": op3_decontaminate, "op3_near": op3_near,
-    "op4_fixity": op4_fixity, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op7_quality": op7_quality, "op8_simhash": op8_simhash,
+    "op4_fixity": op4_fixity, "op5_line_dedup": op5_line_dedup, "op6_mix": op6_mix, "op6_slots": op6_slots, "op7_quality": op7_quality, "op8_simhash": op8_simhash,
     "op9_licenses": op9_licenses, "op10_secrets": op10_secrets, "op11_token_counts": op11_token_counts,
     "op12_collocations": op12_collocations, "op13_conversation_trie": op13_conversation_trie,
 }
