@@ -36,7 +36,7 @@ def messy(spark):
     """The messy documents with extra columns whose names the operators use inside."""
     import pyspark.sql.functions as F
 
-    extra = ["id", "copy", "t", "key", "pos", "term", "s", "size", "fp", "batch", "h1", "doc", "label", "l"]
+    extra = ["id", "copy", "t", "key", "pos", "term", "s", "size", "fp", "batch", "h1", "doc", "label", "l", "_p", "_id", "_copy", "p", "of_id", "of_copy"]
     return spark.createDataFrame(MESSY, SCHEMA).withColumns({c: F.lit(c) for c in extra}).repartition(3)
 
 

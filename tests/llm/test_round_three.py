@@ -67,3 +67,13 @@ def test_runs_leave_their_result_alone(spark, tmp_path, monkeypatch):
     a, b = fixity.build(fixity.laid_out(records, ["hash"])), fixity.build(fixity.laid_out(records.filter("number <> 7"), ["hash"]))
     assert fixity.audit(a, b).count() == 43
     assert not [p.name for p in tmp_path.iterdir() if p.name.startswith("branches")]
+
+
+def test_stages_keep_columns_whose_names_they_might_use(spark, messy, folder):
+    import corpus_pipeline
+
+    path = folder(documents=messy, benchmark=spark.createDataFrame([(1, "the quick brown fox")], "item_id long, text string"))
+    docs = messy
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+        assert docs.columns == messy.columns and all(r._p == "_p" and r.of_id == "of_id" and r.copy == "copy" for r in docs.collect())
