@@ -27,14 +27,14 @@ from urlsift.llm.common import LOWER, UPPER, drop_written, small, tidy, word_blo
 SUPPORT, LONGEST, FIRST, SHARE = 30, 4, 2_000, 80
 #: Shards beyond about support / 2 would lower the local support to one.
 SHARDS = 10
-#: Positions of a bitmap: 16 MB.
-BITS = 1 << 27
+#: Positions of a bitmap: 8 MB.
+BITS = 1 << 26
 #: Words of an array, and words a task holds before it hands arrays on.
-BLOCK, BUFFER = 1 << 16, 1 << 19
+BLOCK, BUFFER = 1 << 16, 1 << 17
 #: Small row groups, so that a task reads few arrays at a time.
 ROW_GROUPS = {"parquet.block.size": str(4 << 20)}
 #: Rows of a batch that a task hands on, and phrases it adds up at a time.
-ROWS, WINDOWS = 1 << 16, 1 << 20
+ROWS, WINDOWS = 1 << 15, 1 << 19
 #: Rows a language's first ones are chosen from, in parallel, before they meet.
 SALTS = 64
 
@@ -73,6 +73,7 @@ def _buffers(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarra
             if size >= BUFFER:
                 yield from ((k, np.concatenate(p), t) for k, (p, t) in held.items())
                 held, size = {}, 0
+        pa.default_memory_pool().release_unused()
     yield from ((k, np.concatenate(p), t) for k, (p, t) in held.items())
 
 
@@ -143,6 +144,7 @@ def _counted(blocks: DataFrame, cell: str, count: Callable) -> DataFrame:
                     yield from out()
                     held, size = {}, 0
         yield from out()
+        pa.default_memory_pool().release_unused()
 
     rows = blocks.select(F.col(cell).alias("cell"), "starts", "codes").mapInArrow(run, "fp long, cell long, n long")
     return rows.repartition("fp", "cell").groupBy("fp", "cell").agg(F.sum("n").alias("n"))
