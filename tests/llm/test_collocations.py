@@ -85,6 +85,22 @@ def test_blocks_and_buffers_lose_nothing(spark, monkeypatch):
     assert [sum(sums[n].values()) for n in (1, 2, 3, 4)] == [202, 200, 198, 197]
 
 
+def test_bounds_keep_what_can_reach_the_support(spark):
+    # Shards of least 3, 3 and 2: a phrase that isn't frequent in them occurs at most 2, 2 and 1 times there.
+    cells = spark.createDataFrame([(1, 9, 3), (2, 9, 3), (3, 9, 2), (4, 8, 8)], "cell long, lang_cell long, least long")
+    level = spark.createDataFrame([(10, 1, 5), (11, 1, 4), (12, 1, 3), (12, 3, 3), (13, 4, 8), (10, 4, 9), (14, 2, 3), (14, 3, 2)], "fp long, cell long, n long")
+    have = {(r.fp, r.lang_cell) for r in co._possible([level, level.limit(0)], cells, 8).collect()}
+    # 5 + 2 + 1 and 3 + 2 + 3 reach 8; 4 + 2 + 1 and 2 + 3 + 2 don't.
+    assert have == {(10, 9), (12, 9), (13, 8), (10, 8)}
+
+
+def test_a_phrase_of_one_shard_alone_and_one_of_all_shards(spark):
+    # 30 occurrences in one task, and three in each of ten.
+    rows = [("en", "only here. " * 30 + "spread out. " * 3)] + [("en", "spread out. other words. " * 3)] * 9
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(10)
+    assert found(co.collocations(df, support=30)) == brute(rows, 30)
+
+
 def test_hashes_that_meet_do_no_harm(spark, monkeypatch):
     class Poor(co._Hashes):
         def __missing__(self, word):

@@ -4,8 +4,9 @@ Tasks cut the texts into words and write their 64-bit hashes, zero between piece
 with at least ``support`` occurrences has, in some shard, at least its share of them: support times the shard's part of the
 language's words, rounded up. Each shard is mined completely at that local support, one length after the other: a phrase
 is counted if the two phrases one word shorter in it are frequent in the shard. All shards are mined by one grouping a length, by
-shard and phrase, so a shard is no task and may have any size. The union of what is frequent in some shard is counted over
-all shards, and the phrases that reach the support are counted again by their words, so that a hash decides nothing.
+shard and phrase, so a shard is no task and may have any size. A phrase that isn't frequent in a shard occurs less often there than
+the local support, so the local counts bound its occurrences from above: those of the union that can reach the support are counted over
+all shards, and the phrases that reach it are counted again by their words, so that a hash decides nothing.
 
 What is frequent travels to the tasks as a bitmap of ``BITS`` bits at most: bits shared by chance let more phrases
 through to be counted, and lose none.
@@ -151,7 +152,7 @@ def _counted(blocks: DataFrame, cell: str, count: Callable) -> DataFrame:
 
 
 def _mined(blocks: DataFrame, cells: DataFrame) -> list[DataFrame]:
-    """(fp, cell) of each length: the phrases that reach their shard's local support."""
+    """(fp, cell, n) of each length: the phrases that reach their shard's local support, and their occurrences there."""
     context, levels, bits = blocks.sparkSession.sparkContext, [], None
     for size in range(1, LONGEST + 1):
 
@@ -164,26 +165,34 @@ def _mined(blocks: DataFrame, cells: DataFrame) -> list[DataFrame]:
             yield found[:starts][inside[:starts]]
 
         counts = _counted(blocks, "cell", count).join(small(cells.select("cell", "least")), "cell")
-        levels.append(written(counts.filter("n >= least").select("fp", "cell"), "local"))
+        levels.append(written(counts.filter("n >= least").select("fp", "cell", "n"), "local"))
         if bits is not None:
             bits.destroy()
         bits = context.broadcast(_bitmap(levels[-1], "cell")) if size < LONGEST else None
     return levels
 
 
+def _possible(levels: list[DataFrame], cells: DataFrame, support: int) -> DataFrame:
+    """(fp, lang_cell): the phrases that are frequent in some shard of a language and may reach the support over all of them, if
+    every other shard held as many as one that isn't frequent there can."""
+    union = levels[0]
+    for level in levels[1:]:
+        union = union.union(level)
+    others = cells.groupBy("lang_cell").agg(F.sum(F.col("least") - 1).alias("others"))
+    bounds = union.join(small(cells), "cell").groupBy("fp", "lang_cell").agg(F.sum(F.col("n") - F.col("least") + 1).alias("beyond"))
+    return bounds.join(small(others), "lang_cell").filter(F.col("beyond") + F.col("others") >= support).select("fp", "lang_cell")
+
+
 def _candidates(blocks: DataFrame, support: int, shards_cells: DataFrame) -> np.ndarray:
     """The bitmap of the phrases that reach the support over all shards."""
-    levels = _mined(blocks, shards_cells)
-    union = levels[0].select("fp")
-    for level in levels[1:]:
-        union = union.union(level.select("fp"))
-    bits = blocks.sparkSession.sparkContext.broadcast(_bitmap(union, None))
+    possible = _possible(_mined(blocks, shards_cells), shards_cells, support)
+    bits = blocks.sparkSession.sparkContext.broadcast(_bitmap(possible, "lang_cell"))
 
     def count(codes: np.ndarray, starts: int, salt: int) -> Iterator[np.ndarray]:
         for size in range(1, LONGEST + 1):
             found, inside = grams(codes, size)
             found, inside = found[:starts], inside[:starts]
-            yield found[inside & _set(bits.value, found, 0)]
+            yield found[inside & _set(bits.value, found, salt)]
 
     frequent = written(_counted(blocks, "lang_cell", count).filter(F.col("n") >= support).select("fp"), "frequent")
     bits.destroy()
@@ -270,7 +279,7 @@ def collocations(
     sizes = written(blocks.groupBy("lang", "cell").agg(F.sum("words").alias("words")), "shards")
     totals = written(sizes.groupBy("lang").agg(F.sum("words").alias("n")), "totals")
     share_of = F.expr("(cast(words as decimal(19, 0)) * {s} + n - 1) div n".format(s=support))
-    cells = sizes.filter("words > 0").join(small(totals), "lang").select("cell", share_of.cast("long").alias("least"))
+    cells = sizes.filter("words > 0").join(small(totals), "lang").select("cell", F.xxhash64("lang").alias("lang_cell"), share_of.cast("long").alias("least"))
     cells = written(cells, "local-support")
     bitmap = _candidates(blocks, support, cells)
     phrases = written(_phrases(rows, bitmap, support), "phrases")
