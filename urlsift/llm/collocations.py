@@ -39,11 +39,26 @@ ROWS, WINDOWS = 1 << 15, 1 << 19
 #: Rows a language's first ones are chosen from, in parallel, before they meet.
 SALTS = 64
 
+#: Spark deletes a job's shuffle files at its end where this is set.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _STEP = np.uint64(0x9E3779B97F4A7C17)
 _BREAKS = ".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans((UPPER + _BREAKS + "\t").encode(), (LOWER + "." * len(_BREAKS) + " ").encode())
 
 
+def _stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``written``, without the shuffle files of the job: nothing reads them once the table stands, and they'd lie beside those of all
+    other lengths until the driver collects its garbage. Only for writes: a result that is fetched bit by bit still reads its shuffle."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return written(df, name, **options)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
 class _Hashes(dict):
     """Place of each word met in a block; the word's hash goes to ``values``, zero for the break between pieces."""
 
@@ -165,7 +180,7 @@ def _mined(blocks: DataFrame, cells: DataFrame) -> list[DataFrame]:
             yield found[:starts][inside[:starts]]
 
         counts = _counted(blocks, "cell", count).join(small(cells.select("cell", "least")), "cell")
-        levels.append(written(counts.filter("n >= least").select("fp", "cell", "n"), "local"))
+        levels.append(_stored(counts.filter("n >= least").select("fp", "cell", "n"), "local"))
         if bits is not None:
             bits.destroy()
         bits = context.broadcast(_bitmap(levels[-1], "cell")) if size < LONGEST else None
@@ -194,7 +209,7 @@ def _candidates(blocks: DataFrame, support: int, shards_cells: DataFrame) -> np.
             found, inside = found[:starts], inside[:starts]
             yield found[inside & _set(bits.value, found, salt)]
 
-    frequent = written(_counted(blocks, "lang_cell", count).filter(F.col("n") >= support).select("fp"), "frequent")
+    frequent = _stored(_counted(blocks, "lang_cell", count).filter(F.col("n") >= support).select("fp"), "frequent")
     bits.destroy()
     return _bitmap(frequent, None)
 
@@ -274,16 +289,16 @@ def collocations(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("t"),
     )
-    blocks = written(rows.mapInArrow(_arrays(shards), "lang string, shard int, starts int, words long, codes binary"), "arrays", **ROW_GROUPS)
+    blocks = _stored(rows.mapInArrow(_arrays(shards), "lang string, shard int, starts int, words long, codes binary"), "arrays", **ROW_GROUPS)
     blocks = blocks.withColumns({"cell": F.xxhash64("lang", "shard"), "lang_cell": F.xxhash64("lang")})
-    sizes = written(blocks.groupBy("lang", "cell").agg(F.sum("words").alias("words")), "shards")
-    totals = written(sizes.groupBy("lang").agg(F.sum("words").alias("n")), "totals")
+    sizes = _stored(blocks.groupBy("lang", "cell").agg(F.sum("words").alias("words")), "shards")
+    totals = _stored(sizes.groupBy("lang").agg(F.sum("words").alias("n")), "totals")
     share_of = F.expr("(cast(words as decimal(19, 0)) * {s} + n - 1) div n".format(s=support))
     cells = sizes.filter("words > 0").join(small(totals), "lang").select("cell", F.xxhash64("lang").alias("lang_cell"), share_of.cast("long").alias("least"))
-    cells = written(cells, "local-support")
+    cells = _stored(cells, "local-support")
     bitmap = _candidates(blocks, support, cells)
-    phrases = written(_phrases(rows, bitmap, support), "phrases")
-    kept = written(_outside(written(_scored(phrases), "scored"), share), "kept")
+    phrases = _stored(_phrases(rows, bitmap, support), "phrases")
+    kept = _stored(_outside(_stored(_scored(phrases), "scored"), share), "kept")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     kept = kept.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     near = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("rank") <= first)
