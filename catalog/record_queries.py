@@ -56,7 +56,7 @@ def crawl_log(spark, sf_dir):
         F.when(k % 4 != 0, F.concat("url", F.lit("next"))).alias("location"),
         (k % 6).cast("int").alias("hops"),
         pick(TYPES, 5).alias("content_type"),
-        (F.length("html") * F.when(k % 19 == 7, 100000).otherwise(1)).cast("long").alias("bytes"),
+        (F.length("html").cast("long") * F.when(k % 19 == 7, 100000).otherwise(1)).alias("bytes"),
         F.when(k % 23 == 3, F.concat(F.lit("<title>Just a Moment</title>"), "html")).otherwise(F.col("html")).alias("html"),
         F.when(k % 3 == 1, F.array(F.col("url"))).when(k % 3 == 2, F.array(F.lit("http://first.test/"), F.col("url")))
         .otherwise(F.array().cast("array<string>")).alias("redirects"),
