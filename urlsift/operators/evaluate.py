@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urlsift import contract as C
 from urlsift.functions.stats import safe_ratio
-from urlsift.operators.ordering import running_totals
+from urlsift.operators.ordering import ROWS_PER_RANGE, range_count
+from urlsift.runtime import small, written
 
 
 def threshold_label(score: Column, threshold: float) -> Column:
@@ -118,29 +121,70 @@ def average_precision(df: DataFrame, truth: str, score: str, tie: Sequence[str],
 
     Equal scores are ordered by the tie columns. One row; 0 without positives.
     """
-    slim = df.select(F.lit("").alias("model"), F.col(score).alias("_score"), *tie, (F.col(truth) == 0).cast("int").alias("_pos"))
-    return _precision_at_positives(slim, tie, **options).agg(
+    slim = df.select(F.lit(0).alias("model"), F.col(score).alias("_score"), *tie, (F.col(truth) == 0).cast("int").alias("_pos"))
+    return _precision_at_positives(slim, df.count(), tie, **options).agg(
         F.coalesce(F.first("average_precision"), F.lit(0.0)).alias("average_precision")
     )
 
 
-def _precision_at_positives(slim: DataFrame, tie: Sequence[str], **options) -> DataFrame:
-    """``slim``: model, _score, the tie columns and _pos; all models in one order."""
-    ranked = running_totals(
-        slim, "_score", {"_rank": F.lit(1), "_tp": F.col("_pos")}, tie=tie, by=["model"], descending=True, **options
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a range in order (model, range, _pos): the rank of each positive and the positives up to it, within its model and range,
+    and at the end of each model the totals."""
+    names = ["model", "range", "rank", "tp", "total"]
+    here, ranks, found = None, 0, 0
+
+    def out(rank, tp, total):
+        cols = [np.full(len(rank), here[0], np.int32), np.full(len(rank), here[1], np.int32), rank, tp, np.full(len(rank), total)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+
+    for batch in batches:
+        model, place, pos = (batch.column(i).fill_null(0).to_numpy() for i in range(3))
+        cuts = [0, *(np.flatnonzero(np.diff(model)) + 1).tolist(), len(model)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if here != (model[a], place[a]):
+                if here is not None:
+                    yield out(np.array([ranks]), np.array([found]), True)
+                here, ranks, found = (model[a], place[a]), 0, 0
+            at = np.flatnonzero(pos[a:b] == 1)
+            yield out(ranks + at + 1, found + 1 + np.arange(len(at)), False)
+            ranks, found = ranks + b - a, found + len(at)
+    if here is not None:
+        yield out(np.array([ranks]), np.array([found]), True)
+
+
+def _precision_at_positives(slim: DataFrame, n_rows: int, tie: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``slim``: model (a number), _score, the tie columns and _pos; ``n_rows`` rows, all models in one order.
+
+    One shuffle brings the rows into ranges of the order; of these only the positives and the totals are written. The totals
+    before a range complete its ranks.
+    """
+    order = ["model", F.col("_score").desc(), *tie]
+    n = range_count(n_rows, rows_per_range)
+    ranged = slim.repartitionByRange(n, *order) if n > 1 else slim.coalesce(1)
+    rows = ranged.sortWithinPartitions(*order).select("model", F.spark_partition_id().alias("range"), "_pos")
+    counted = written(rows.mapInArrow(_counted, "model int, range int, rank long, tp long, total boolean"), "positives")
+    before = Window.partitionBy("model").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.filter("total").select(
+        "model", "range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"before_{c}") for c in ("rank", "tp")]
     )
-    precision = F.avg(F.when(F.col("_pos") == 1, F.col("_tp") / F.col("_rank")))
-    return ranked.groupBy("model").agg(F.coalesce(precision, F.lit(0.0)).alias("average_precision"))
+    ranked = counted.filter("not total").join(small(offsets), ["model", "range"])
+    precision = F.avg((F.col("before_tp") + F.col("tp")) / (F.col("before_rank") + F.col("rank")))
+    return ranked.groupBy("model").agg(precision.alias("average_precision"))
 
 
 def average_precision_table(df: DataFrame, truth: str, models: Sequence[str], tie: Sequence[str],
                             **options) -> DataFrame:
     """One row per model, all ranked in one pass."""
-    slim = df.select(*tie, (F.col(truth) == 0).cast("int").alias("_pos"), *[F.col(f"{m}_score").cast("double").alias(m) for m in models])
-    long = slim.unpivot([*tie, "_pos"], list(models), "model", "_score")
-    found = _precision_at_positives(long, tie, **options)
-    every = df.sparkSession.createDataFrame([(m,) for m in models], "model string")
-    return every.join(found, "model", "left").fillna(0.0, ["average_precision"])
+    slim = df.select(
+        *tie, (F.col(truth) == 0).cast("int").alias("_pos"),
+        F.posexplode(F.array(*[F.col(f"{m}_score").cast("double") for m in models])).alias("model", "_score"),
+    )
+    found = _precision_at_positives(slim, df.count() * len(models), tie, **options)
+    every = df.sparkSession.createDataFrame(list(enumerate(models)), "place int, name string")
+    named = every.join(found, F.col("place") == F.col("model"), "left").select(F.col("name").alias("model"), "average_precision")
+    return named.fillna(0.0, ["average_precision"])
 
 
 def disagreement(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:

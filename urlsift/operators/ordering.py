@@ -17,6 +17,13 @@ from pyspark.sql import functions as F
 from urlsift.runtime import small, written
 
 ROWS_PER_RANGE = 250_000
+#: Ranges of fewer rows than that are made as long as there are at most so many: each costs a task.
+MANY_RANGES = 1_000
+
+
+def range_count(rows: int, rows_per_range: int) -> int:
+    """How many ranges so many rows are dealt to."""
+    return max(1, min(math.ceil(rows / rows_per_range), max(MANY_RANGES, math.ceil(rows / ROWS_PER_RANGE))))
 
 
 def _running(
@@ -26,7 +33,7 @@ def _running(
     """Add the fold of each expression over all rows up to and including this one; ``plus`` joins the folds of two stretches."""
     lead = df.withColumns({f"_t_{k}": e for k, e in columns.items()})
     order = [F.col(value).desc() if descending else F.col(value).asc(), *tie]
-    n = max(1, math.ceil(df.count() / rows_per_range))
+    n = range_count(df.count(), rows_per_range)
     ranged = lead.repartitionByRange(n, *by, *order) if n > 1 else lead.coalesce(1)
     ranged = written(ranged.withColumn("_r", F.spark_partition_id()), "ranges")
     folds = ranged.groupBy(*by, "_r").agg(*[fold(f"_t_{k}").alias(f"_s_{k}") for k in columns])
