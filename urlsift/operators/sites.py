@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from urlsift.functions import hosts as H
 from urlsift.functions.text import strip
-from urlsift.runtime import small
+from urlsift.runtime import small, written
 
 PLAIN, WILD, EXCEPTION = "plain", "wild", "exception"
 
@@ -57,7 +57,8 @@ def registrable_names(names: DataFrame, rules: DataFrame, host: str = "host") ->
     bare = F.regexp_replace(F.lower("host"), r"\.$", "")
     parents = distinct.select("host", address.alias("address"), H.host_suffixes(bare).alias("parents"))
     asked = parents.filter("not address").select("host", F.posexplode("parents").alias("i", "name"))
-    met = asked.join(small(rules.select("name", "kind")), "name")
+    # each table is written before it is measured, so that measuring it doesn't make it again
+    met = asked.join(small(written(rules.select("name", "kind"), "rules")), "name")
     # the place of the suffix a rule makes of the host: 0 is the host, 1 its parent
     place = F.when(F.col("kind") == PLAIN, F.col("i")).when((F.col("kind") == WILD) & (F.col("i") > 0), F.col("i") - 1)
     ends = met.groupBy("host").agg(
@@ -65,13 +66,13 @@ def registrable_names(names: DataFrame, rules: DataFrame, host: str = "host") ->
     )
     at = F.coalesce("taken_out", F.col("suffix") - 1)
     name = F.when(at >= 0, F.get("parents", at))
-    found = parents.join(small(ends), "host", "left")
+    found = parents.join(small(written(ends, "ends")), "host", "left")
     named = F.when(F.col("address"), F.col("host")).when(~F.startswith(name, F.lit(".")), name)
     return found.select("host", named.alias("registrable"))
 
 
 def with_sites(rows: DataFrame, rules: DataFrame, host: str, *, registrable: str = "registrable", site: str = "site") -> DataFrame:
     """Add the registrable domain and the site (that, or the host in lower case) of each row's host."""
-    names = registrable_names(rows, rules, host).withColumnsRenamed({"host": "_host", "registrable": "_registrable"})
+    names = written(registrable_names(rows, rules, host), "sites").withColumnsRenamed({"host": "_host", "registrable": "_registrable"})
     joined = rows.join(small(names), F.col(f"`{host}`") == F.col("_host"), "left")
     return joined.withColumns({registrable: F.col("_registrable"), site: F.coalesce("_registrable", F.lower(F.col(f"`{host}`")))}).drop("_host", "_registrable")
