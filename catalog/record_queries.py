@@ -17,6 +17,7 @@ from urlsift.operators import intervals as I
 from urlsift.operators import profile as PF
 from urlsift.operators import records as R
 from urlsift.functions.addresses import address_reason
+from urlsift.functions.stats import rounded
 from urlsift.plans import scoring
 from urlsift.runtime import written
 from urlsift.streaming import rate_limit as RL
@@ -278,8 +279,7 @@ def _inspector_sql():
 @query("inspector", _inspector_sql())
 def inspector(spark, sf_dir):
     out = R.feature_inspector(line_matrix(spark, sf_dir), line_reference(spark, sf_dir), line_model(spark, sf_dir), LINE_KEY)
-    return out.select(*LINE_KEY, "feature", *[F.round(c, 4).alias(c) for c in (
-        "value", "median", "z_phishing", "z_legitimate", "contribution")])
+    return rounded(out, ("value", "median", "z_phishing", "z_legitimate", "contribution"), 4)
 
 
 @query("reference_stats", LINE_CTES + " " + " UNION ALL ".join(

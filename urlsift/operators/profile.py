@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsift.runtime import small, written
+from urlsift.runtime import drop_written, small, written
 
 from urlsift import contract as C
 from urlsift.operators.fit import moments, pooled, vector_moments
@@ -51,12 +51,17 @@ def class_means(df: DataFrame, cols: Sequence[str], label: str = C.TARGET) -> Da
 
 
 def reference_stats(df: DataFrame, features: Sequence[str], label: str = C.TARGET) -> DataFrame:
-    """Distribution of each feature, and mean and deviation per class (population form)."""
-    groups = vector_moments(df, features, label)
+    """Distribution of each feature, and mean and deviation per class (population form).
+
+    The features are written once, as the quantiles take several scans.
+    """
+    stored = written(df.select(*features, label), "features")
+    groups = vector_moments(stored, features, label)
     total = pooled(groups)
     ends = exact_quantiles(
-        df, features, [0.01, 0.25, 0.5, 0.75, 0.99]
+        stored, features, [0.01, 0.25, 0.5, 0.75, 0.99]
     )
+    drop_written(stored)
     rows = []
     for i, c in enumerate(features):
         row = [c, total["min"][i], *ends[c], total["max"][i]]
