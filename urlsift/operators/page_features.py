@@ -85,9 +85,12 @@ def page_features(
     scope: str = "anchor",
     demoted: Sequence[str] = (),
     rules: Sequence[str] = K.SUFFIX_RULES,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Keys, Title, HasTitle and the 25 page features.
 
+    Of each further scope in ``also`` the reference counts follow as ``<feature>_<scope>``, from the same reading of the page.
+
     A row without page text gets NULL for all of them: a count of zero is a
     measurement, an absent page is not. Demoted features are NULL always.
     """
@@ -145,6 +148,8 @@ def page_features(
             "_targets": F.concat(F.transform(F.col("_chain"), site), targets),
             "_refs": refs,
             "_ref_sites": F.transform(live, site),
+            **{f"_refs_{s}": references(s) for s in also},
+            **{f"_ref_sites_{s}": F.transform(F.filter(references(s), lambda r: ~_is_empty_ref(r)), site) for s in also},
             "_anchor_sites": F.transform(anchors, site),
             "_words": haystack,
             "_description": F.coalesce(
@@ -220,4 +225,7 @@ def page_features(
     for name in ("HasTitle", *C.PAGE_FEATURES):
         value = F.lit(None) if name in demoted else F.when(present, values[name])
         columns.append(value.cast("int").alias(name))
+    for s in also:
+        for name, value in reference_counts(s, F.col(f"_ref_sites_{s}"), F.col(f"_refs_{s}")).items():
+            columns.append((F.lit(None) if name in demoted else F.when(present, value)).cast("int").alias(f"{name}_{s}"))
     return prepared.select(*keys, F.col("title").alias("Title"), *columns)
