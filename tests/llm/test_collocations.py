@@ -94,6 +94,46 @@ def test_bounds_keep_what_can_reach_the_support(spark):
     assert have == {(10, 9), (12, 9), (13, 8), (10, 8)}
 
 
+def test_counted_phrases_travel_packed():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    windows = [(cell, rng.integers(0, 1 << 64, 500, np.uint64)[rng.integers(0, 500, 4_000)]) for cell in (3, -5, 3)]
+    windows.append((-5, windows[1][1][:2_000]))
+    chunks = [co._chunks(found, cell, 9, 7) for cell, found in windows]
+    # A row for each bucket, and 8 bytes for each phrase at most; three longs before.
+    assert all(c.num_rows == 7 for c in chunks)
+    assert all(sum(len(v.as_py()) for name in ("fps", "ns") for v in c[name]) == 8 * len(np.unique(f)) for c, (_, f) in zip(chunks, windows, strict=True))
+    table = pa.Table.from_batches(chunks)
+    have = Counter()
+    for bucket in range(7):
+        for r in co._merged(table.filter(pa.compute.equal(table["bucket"], bucket))).to_pylist():
+            have[r["cell"], r["fp"] >> 32, r["fp"] & 0xFFFFFFFF] = r["n"]
+    want = Counter((cell, (int(fp) >> 32) % 7, int(fp) & 0xFFFFFFFF) for cell, found in windows for fp in found)
+    assert have == {k: n for k, n in want.items() if n >= 9}
+
+
+def test_only_phrases_in_doubt_are_counted_over_all_shards(spark):
+    cells = spark.createDataFrame([(1, 9, 3), (2, 9, 3), (3, 9, 2)], "cell long, lang_cell long, least long")
+    level = spark.createDataFrame([(10, 1, 5), (12, 1, 3), (12, 3, 4), (15, 2, 8)], "fp long, cell long, n long")
+    have = {r.fp: r.known for r in co._possible([level], cells, 8).collect()}
+    # 15 has 8 in one shard alone; 10 and 12 have 5 and 7, and may have more in shards where they aren't frequent.
+    assert have == {10: 5, 12: 7, 15: 8}
+
+
+def test_arrays_are_gone_before_the_phrases_are_counted(spark, monkeypatch):
+    from urlsift import runtime
+
+    left, names, phrases = [], [], co._phrases
+    monkeypatch.setattr(co, "drop_written", lambda df: (left.append(df), runtime.drop_written(df)))
+    monkeypatch.setattr(co, "_phrases", lambda *a: (names.append(len(left)), phrases(*a))[1])
+    rows = texts(5, 100)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert found(co.collocations(df, support=5)) == brute(rows, 5)
+    # The arrays and the four lengths' local counts.
+    assert names == [co.LONGEST + 1]
+
+
 def test_a_phrase_of_one_shard_alone_and_one_of_all_shards(spark):
     # 30 occurrences in one task, and three in each of ten.
     rows = [("en", "only here. " * 30 + "spread out. " * 3)] + [("en", "spread out. other words. " * 3)] * 9
