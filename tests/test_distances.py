@@ -43,3 +43,22 @@ def test_other_powers_measure_few_pairs(monkeypatch):
     q, ref = values("normal", (40, 16), rng), values("normal", (20_000, 16), rng)
     D.nearest_rows(q, ref, np.arange(len(ref)), 6, 3)
     assert sum(measured) < 0.2 * len(q) * len(ref)
+
+
+@pytest.mark.parametrize("kind", ["normal", "grid", "same", "huge", "tiny", "far"])
+def test_groups_equal_tiles(kind):
+    rng = np.random.default_rng(4)
+    for m, k in ((D.GROUPS, 3), (10_000, 20), (1_001, 25)):
+        q, ref, ids = values(kind, (130, 8), rng), values(kind, (m, 8), rng), rng.permutation(m)
+        for have, want in zip(D._by_groups(q, ref, ids, k, max(D.GROUPS, 8 * k)), D._by_tiles(q, ref, ids, k, 2), strict=True):
+            assert (have == want).all()
+
+
+def test_few_references_are_measured_for_each_query(monkeypatch):
+    measured, whole = [], D.direct
+    monkeypatch.setattr(D, "direct", lambda q, r, power: measured.append(len(q)) or whole(q, r, power))
+    rng = np.random.default_rng(5)
+    q, ref = values("normal", (512, 8), rng), values("normal", (10_000, 8), rng)
+    D.nearest_rows(q, ref, np.arange(len(ref)), 20, 2)
+    # The k nearest and few more; about 120 by tiles of growing size.
+    assert sum(measured) < 30 * len(q)
