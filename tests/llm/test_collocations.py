@@ -113,6 +113,39 @@ def test_counted_phrases_travel_packed():
     assert have == {k: n for k, n in want.items() if n >= 9}
 
 
+@pytest.mark.parametrize("distinct", [3, 1 << 16, (1 << 16) + 1])
+def test_numbered_words_come_back(distinct):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(distinct)
+    hashes = (np.arange(distinct + 6) * 64_007).astype(np.uint32)
+    # The last six hashes don't occur, and so aren't written.
+    places = rng.permutation(np.concatenate([np.arange(distinct), np.zeros(50, int), np.full(20, 2)])).astype(np.int32)
+    table, numbers = co._numbered(places, hashes)
+    assert len(table) == 4 * distinct and len(numbers) == len(places) * (2 if distinct <= 1 << 16 else 4)
+    assert np.frombuffer(table, np.uint32)[:2].tolist() == hashes[[0, 2]].tolist()
+    codes = co._codes(pa.py_buffer(table), pa.py_buffer(numbers))
+    assert (codes == co._spread(hashes)[places]).all() and ((codes == 0) == (places == 0)).all()
+
+
+def test_arrays_take_two_bytes_a_word_and_four_for_each_distinct_one(spark, monkeypatch):
+    sizes, dropped = [], co.drop_written
+    monkeypatch.setattr(co, "drop_written", lambda df: (sizes.append({c: df.agg(F.sum(F.length(c))).first()[0] for c, kind in df.dtypes if kind == "binary"}), dropped(df))[1])
+    rows = [("en", "one two three four. " * 5_000)] * 2
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    assert found(co.collocations(df)) == brute(rows, 30)
+    # 40,000 words, 10,000 ends of pieces and two of texts; four words and the break.
+    assert sum(sizes[-1].values()) == 2 * 50_002 + 4 * 5
+
+
+def test_rows_of_counted_phrases_stay_long_in_a_large_input():
+    # 30 GB of documents have about 10 billion words; a row has three longs of its own, so it should hold many times that.
+    buckets = 10_000_000_000 // co.BUCKET_WORDS
+    found = np.random.default_rng(2).integers(0, 1 << 64, co.WINDOWS // 4, np.uint64)
+    rows = co._chunks(found, 1, 9, buckets)
+    assert rows.num_rows <= buckets and len(found) / rows.num_rows > 100
+
+
 def test_only_phrases_in_doubt_are_counted_over_all_shards(spark):
     cells = spark.createDataFrame([(1, 9, 3), (2, 9, 3), (3, 9, 2)], "cell long, lang_cell long, least long")
     level = spark.createDataFrame([(10, 1, 5), (12, 1, 3), (12, 3, 4), (15, 2, 8)], "fp long, cell long, n long")
