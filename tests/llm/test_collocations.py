@@ -138,6 +138,19 @@ def test_arrays_take_two_bytes_a_word_and_four_for_each_distinct_one(spark, monk
     assert sum(sizes[-1].values()) == 2 * 50_002 + 4 * 5
 
 
+def test_counted_phrases_pack_into_less_than_half():
+    import pyarrow as pa
+
+    found = np.random.default_rng(3).integers(0, 1 << 64, 200_000, np.uint64)
+    rows = co._chunks(found, 1, 9, 64)
+    data = b"".join(v.as_py() for pair in zip(rows["fps"], rows["ns"], strict=True) for v in pair)
+    # Spark packs a shuffle by LZ4, in blocks of 32 KB.
+    assert sum(pa.Codec("lz4_raw").compress(data[i : i + (1 << 15)]).size for i in range(0, len(data), 1 << 15)) < 3.6 * len(found)
+    # Numbers of any size come back, also alone in their row.
+    values, sizes = np.array([0, 1, 255, 256, 1 << 24, (1 << 32) - 1], np.uint32), np.array([1, 4, 1])
+    assert co._unpacked(pa.chunked_array([co._rows(values, sizes)]), sizes).tolist() == values.tolist()
+
+
 def test_rows_of_counted_phrases_stay_long_in_a_large_input():
     # 30 GB of documents have about 10 billion words; a row has three longs of its own, so it should hold many times that.
     buckets = 10_000_000_000 // co.BUCKET_WORDS
