@@ -89,7 +89,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
     for t, p in zip(tables[1:], probes[1:], strict=True):
         table, probe = table.union(t), probe.union(p)
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-    return probe.join(table, ["segment", "key"]).filter(near).select("a", "b").distinct()
+    # Spark sizes the probes as if they weren't exploded, and would broadcast them: both sides are shuffled
+    return probe.join(table.hint("merge"), ["segment", "key"]).filter(near).select("a", "b").distinct()
 
 
 def near_duplicates(
