@@ -27,15 +27,16 @@ def test_blocks_left_out_hold_nothing_near(power):
     parts = [refs[at] for at in B.runs(refs, 25)]
     known = B.Ranges(power, np.arange(len(parts)), np.array([len(p) for p in parts]), np.array([p.min(0) for p in parts], np.float64), np.array([p.max(0) for p in parts], np.float64))
     asked = rng.random((4000, 2)).astype(np.float32)
-    asked = asked[np.concatenate(B.runs(asked, B.GROUP))]
+    size = B.stack_rows(2) // B.GROUPS
+    asked = asked[np.concatenate(B.runs(asked, size))]
     low, high = B._groups(asked)
     k = 10
     first = known.first(low, high, k)
     assert ((first * known.rows).sum(axis=1) >= k).all()
     away = [(np.abs(asked[:, None, :].astype(float) - p[None].astype(float)) ** power).sum(-1) for p in parts]
-    group = np.arange(len(asked)) // B.GROUP
+    group = np.arange(len(asked)) // size
     limits = np.array([np.partition(np.concatenate([away[b][i] for b in np.flatnonzero(first[group[i]])]), k - 1)[k - 1] for i in range(len(asked))])
-    found, need = known.others(low, high, np.maximum.reduceat(limits, np.arange(0, len(asked), B.GROUP)), k)
+    found, need = known.others(low, high, np.maximum.reduceat(limits, np.arange(0, len(asked), size)), k)
     read = first.copy()
     read[:, found] |= need
     for b in range(len(parts)):
@@ -51,7 +52,7 @@ def test_queries_are_not_held_against_all_blocks(monkeypatch):
     parts = [parts[0][at] for at in B.runs(parts[0], 20)]
     known = B.Ranges(2, np.arange(len(parts)), np.array([len(p) for p in parts]), np.array([p.min(0) for p in parts], np.float64), np.array([p.max(0) for p in parts], np.float64))
     asked = rng.random((B.QUERY_ROWS, 2)).astype(np.float32) / 8
-    low, high = B._groups(asked[np.concatenate(B.runs(asked, B.GROUP))])
+    low, high = B._groups(asked[np.concatenate(B.runs(asked, B.stack_rows(2) // B.GROUPS))])
     cells = []
     for name in ("least", "most"):
         bound = getattr(B.Ranges, name)
